@@ -6,6 +6,7 @@ the five view files so a deploy can run one group at a time.
 
 from __future__ import annotations
 
+from tessera.plans import marts_cmdb as MC
 from tessera.plans import marts_tickets as MT
 
 MARTS = [
@@ -20,6 +21,14 @@ MARTS = [
     ("vw_backlog_open", MT.build_vw_backlog_open, "star"),
     ("vw_volume_trend", MT.build_vw_volume_trend, "star"),
     ("dim_date", MT.build_dim_date_for_tickets, "star"),
+    ("vw_dim_asset", MC.build_vw_dim_asset, "extended"),
+    ("vw_fact_asset_tickets", MC.build_vw_fact_asset_tickets, "extended"),
+    ("vw_fact_asset_incidents", MC.build_vw_fact_asset_incidents, "extended"),
+    ("vw_fact_problems", MC.build_vw_fact_problems, "extended"),
+    ("vw_fact_changes", MC.build_vw_fact_changes, "extended"),
+    ("vw_fact_projects", MC.build_vw_fact_projects, "extended"),
+    ("vw_fact_project_tasks", MC.build_vw_fact_project_tasks, "extended"),
+    ("vw_cmdb_summary", MC.build_vw_cmdb_summary, "extended"),
 ]
 
 
