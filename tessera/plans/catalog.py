@@ -7,6 +7,7 @@ the five view files so a deploy can run one group at a time.
 from __future__ import annotations
 
 from tessera.plans import marts_cmdb as MC
+from tessera.plans import marts_finance as MF
 from tessera.plans import marts_tickets as MT
 
 MARTS = [
@@ -29,6 +30,15 @@ MARTS = [
     ("vw_fact_projects", MC.build_vw_fact_projects, "extended"),
     ("vw_fact_project_tasks", MC.build_vw_fact_project_tasks, "extended"),
     ("vw_cmdb_summary", MC.build_vw_cmdb_summary, "extended"),
+    ("vw_dim_supplier", MF.build_vw_dim_supplier, "analytics_v2"),
+    ("vw_dim_software", MF.build_vw_dim_software, "analytics_v2"),
+    ("vw_fact_software_licenses", MF.build_vw_fact_software_licenses, "analytics_v2"),
+    ("vw_fact_asset_financials", MF.build_vw_fact_asset_financials, "analytics_v2"),
+    ("vw_fact_supplier_contracts", MF.build_vw_fact_supplier_contracts, "analytics_v2"),
+    ("vw_fact_kb_usage", MF.build_vw_fact_kb_usage, "analytics_v2"),
+    ("vw_fact_ticket_enrichment", MF.build_vw_fact_ticket_enrichment, "analytics_v2"),
+    ("vw_dim_os_inventory", MF.build_vw_dim_os_inventory, "analytics_v2"),
+    ("vw_fact_satisfaction_summary", MF.build_vw_fact_satisfaction_summary, "analytics_v2"),
 ]
 
 
