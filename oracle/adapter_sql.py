@@ -298,4 +298,7 @@ def with_adapter(body: str) -> str:
     """Prefix ``body`` (a SELECT) with every adapter CTE."""
     parts = [f"{name} AS ({sql})" for name, sql in CTES]
     parts += [f"{a} AS (SELECT * FROM {b})" for a, b in ALIASES.items()]
+    body = body.strip()
+    if body[:4].upper() == "WITH":       # merge the body's own CTEs after ours
+        return "WITH " + ",\n".join(parts) + ",\n" + body[4:]
     return "WITH " + ",\n".join(parts) + "\n" + body

@@ -7,6 +7,7 @@ the five view files so a deploy can run one group at a time.
 from __future__ import annotations
 
 from tessera.plans import marts_cmdb as MC
+from tessera.plans import marts_entity as ME
 from tessera.plans import marts_finance as MF
 from tessera.plans import marts_tickets as MT
 
@@ -39,6 +40,12 @@ MARTS = [
     ("vw_fact_ticket_enrichment", MF.build_vw_fact_ticket_enrichment, "analytics_v2"),
     ("vw_dim_os_inventory", MF.build_vw_dim_os_inventory, "analytics_v2"),
     ("vw_fact_satisfaction_summary", MF.build_vw_fact_satisfaction_summary, "analytics_v2"),
+    ("vw_dim_entity", ME.build_vw_dim_entity, "entity"),
+    ("vw_entity_overview", ME.build_vw_entity_overview, "entity"),
+    ("vw_entity_sla_monthly", ME.build_vw_entity_sla_monthly, "entity"),
+    ("vw_entity_asset_distribution", ME.build_vw_entity_asset_distribution, "entity"),
+    ("vw_entity_project_performance", ME.build_vw_entity_project_performance, "entity"),
+    ("vw_rack_inventory", ME.build_vw_rack_inventory, "entity"),
 ]
 
 
