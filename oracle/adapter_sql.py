@@ -196,7 +196,8 @@ CTES: list[tuple[str, str]] = [
       CAST(c.id % 2 AS INTEGER) AS is_dynamic, c.date_mod AS date_creation
       FROM glpi_computers c JOIN part ON c.id = p_partkey"""),
     ("glpi_softwares", """SELECT p_partkey AS id, p_name AS name, CAST(substr(p_brand, 7, 3) AS BIGINT) AS manufacturers_id,
-      CAST(p_partkey % 2 AS INTEGER) AS is_helpdesk_visible, CASE WHEN p_partkey % 89 = 0 THEN 1 ELSE 0 END AS is_deleted FROM part"""),
+      CAST(p_partkey % 2 AS INTEGER) AS is_helpdesk_visible, CASE WHEN p_partkey % 89 = 0 THEN 1 ELSE 0 END AS is_deleted,
+      CAST(p_partkey % 25 + 100 AS BIGINT) AS entities_id FROM part"""),
     ("glpi_softwareversions", "SELECT p_partkey AS id, p_partkey AS softwares_id, 'v' || p_size AS name FROM part"),
     ("license_rows", f"""SELECT p_partkey AS softwares_id,
       CAST(CASE WHEN p_partkey % 11 = 0 THEN 0 WHEN p_partkey % 11 = 1 THEN NULL ELSE p_size END AS INTEGER) AS number,
@@ -213,7 +214,8 @@ CTES: list[tuple[str, str]] = [
     ("glpi_suppliers", """SELECT s_suppkey AS id, s_name AS name, CAST(s_nationkey % 3 + 1 AS BIGINT) AS suppliertypes_id,
       'contato' || s_suppkey || '@fornecedor.example' AS email, '+55 11 9' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS phonenumber,
       'Cidade ' || s_nationkey AS town, 'SP' AS state, 'https://fornecedor' || s_suppkey || '.example' AS website,
-      CASE WHEN s_suppkey % 9 = 0 THEN 0 ELSE 1 END AS is_active, CASE WHEN s_suppkey % 23 = 22 THEN 1 ELSE 0 END AS is_deleted
+      CASE WHEN s_suppkey % 9 = 0 THEN 0 ELSE 1 END AS is_active, CASE WHEN s_suppkey % 23 = 22 THEN 1 ELSE 0 END AS is_deleted,
+      CAST(s_nationkey + 100 AS BIGINT) AS entities_id
       FROM supplier"""),
     ("glpi_suppliertypes", """SELECT id, CASE id WHEN 1 THEN 'Distribuidor' WHEN 2 THEN 'Fabricante' WHEN 3 THEN 'Serviços' END AS name
       FROM (SELECT DISTINCT CAST(s_nationkey % 3 + 1 AS BIGINT) AS id FROM supplier)"""),
@@ -222,7 +224,7 @@ CTES: list[tuple[str, str]] = [
       CAST(s_suppkey % 3 + 1 AS BIGINT) AS contracttypes_id, CAST(first_ship AS DATE) AS begin_date,
       CAST(s_suppkey % 60 + 1 AS INTEGER) AS duration,
       CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE 'Cobertura fornecedor ' || s_suppkey END AS comment,
-      CASE WHEN s_suppkey % 31 = 30 THEN 1 ELSE 0 END AS is_deleted
+      CASE WHEN s_suppkey % 31 = 30 THEN 1 ELSE 0 END AS is_deleted, CAST(0 AS BIGINT) AS entities_id
       FROM supplier LEFT JOIN supplier_first_ship ON s_suppkey = l_suppkey"""),
     ("glpi_contracttypes", """SELECT id, CASE id WHEN 1 THEN 'Suporte' WHEN 2 THEN 'Manutenção' WHEN 3 THEN 'Locação' END AS name
       FROM (SELECT DISTINCT CAST(s_suppkey % 3 + 1 AS BIGINT) AS id FROM supplier)"""),

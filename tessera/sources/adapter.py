@@ -452,7 +452,8 @@ class DriverSources:
         return self.t.part.select(k.alias("id"), F.col("p_name").alias("name"),
                                   F.substring("p_brand", 7, 3).cast("bigint").alias("manufacturers_id"),
                                   (k % 2).cast("int").alias("is_helpdesk_visible"),
-                                  F.when(k % 89 == 0, 1).otherwise(0).alias("is_deleted"))
+                                  F.when(k % 89 == 0, 1).otherwise(0).alias("is_deleted"),
+                                  (k % 25 + NATION_ENTITY_OFFSET).cast("bigint").alias("entities_id"))
 
     @cached_property
     def softwareversions(self) -> DataFrame:
@@ -498,7 +499,8 @@ class DriverSources:
                         F.lit("SP").alias("state"),
                         F.concat(F.lit("https://fornecedor"), k, F.lit(".example")).alias("website"),
                         F.when(k % 9 == 0, 0).otherwise(1).alias("is_active"),
-                        F.when(k % 23 == 22, 1).otherwise(0).alias("is_deleted"))
+                        F.when(k % 23 == 22, 1).otherwise(0).alias("is_deleted"),
+                        (F.col("s_nationkey") + NATION_ENTITY_OFFSET).cast("bigint").alias("entities_id"))
 
     @cached_property
     def suppliertypes(self) -> DataFrame:
@@ -520,7 +522,8 @@ class DriverSources:
                         (k % 60 + 1).cast("int").alias("duration"),
                         F.when(k % 4 == 0, F.lit(None)).otherwise(
                             F.concat(F.lit("Cobertura fornecedor "), k)).alias("comment"),
-                        F.when(k % 31 == 30, 1).otherwise(0).alias("is_deleted"))
+                        F.when(k % 31 == 30, 1).otherwise(0).alias("is_deleted"),
+                        F.lit(0).cast("bigint").alias("entities_id"))
 
     @cached_property
     def contracttypes(self) -> DataFrame:
