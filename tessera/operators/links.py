@@ -19,6 +19,17 @@ def first_link(links: DataFrame, key: str, actor: str, role: int | None = None,
     return df.groupBy(key).agg(F.min(actor).alias(out or actor))
 
 
+def first_links(links: DataFrame, key: str, actor: str, roles: dict, role_col: str = "type",
+                out_key: str | None = None) -> DataFrame:
+    """C1 for several roles in ONE aggregate: ``{role: out_col}`` ->
+    ``min(CASE WHEN type = role THEN actor END)`` per key.  Keys with no
+    link of a role get NULL, exactly like a left join to the per-role
+    aggregate; keys with no link at all are absent (left join -> NULL)."""
+    aggs = [F.min(F.when(F.col(role_col) == r, F.col(actor))).alias(o) for r, o in roles.items()]
+    df = links.where(F.col(role_col).isin(*roles))
+    return df.groupBy(F.col(key).alias(out_key or key)).agg(*aggs)
+
+
 def first_group_name(groups_users: DataFrame, groups: DataFrame, out: str = "group_name") -> DataFrame:
     """User -> lowest group *name* among the user's groups."""
     g = groups.select(F.col("id").alias("_gid"), F.col("name").alias("_gname"))

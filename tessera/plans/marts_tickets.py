@@ -17,7 +17,7 @@ from tessera.functions.labels import code_label, in_codes
 from tessera.functions.ratios import pct
 from tessera.functions.time import diff_units, ntz, year_month
 from tessera.operators.links import (
-    default_email, first_group_name, first_link, full_name, full_name_nullsafe,
+    default_email, first_group_name, first_link, first_links, full_name, full_name_nullsafe,
 )
 from tessera.operators.sla import count_when, sla_breached, sla_flag, sla_met, sla_status
 
@@ -49,8 +49,7 @@ def build_vw_glpi_tickets(src, as_of: datetime) -> DataFrame:
                                        T("completename").alias("cat_path"))
     groups = src["groups"].select(T("id").alias("grp_id"), T("name").alias("grp_name"))
     gt = first_link(src["groups_tickets"], "tickets_id", "groups_id", 2, out="gt_group").withColumnRenamed("tickets_id", "k1")
-    req = first_link(src["tickets_users"], "tickets_id", "users_id", 1, out="req_uid").withColumnRenamed("tickets_id", "k2")
-    tech = first_link(src["tickets_users"], "tickets_id", "users_id", 2, out="tech_uid").withColumnRenamed("tickets_id", "k3")
+    people = first_links(src["tickets_users"], "tickets_id", "users_id", {1: "req_uid", 2: "tech_uid"}, out_key="k2")
     users = src["users"].select("id", "firstname", "realname")
     req_u = users.select(T("id").alias("req_id"), T("firstname").alias("req_first"), T("realname").alias("req_real"))
     tech_u = users.select(T("id").alias("tech_id"), T("firstname").alias("tech_first"), T("realname").alias("tech_real"))
@@ -61,10 +60,9 @@ def build_vw_glpi_tickets(src, as_of: datetime) -> DataFrame:
     j = (t.join(cat, T("itilcategories_id") == T("cat_id"), "left")
           .join(gt, T("id") == T("k1"), "left")
           .join(groups, T("gt_group") == T("grp_id"), "left")
-          .join(req, T("id") == T("k2"), "left")
+          .join(people, T("id") == T("k2"), "left")
           .join(req_u, T("req_uid") == T("req_id"), "left")
           .join(mail, T("req_id") == T("mail_uid"), "left")
-          .join(tech, T("id") == T("k3"), "left")
           .join(tech_u, T("tech_uid") == T("tech_id"), "left")
           .join(tgrp, T("tech_id") == T("tg_uid"), "left")
           .join(sla, T("slas_id_ttr") == T("sla_pk"), "left"))
@@ -110,10 +108,8 @@ def build_vw_fact_tickets(src, as_of: datetime) -> DataFrame:
     now = ntz(as_of)
     t = live_tickets(src)
     gt = first_link(src["groups_tickets"], "tickets_id", "groups_id", 2, out="gt_group").withColumnRenamed("tickets_id", "k1")
-    req = first_link(src["tickets_users"], "tickets_id", "users_id", 1, out="req_uid").withColumnRenamed("tickets_id", "k2")
-    tech = first_link(src["tickets_users"], "tickets_id", "users_id", 2, out="tech_uid").withColumnRenamed("tickets_id", "k3")
-    j = (t.join(gt, T("id") == T("k1"), "left").join(req, T("id") == T("k2"), "left")
-          .join(tech, T("id") == T("k3"), "left"))
+    people = first_links(src["tickets_users"], "tickets_id", "users_id", {1: "req_uid", 2: "tech_uid"}, out_key="k2")
+    j = t.join(gt, T("id") == T("k1"), "left").join(people, T("id") == T("k2"), "left")
     status, created = T("status"), T("date")
     return j.select(
         T("id").alias("ticket_id"), T("name").alias("ticket_title"),

@@ -342,10 +342,14 @@ def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters
     todo = _closure(names)
     groups: dict[tuple, list[Measure]] = {}
     parts: list[DataFrame] = []
+    timed = any(k in TIME_KEYS for k in by)
     for n in todo:
         m = MEASURES[n]
         if m.kind == "agg":
-            groups.setdefault((m.mart, m.date_col, n in ignore), []).append(m)
+            # the date role only matters when the grouping has time keys;
+            # otherwise all measures of a mart share ONE aggregation pass
+            role = m.date_col if timed else None
+            groups.setdefault((m.mart, role, n in ignore), []).append(m)
     for (mart, date_col, unfiltered), ms in groups.items():
         df = model.mart(mart)
         if not unfiltered:
