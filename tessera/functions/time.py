@@ -50,3 +50,17 @@ def year_month(ts: Column) -> Column:
 def weekday_sun1(ts: Column) -> Column:
     """DAYOFWEEK: Sunday = 1 .. Saturday = 7."""
     return F.dayofweek(ts)
+
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def ntz_to_instant(ts: Column) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP read as UTC, independent of the session
+    time zone (streaming watermarks require TIMESTAMP)."""
+    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, {ts._jc.toString()})"))
+
+
+def instant_to_ntz(ts: Column) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr(_EPOCH_NTZ))

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.functions.time import instant_to_ntz, ntz_to_instant
+
 T = F.col
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -23,8 +25,10 @@ def volume(events: DataFrame, width: str = "1 hour", slide: str | None = None) -
     w = F.window("ts", width, slide) if slide else F.window("ts", width)
     agg = events.groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("events"),
                                                          F.round(F.sum("value"), 4).alias("value_sum"))
-    return agg.select(T("w.start").alias("window_start"), T("w.end").alias("window_end"), "event_type", "events",
-                      "value_sum")
+    start, end = T("w.start"), T("w.end")
+    if dict(events.dtypes).get("ts") == "timestamp":          # streaming input (instant)
+        start, end = instant_to_ntz(start), instant_to_ntz(end)
+    return agg.select(start.alias("window_start"), end.alias("window_end"), "event_type", "events", "value_sum")
 
 
 def start_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, width: str = "1 hour",
@@ -33,7 +37,7 @@ def start_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: st
     """Stream parquet files from ``source_dir``; ``sink`` is a path (parquet)
     or ``memory`` (tests).  Checkpoint must be shared storage on a cluster."""
     events = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source_dir)
-              .withWatermark("ts", watermark))
+              .withColumn("ts", ntz_to_instant(T("ts"))).withWatermark("ts", watermark))
     out = volume(events, width, slide)
     w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="60 seconds")
