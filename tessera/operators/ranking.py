@@ -24,6 +24,16 @@ def rank_desc(df: DataFrame, value: str, out: str = "rank", by: list | tuple = (
     return df.join(ranked, [*by, value], "left")
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Materialise a small, expensive intermediate that feeds several
+    branches (rank join-back, global stats).  Column pruning makes the
+    branches' plans differ, so Spark would recompute it per branch; a
+    reliable checkpoint in the session's shared checkpoint folder computes
+    it once and survives executor loss."""
+    from tessera.session import cut_lineage
+    return cut_lineage(df)
+
+
 def with_global(df: DataFrame, **aggs: Column) -> DataFrame:
     """Attach one-row aggregates over ``df`` to every row (broadcast)."""
     one = df.agg(*[c.alias(n) for n, c in aggs.items()])

@@ -42,65 +42,100 @@ def _mttr_min():
 
 
 # --------------------------------------------------------------------- V1
-def build_vw_glpi_tickets(src, as_of: datetime) -> DataFrame:
+# Columns supplied by each left-join block of V1.  Catalyst cannot drop an
+# unused left join to a lookup whose key it cannot prove unique, so callers
+# that need only some columns (measures, pages) pass ``needs`` and only the
+# blocks providing those columns are joined.
+V1_JOIN_BLOCKS = {
+    "category": ("category_name", "category_full_path", "category_parent"),
+    "group": ("assigned_group_id", "assigned_group_name"),
+    "requester": ("requester_id", "requester_name", "requester_email"),
+    "technician": ("technician_id", "technician_name", "technician_group"),
+    "sla": ("sla_name",),
+}
+
+
+def build_vw_glpi_tickets(src, as_of: datetime, needs: set | frozenset | None = None) -> DataFrame:
+    """V1.  ``needs=None`` builds every column; otherwise only the join
+    blocks that provide a column in ``needs`` (base ticket columns are
+    always present)."""
     now = ntz(as_of)
-    t = live_tickets(src)
-    cat = src["itilcategories"].select(T("id").alias("cat_id"), T("name").alias("cat_name"),
-                                       T("completename").alias("cat_path"))
-    groups = src["groups"].select(T("id").alias("grp_id"), T("name").alias("grp_name"))
-    gt = first_link(src["groups_tickets"], "tickets_id", "groups_id", 2, out="gt_group").withColumnRenamed("tickets_id", "k1")
-    people = first_links(src["tickets_users"], "tickets_id", "users_id", {1: "req_uid", 2: "tech_uid"}, out_key="k2")
-    users = src["users"].select("id", "firstname", "realname")
-    req_u = users.select(T("id").alias("req_id"), T("firstname").alias("req_first"), T("realname").alias("req_real"))
-    tech_u = users.select(T("id").alias("tech_id"), T("firstname").alias("tech_first"), T("realname").alias("tech_real"))
-    mail = default_email(src["useremails"], "req_email").withColumnRenamed("users_id", "mail_uid")
-    tgrp = first_group_name(src["groups_users"], src["groups"], "tech_grp").withColumnRenamed("users_id", "tg_uid")
-    sla = src["slas"].select(T("id").alias("sla_pk"), T("name").alias("sla_nm"))
-
-    j = (t.join(cat, T("itilcategories_id") == T("cat_id"), "left")
-          .join(gt, T("id") == T("k1"), "left")
-          .join(groups, T("gt_group") == T("grp_id"), "left")
-          .join(people, T("id") == T("k2"), "left")
-          .join(req_u, T("req_uid") == T("req_id"), "left")
-          .join(mail, T("req_id") == T("mail_uid"), "left")
-          .join(tech_u, T("tech_uid") == T("tech_id"), "left")
-          .join(tgrp, T("tech_id") == T("tg_uid"), "left")
-          .join(sla, T("slas_id_ttr") == T("sla_pk"), "left"))
+    want = {b for b, cols in V1_JOIN_BLOCKS.items() if needs is None or set(cols) & set(needs)}
+    j = live_tickets(src)
+    if "category" in want:
+        cat = src["itilcategories"].select(T("id").alias("cat_id"), T("name").alias("cat_name"),
+                                           T("completename").alias("cat_path"))
+        j = j.join(cat, T("itilcategories_id") == T("cat_id"), "left")
+    if "group" in want:
+        gt = first_link(src["groups_tickets"], "tickets_id", "groups_id", 2, out="gt_group").withColumnRenamed("tickets_id", "k1")
+        groups = src["groups"].select(T("id").alias("grp_id"), T("name").alias("grp_name"))
+        j = j.join(gt, T("id") == T("k1"), "left").join(groups, T("gt_group") == T("grp_id"), "left")
+    if want & {"requester", "technician"}:
+        roles = {}
+        if "requester" in want:
+            roles[1] = "req_uid"
+        if "technician" in want:
+            roles[2] = "tech_uid"
+        people = first_links(src["tickets_users"], "tickets_id", "users_id", roles, out_key="k2")
+        j = j.join(people, T("id") == T("k2"), "left")
+        users = src["users"].select("id", "firstname", "realname")
+        if "requester" in want:
+            req_u = users.select(T("id").alias("req_id"), T("firstname").alias("req_first"), T("realname").alias("req_real"))
+            mail = default_email(src["useremails"], "req_email").withColumnRenamed("users_id", "mail_uid")
+            j = (j.join(req_u, T("req_uid") == T("req_id"), "left")
+                  .join(mail, T("req_id") == T("mail_uid"), "left"))
+        if "technician" in want:
+            tech_u = users.select(T("id").alias("tech_id"), T("firstname").alias("tech_first"), T("realname").alias("tech_real"))
+            tgrp = first_group_name(src["groups_users"], src["groups"], "tech_grp").withColumnRenamed("users_id", "tg_uid")
+            j = (j.join(tech_u, T("tech_uid") == T("tech_id"), "left")
+                  .join(tgrp, T("tech_id") == T("tg_uid"), "left"))
+    if "sla" in want:
+        sla = src["slas"].select(T("id").alias("sla_pk"), T("name").alias("sla_nm"))
+        j = j.join(sla, T("slas_id_ttr") == T("sla_pk"), "left")
     status, due, created = T("status"), T("time_to_resolve"), T("date")
-    return j.select(
-        T("id").alias("ticket_id"), T("entities_id").alias("entity_id"), T("name").alias("ticket_title"),
-        created.alias("created_at"), T("solvedate").alias("resolved_at"), T("closedate").alias("closed_at"),
-        T("takeintoaccountdate").alias("assigned_at"), T("date_mod").alias("last_modified_at"),
-        year_month(created).alias("created_year_month"), F.year(created).alias("created_year"),
-        F.month(created).alias("created_month"), F.quarter(created).alias("created_quarter"),
-        F.dayofweek(created).alias("created_weekday"),
-        status.alias("status_code"), code_label(status, D.STATUS_LABELS, D.STATUS_UNKNOWN).alias("status_label"),
-        in_codes(status, D.OPEN_CODES).alias("is_open"), in_codes(status, D.RESOLVED_CODES).alias("is_resolved"),
-        in_codes(status, (D.CLOSED_CODE,)).alias("is_closed"),
-        T("priority").alias("priority_code"),
-        code_label(T("priority"), D.PRIORITY_LABELS, D.PRIORITY_UNKNOWN).alias("priority_label"),
-        T("type").alias("ticket_type_code"), code_label(T("type"), D.TYPE_LABELS, D.TYPE_UNKNOWN).alias("ticket_type_label"),
-        T("itilcategories_id").alias("category_id"),
-        F.coalesce(T("cat_name"), F.lit(D.NO_CATEGORY)).alias("category_name"),
-        F.coalesce(T("cat_path"), F.lit(D.NO_CATEGORY)).alias("category_full_path"),
-        _category_parent(T("cat_path"), T("cat_name")).alias("category_parent"),
-        F.coalesce(T("grp_id"), F.lit(0)).cast("bigint").alias("assigned_group_id"),
-        F.coalesce(T("grp_name"), F.lit(D.NO_GROUP)).alias("assigned_group_name"),
-        T("req_id").alias("requester_id"), full_name_nullsafe(T("req_first"), T("req_real")).alias("requester_name"),
-        F.coalesce(T("req_email"), F.lit("")).alias("requester_email"),
-        T("tech_id").alias("technician_id"), full_name_nullsafe(T("tech_first"), T("tech_real")).alias("technician_name"),
-        F.coalesce(T("tech_grp"), F.lit(D.NO_GROUP)).alias("technician_group"),
-        T("slas_id_ttr").alias("sla_id"), F.coalesce(T("sla_nm"), F.lit(D.SLA_NONE)).alias("sla_name"),
-        due.alias("sla_due_at"),
-        sla_status(now, fallback=D.SLA_NONE).alias("sla_status"),
-        sla_flag().alias("sla_compliant"),
-        _minutes_if(created, T("solvedate")).alias("resolution_time_min"),
-        _minutes_if(created, T("closedate")).alias("closure_time_min"),
-        _minutes_if(created, T("takeintoaccountdate")).alias("time_to_own_min"),
-        F.when(~status.isin(*D.RESOLVED_CODES), diff_units("MINUTE", created, now)).alias("age_open_min"),
-        F.round(T("solve_delay_stat") / 60.0, 2).alias("solve_delay_min"),
-        F.round(T("close_delay_stat") / 60.0, 2).alias("close_delay_min"),
-    )
+    cols = [
+        (None, T("id").alias("ticket_id")), (None, T("entities_id").alias("entity_id")),
+        (None, T("name").alias("ticket_title")),
+        (None, created.alias("created_at")), (None, T("solvedate").alias("resolved_at")),
+        (None, T("closedate").alias("closed_at")),
+        (None, T("takeintoaccountdate").alias("assigned_at")), (None, T("date_mod").alias("last_modified_at")),
+        (None, year_month(created).alias("created_year_month")), (None, F.year(created).alias("created_year")),
+        (None, F.month(created).alias("created_month")), (None, F.quarter(created).alias("created_quarter")),
+        (None, F.dayofweek(created).alias("created_weekday")),
+        (None, status.alias("status_code")),
+        (None, code_label(status, D.STATUS_LABELS, D.STATUS_UNKNOWN).alias("status_label")),
+        (None, in_codes(status, D.OPEN_CODES).alias("is_open")),
+        (None, in_codes(status, D.RESOLVED_CODES).alias("is_resolved")),
+        (None, in_codes(status, (D.CLOSED_CODE,)).alias("is_closed")),
+        (None, T("priority").alias("priority_code")),
+        (None, code_label(T("priority"), D.PRIORITY_LABELS, D.PRIORITY_UNKNOWN).alias("priority_label")),
+        (None, T("type").alias("ticket_type_code")),
+        (None, code_label(T("type"), D.TYPE_LABELS, D.TYPE_UNKNOWN).alias("ticket_type_label")),
+        (None, T("itilcategories_id").alias("category_id")),
+        ("category", F.coalesce(T("cat_name"), F.lit(D.NO_CATEGORY)).alias("category_name")),
+        ("category", F.coalesce(T("cat_path"), F.lit(D.NO_CATEGORY)).alias("category_full_path")),
+        ("category", _category_parent(T("cat_path"), T("cat_name")).alias("category_parent")),
+        ("group", F.coalesce(T("grp_id"), F.lit(0)).cast("bigint").alias("assigned_group_id")),
+        ("group", F.coalesce(T("grp_name"), F.lit(D.NO_GROUP)).alias("assigned_group_name")),
+        ("requester", T("req_id").alias("requester_id")),
+        ("requester", full_name_nullsafe(T("req_first"), T("req_real")).alias("requester_name")),
+        ("requester", F.coalesce(T("req_email"), F.lit("")).alias("requester_email")),
+        ("technician", T("tech_id").alias("technician_id")),
+        ("technician", full_name_nullsafe(T("tech_first"), T("tech_real")).alias("technician_name")),
+        ("technician", F.coalesce(T("tech_grp"), F.lit(D.NO_GROUP)).alias("technician_group")),
+        (None, T("slas_id_ttr").alias("sla_id")),
+        ("sla", F.coalesce(T("sla_nm"), F.lit(D.SLA_NONE)).alias("sla_name")),
+        (None, due.alias("sla_due_at")),
+        (None, sla_status(now, fallback=D.SLA_NONE).alias("sla_status")),
+        (None, sla_flag().alias("sla_compliant")),
+        (None, _minutes_if(created, T("solvedate")).alias("resolution_time_min")),
+        (None, _minutes_if(created, T("closedate")).alias("closure_time_min")),
+        (None, _minutes_if(created, T("takeintoaccountdate")).alias("time_to_own_min")),
+        (None, F.when(~status.isin(*D.RESOLVED_CODES), diff_units("MINUTE", created, now)).alias("age_open_min")),
+        (None, F.round(T("solve_delay_stat") / 60.0, 2).alias("solve_delay_min")),
+        (None, F.round(T("close_delay_stat") / 60.0, 2).alias("close_delay_min")),
+    ]
+    return j.select(*[c for block, c in cols if block is None or block in want])
 
 
 # --------------------------------------------------------------------- V2

@@ -63,6 +63,7 @@ class Measure:
     date_col: str | None = None
     optional_col: str | None = None             # measure is NULL when the mart lacks it
     unfiltered: bool = False                    # ALL(): ignore the filter context
+    needs: tuple = ()                           # join-provided mart columns the measure reads
 
 
 def count_if(pred: Column) -> Column:
@@ -110,8 +111,9 @@ def _percentile(col: str, p: float):
 M: list[Measure] = []
 
 
-def _agg(name, ref, mart, expr, date_col=None, optional_col=None):
-    M.append(Measure(name, ref, "agg", mart, expr=expr, date_col=date_col, optional_col=optional_col))
+def _agg(name, ref, mart, expr, date_col=None, optional_col=None, needs=()):
+    M.append(Measure(name, ref, "agg", mart, expr=expr, date_col=date_col, optional_col=optional_col,
+                     needs=tuple(needs)))
 
 
 def _post(name, ref, post, deps):
@@ -151,7 +153,8 @@ _agg("backlog_2_7d", "M18", BK, lambda c: count_if(T("age_days").between(2, 7)),
 _agg("backlog_8_30d", "M19", BK, lambda c: count_if(T("age_days").between(8, 30)), "created_at")
 _agg("backlog_over_30d", "M20", BK, lambda c: count_if(T("age_days") > 30), "created_at")
 _agg("avg_backlog_age_days", "M21", BK, lambda c: F.avg("age_days"), "created_at")
-_agg("active_technicians", "M22", TK, lambda c: distinct_with_blank(T("technician_id")), "created_at")
+_agg("active_technicians", "M22", TK, lambda c: distinct_with_blank(T("technician_id")), "created_at",
+     needs=("technician_id",))
 _post("tickets_per_technician", "M23", lambda c: divide(T("closed_tickets"), T("active_technicians")),
       ["closed_tickets", "active_technicians"])
 _agg("reopen_tickets", "M24a", TK, lambda c: count_if(T("reopen_count") > 0), "created_at", optional_col="reopen_count")
@@ -169,15 +172,17 @@ _table("top_performer", "M26", TP,
        lambda df, by, c: arg_max(df, by, T("technician_name"), T("tickets_closed"), "top_performer"))
 
 
-def _weekday_name() -> Column:
-    # DAYOFWEEK: Sunday = 1; names Monday-first -> shift
-    names = F.array(*[F.lit(n) for n in (D.WEEKDAY_NAMES_EN[6],) + D.WEEKDAY_NAMES_EN[:6]])
-    return F.element_at(names, T("created_weekday"))
+def _peak_weekday(ctx: Ctx) -> Column:
+    """Peak weekday in the main aggregation pass: seven conditional counts,
+    then the largest (count, name) struct - ties go to the largest name,
+    as TOPN(1) + MAXX does.  DAYOFWEEK numbering: Sunday = 1."""
+    names = (D.WEEKDAY_NAMES_EN[6],) + D.WEEKDAY_NAMES_EN[:6]
+    cells = [F.struct(count_if(T("created_weekday") == i + 1).alias("n"), F.lit(n).alias("name"))
+             for i, n in enumerate(names)]
+    return F.array_max(F.array(*cells)).getField("name")
 
 
-_table("peak_weekday", "M27", TK,
-       lambda df, by, c: arg_max(df.withColumn("weekday_name", _weekday_name()), by, None, F.count(F.lit(1)),
-                                 "peak_weekday", pre_group=["weekday_name"]), "created_at")
+_agg("peak_weekday", "M27", TK, _peak_weekday, "created_at")
 _agg("created_today", "M33", TK, lambda c: count_if(F.to_date("created_at") == c.today), "created_at")
 _agg("resolved_today", "M34", TK, lambda c: count_if(F.to_date("resolved_at") == c.today), "resolved_at")
 _post("today_resolution_rate", "M35", lambda c: divide(T("resolved_today"), T("created_today")),
@@ -350,8 +355,9 @@ def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters
             # otherwise all measures of a mart share ONE aggregation pass
             role = m.date_col if timed else None
             groups.setdefault((m.mart, role, n in ignore), []).append(m)
+    ctx_cols = set(by) | {k for k in ctx.filters if "." not in k}
     for (mart, date_col, unfiltered), ms in groups.items():
-        df = model.mart(mart)
+        df = model.mart(mart, needs=ctx_cols.union(*[m.needs for m in ms]))
         if not unfiltered:
             df = apply_filters(model, mart, df, ctx.filters)
         df = _time_keys(df, by, date_col)
@@ -366,7 +372,7 @@ def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters
         m = MEASURES[n]
         if m.kind != "table":
             continue
-        df = model.mart(m.mart)
+        df = model.mart(m.mart, needs=ctx_cols | set(m.needs))
         if not (m.unfiltered or n in ignore):
             df = apply_filters(model, m.mart, df, ctx.filters)
         if m.unfiltered:

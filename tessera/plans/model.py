@@ -10,6 +10,8 @@ relationship edge as a left-semi join (no row duplication); ``ignore``
 
 from __future__ import annotations
 
+import inspect
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -47,12 +49,18 @@ class Model:
         self.src = src
         self.as_of = as_of
         self._builders = {**mart_builders(), **(extra_marts or {})}
-        self._cache: dict[str, DataFrame] = {}
+        self._cache: dict[tuple, DataFrame] = {}
 
-    def mart(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self._builders[name](self.src, self.as_of)
-        return self._cache[name]
+    def mart(self, name: str, needs: Iterable[str] | None = None) -> DataFrame:
+        """Mart plan; ``needs`` (join-provided columns the caller uses) lets
+        column-aware builders skip unused joins.  ``None`` = every column."""
+        builder = self._builders[name]
+        aware = "needs" in inspect.signature(builder).parameters
+        key = (name, frozenset(needs) if (needs is not None and aware) else None)
+        if key not in self._cache:
+            self._cache[key] = builder(self.src, self.as_of, needs=key[1]) if key[1] is not None \
+                else builder(self.src, self.as_of)
+        return self._cache[key]
 
     def names(self):
         return list(self._builders)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera import domains as D
 from tessera.functions.time import date_lit, diff_units, ntz
 from tessera.operators import timeintel as TI
-from tessera.operators.ranking import rank_desc, top_k, with_global
+from tessera.operators.ranking import rank_desc, reuse, top_k, with_global
 from tessera.plans.analytics import round_doubles
 from tessera.plans.measures import count_if, divide, evaluate, icon
 from tessera.plans.model import Model
@@ -76,7 +76,7 @@ def page_monthly_volume_sla(src, as_of: datetime) -> DataFrame:
 
 def page_status_mix(src, as_of: datetime) -> DataFrame:
     """Status donut."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=())
     return t.groupBy("status_code", "status_label").agg(F.count(F.lit(1)).alias("tickets"))
 
 
@@ -93,7 +93,7 @@ def page_entity_treemap(src, as_of: datetime) -> DataFrame:
 
 def page_top_categories(src, as_of: datetime) -> DataFrame:
     """Top 5 categories with open, SLA %, MTTR and month-over-month trend."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=("category_name",))
     cur = as_of.strftime("%Y-%m")
     prev = (as_of.replace(day=1) - timedelta(days=1)).strftime("%Y-%m")
     agg = t.groupBy("category_name").agg(
@@ -118,7 +118,7 @@ def page_entity_sla_trend(src, as_of: datetime) -> DataFrame:
 
 def page_sla_by_category(src, as_of: datetime) -> DataFrame:
     """SLA % by category, worst first, bands <70 / 70-89 / >=90."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=("category_name",))
     agg = t.groupBy("category_name").agg(_sla_pct().alias("sla_compliance_pct"))
     return agg.select("category_name", "sla_compliance_pct",
                       _sla_band(T("sla_compliance_pct"), 70.0, 90.0).alias("band")
@@ -127,7 +127,7 @@ def page_sla_by_category(src, as_of: datetime) -> DataFrame:
 
 def page_sla_matrix(src, as_of: datetime) -> DataFrame:
     """SLA % matrix, assigned group x priority (pivot, known values)."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=("assigned_group_name",))
     pv = t.groupBy("assigned_group_name").pivot("priority_code", list(D.PRIORITY_LABELS)).agg(_sla_pct())
     return pv.select("assigned_group_name", *[T(str(p)).alias(f"p{p}") for p in D.PRIORITY_LABELS])
 
@@ -136,7 +136,8 @@ def page_recent_breaches(src, as_of: datetime, days: int = 30, k: int = 20) -> D
     """Breaches whose due time fell in the last ``days`` days, top ``k``
     by hours over target: (minutes - target minutes) / 60."""
     m = Model(src, as_of)
-    t = m.mart("vw_glpi_tickets").where(T("sla_status").isin(D.SLA_BREACHED, D.SLA_BREACHED_OPEN))
+    t = m.mart("vw_glpi_tickets", needs=("assigned_group_name",)).where(
+        T("sla_status").isin(D.SLA_BREACHED, D.SLA_BREACHED_OPEN))
     now = ntz(as_of)
     t = t.where((T("sla_due_at") > F.timestamp_add("DAY", F.lit(-days), now)) & (T("sla_due_at") <= now))
     sla = m.mart("vw_dim_sla").select(T("id").alias("_sid"), "sla_target_min")
@@ -150,7 +151,8 @@ def page_recent_breaches(src, as_of: datetime, days: int = 30, k: int = 20) -> D
 
 def page_at_risk(src, as_of: datetime) -> DataFrame:
     """Open tickets still inside their SLA."""
-    t = Model(src, as_of).mart("vw_glpi_tickets").where(T("sla_status") == D.SLA_AT_RISK)
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=("assigned_group_name",)).where(
+        T("sla_status") == D.SLA_AT_RISK)
     return t.select("ticket_id", "ticket_title", "priority_label", "assigned_group_name", "sla_due_at",
                     diff_units("HOUR", ntz(as_of), T("sla_due_at")).alias("hours_left"))
 
@@ -158,7 +160,7 @@ def page_at_risk(src, as_of: datetime) -> DataFrame:
 # ---------------------------------------------------------------- p03
 def page_category_type(src, as_of: datetime, k: int = 10) -> DataFrame:
     """Top-k categories x ticket type (semi-join on the top list + pivot)."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=("category_name",))
     top = top_k(t.groupBy("category_name").agg(F.count(F.lit(1)).alias("total_tickets")), k,
                 [F.desc("total_tickets"), F.asc("category_name")])
     pv = (t.join(top.select("category_name"), "category_name", "left_semi")
@@ -170,7 +172,7 @@ def page_category_type(src, as_of: datetime, k: int = 10) -> DataFrame:
 
 def page_lifecycle_funnel(src, as_of: datetime) -> DataFrame:
     """Volume at each lifecycle stage (one pass + stack unpivot)."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=("technician_id",))
     s = T("status_code")
     agg = t.agg(F.count(F.lit(1)).alias("s1"), count_if(T("technician_id").isNotNull()).alias("s2"),
                 count_if(s.isin(2, 3)).alias("s3"), count_if(s == 4).alias("s4"),
@@ -218,7 +220,7 @@ def page_changes_in_progress(src, as_of: datetime) -> DataFrame:
 
 # ---------------------------------------------------------------- p04
 def _tech_stats(m: Model) -> DataFrame:
-    t = m.mart("vw_glpi_tickets").where(T("technician_id").isNotNull())
+    t = m.mart("vw_glpi_tickets", needs=("technician_id",)).where(T("technician_id").isNotNull())
     return t.groupBy("technician_id", "technician_name", "technician_group").agg(
         count_if(T("is_resolved") == 1).alias("tickets_closed"), count_if(T("is_open") == 1).alias("tickets_open"),
         F.round(F.avg("resolution_time_min") / 60.0, 4).alias("mttr_hours"), _sla_pct().alias("sla_pct"))
@@ -227,7 +229,7 @@ def _tech_stats(m: Model) -> DataFrame:
 def page_technician_ranking(src, as_of: datetime) -> DataFrame:
     """G14 + W7/W8: rank by closed tickets, gap to the mean, load colour
     (>1.5x mean yellow, >2x red), worst-SLA and highest-MTTR flags."""
-    s = rank_desc(_tech_stats(Model(src, as_of)), "tickets_closed", "rank")
+    s = rank_desc(reuse(_tech_stats(Model(src, as_of))), "tickets_closed", "rank")
     s = with_global(s, _mean=F.avg("tickets_closed"), _max_mttr=F.max("mttr_hours"), _min_sla=F.min("sla_pct"))
     load = (F.when(T("tickets_closed") > 2 * T("_mean"), F.lit(RED))
             .when(T("tickets_closed") > 1.5 * T("_mean"), F.lit(YELLOW)).otherwise(F.lit(GREEN)))
@@ -241,7 +243,7 @@ def page_technician_ranking(src, as_of: datetime) -> DataFrame:
 
 def page_volume_mttr_quadrants(src, as_of: datetime) -> DataFrame:
     """Volume x MTTR quadrants split at the medians."""
-    s = _tech_stats(Model(src, as_of)).where(T("mttr_hours").isNotNull())
+    s = reuse(_tech_stats(Model(src, as_of)).where(T("mttr_hours").isNotNull()))
     s = with_global(s, _mv=F.percentile("tickets_closed", F.lit(0.5)), _mm=F.percentile("mttr_hours", F.lit(0.5)))
     hv, hm = T("tickets_closed") > T("_mv"), T("mttr_hours") > T("_mm")
     q = (F.when(hv & ~hm, F.lit(QUADRANTS[0])).when(~hv & hm, F.lit(QUADRANTS[1]))
@@ -251,7 +253,8 @@ def page_volume_mttr_quadrants(src, as_of: datetime) -> DataFrame:
 
 def page_tech_weekday_heatmap(src, as_of: datetime) -> DataFrame:
     """Closed tickets per technician x weekday of closure (Mon=1)."""
-    t = Model(src, as_of).mart("vw_glpi_tickets").where((T("is_closed") == 1) & T("technician_id").isNotNull())
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=("technician_id",)).where(
+        (T("is_closed") == 1) & T("technician_id").isNotNull())
     pv = (t.withColumn("wd", F.weekday("closed_at") + 1)
            .groupBy("technician_id", "technician_name").pivot("wd", list(range(1, 8))).agg(F.count(F.lit(1))))
     return pv.select("technician_id", "technician_name",
@@ -261,7 +264,7 @@ def page_tech_weekday_heatmap(src, as_of: datetime) -> DataFrame:
 # ---------------------------------------------------------------- p05
 def page_weekday_volume(src, as_of: datetime) -> DataFrame:
     """Tickets per weekday normalised by the number of weeks seen."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=())
     weeks = t.agg(F.count_distinct(F.date_trunc("week", "created_at")).alias("_weeks"))
     per = t.groupBy((F.weekday("created_at") + 1).alias("weekday")).agg(F.count(F.lit(1)).alias("tickets"))
     return per.crossJoin(F.broadcast(weeks)).select(
@@ -284,7 +287,7 @@ def page_hour_heatmap(src, as_of: datetime) -> DataFrame:
 
 def page_priority_mom(src, as_of: datetime) -> DataFrame:
     """Created tickets per priority, current vs previous month."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=())
     cur = as_of.strftime("%Y-%m")
     prev = (as_of.replace(day=1) - timedelta(days=1)).strftime("%Y-%m")
     agg = t.groupBy("priority_code", "priority_label").agg(
@@ -296,7 +299,7 @@ def page_priority_mom(src, as_of: datetime) -> DataFrame:
 def page_trend_weekly(src, as_of: datetime) -> DataFrame:
     """G20 (week granularity): weekly created series with 3-week average and
     +/- 1 std band, on a dense weekly spine."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=())
     wk = t.groupBy(F.to_date(F.date_trunc("week", "created_at")).alias("week")).agg(F.count(F.lit(1)).alias("tickets"))
     spine = wk.agg(F.min("week").alias("lo"), F.max("week").alias("hi")).select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias("week"))
@@ -311,7 +314,7 @@ def page_trend_weekly(src, as_of: datetime) -> DataFrame:
 def page_projection_30d(src, as_of: datetime, history_days: int = 90, horizon: int = 30) -> DataFrame:
     """Linear projection of daily created tickets for the next
     ``horizon`` days, fitted on the last ``history_days`` days (dense)."""
-    t = Model(src, as_of).mart("vw_glpi_tickets")
+    t = Model(src, as_of).mart("vw_glpi_tickets", needs=())
     end = as_of.date()
     start = end - timedelta(days=history_days - 1)
     daily = (t.where((F.to_date("created_at") >= date_lit(start)) & (F.to_date("created_at") <= date_lit(end)))
@@ -395,7 +398,7 @@ def page_asset_drillthrough(src, as_of: datetime, hourly_rate: float = DEFAULT_H
     contracts and support cost = resolution hours x hourly rate."""
     m = Model(src, as_of)
     at = m.mart("vw_fact_asset_tickets")
-    t = m.mart("vw_glpi_tickets").select(T("ticket_id").alias("_t"), "resolution_time_min")
+    t = m.mart("vw_glpi_tickets", needs=()).select(T("ticket_id").alias("_t"), "resolution_time_min")
     hist = at.join(t, T("ticket_id") == T("_t"), "left").groupBy("asset_key").agg(
         F.count(F.lit(1)).alias("tickets"), F.min("ticket_date").alias("first_ticket"),
         F.max("ticket_date").alias("last_ticket"),

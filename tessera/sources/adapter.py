@@ -740,5 +740,15 @@ class DriverSources:
             k.alias("items_id"))
 
 
+_HANDLES: dict[tuple, DriverSources] = {}
+
+
 def driver_sources(spark, sf_dir: str, as_of: datetime = AS_OF) -> DriverSources:
-    return DriverSources(DriverTables(spark, sf_dir), as_of)
+    """Source contracts over ``sf_dir``.  The object (table handles and
+    contract *plans*, no data) is reused per (application, folder, as_of):
+    building it re-lists files and re-analyses every plan, which costs
+    seconds on the driver; execution still reads the files every time."""
+    key = (spark.sparkContext.applicationId, sf_dir, as_of)
+    if key not in _HANDLES:
+        _HANDLES[key] = DriverSources(DriverTables(spark, sf_dir), as_of)
+    return _HANDLES[key]
