@@ -268,32 +268,51 @@ def build_vw_tech_productivity(src, as_of: datetime | None = None) -> DataFrame:
 
 
 # --------------------------------------------------------------------- V9
-def build_vw_backlog_open(src, as_of: datetime) -> DataFrame:
+V9_JOIN_BLOCKS = {
+    "category": ("category_name", "category_parent"),
+    "group": ("assigned_group",),
+    "technician": ("technician_name",),
+}
+
+
+def build_vw_backlog_open(src, as_of: datetime, needs: set | frozenset | None = None) -> DataFrame:
+    """V9 open-ticket snapshot; ``needs`` as for V1 (only the joins whose
+    columns are read are added)."""
     now = ntz(as_of)
-    t = live_tickets(src).where(~T("status").isin(*D.RESOLVED_CODES))
-    cat = src["itilcategories"].select(T("id").alias("cat_id"), T("name").alias("cat_name"),
-                                       T("completename").alias("cat_path"))
-    gt = first_link(src["groups_tickets"], "tickets_id", "groups_id", 2, out="gt_group").withColumnRenamed("tickets_id", "k1")
-    grp = src["groups"].select(T("id").alias("grp_id"), T("name").alias("grp_name"))
-    tu = first_link(src["tickets_users"], "tickets_id", "users_id", 2, out="tech_uid").withColumnRenamed("tickets_id", "k2")
-    u = src["users"].select(T("id").alias("u_id"), "firstname", "realname")
-    j = (t.join(cat, T("itilcategories_id") == T("cat_id"), "left")
-          .join(gt, T("id") == T("k1"), "left").join(grp, T("gt_group") == T("grp_id"), "left")
-          .join(tu, T("id") == T("k2"), "left").join(u, T("tech_uid") == T("u_id"), "left"))
+    want = {b for b, cols in V9_JOIN_BLOCKS.items() if needs is None or set(cols) & set(needs)}
+    j = live_tickets(src).where(~T("status").isin(*D.RESOLVED_CODES))
+    if "category" in want:
+        cat = src["itilcategories"].select(T("id").alias("cat_id"), T("name").alias("cat_name"),
+                                           T("completename").alias("cat_path"))
+        j = j.join(cat, T("itilcategories_id") == T("cat_id"), "left")
+    if "group" in want:
+        gt = first_link(src["groups_tickets"], "tickets_id", "groups_id", 2, out="gt_group").withColumnRenamed("tickets_id", "k1")
+        grp = src["groups"].select(T("id").alias("grp_id"), T("name").alias("grp_name"))
+        j = j.join(gt, T("id") == T("k1"), "left").join(grp, T("gt_group") == T("grp_id"), "left")
+    if "technician" in want:
+        tu = first_link(src["tickets_users"], "tickets_id", "users_id", 2, out="tech_uid").withColumnRenamed("tickets_id", "k2")
+        u = src["users"].select(T("id").alias("u_id"), "firstname", "realname")
+        j = j.join(tu, T("id") == T("k2"), "left").join(u, T("tech_uid") == T("u_id"), "left")
     due = T("time_to_resolve")
     urgency = (F.when(due.isNull(), F.lit(D.URGENCY_NONE)).when(now > due, F.lit(D.URGENCY_BREACHED))
                .when(diff_units("HOUR", now, due) < 4, F.lit(D.URGENCY_CRITICAL)).otherwise(F.lit(D.URGENCY_OK)))
-    return j.select(
-        T("id").alias("ticket_id"), T("name").alias("ticket_title"), T("date").alias("created_at"),
-        diff_units("DAY", T("date"), now).alias("age_days"), diff_units("HOUR", T("date"), now).alias("age_hours"),
-        code_label(T("status"), {k: v for k, v in D.STATUS_LABELS.items() if k in D.OPEN_CODES}).alias("status_label"),
-        T("priority").alias("priority_code"), code_label(T("priority"), D.PRIORITY_LABELS_COMPACT).alias("priority_label"),
-        F.coalesce("cat_name", F.lit(D.NO_CATEGORY)).alias("category_name"),
-        _category_parent(T("cat_path"), T("cat_name")).alias("category_parent"),
-        F.coalesce("grp_name", F.lit(D.NO_GROUP)).alias("assigned_group"),
-        full_name_nullsafe(T("firstname"), T("realname")).alias("technician_name"),
-        due.alias("sla_due_at"), urgency.alias("sla_urgency"),
-        diff_units("MINUTE", now, due).alias("sla_remaining_min"))
+    cols = [
+        (None, T("id").alias("ticket_id")), (None, T("name").alias("ticket_title")),
+        (None, T("date").alias("created_at")),
+        (None, diff_units("DAY", T("date"), now).alias("age_days")),
+        (None, diff_units("HOUR", T("date"), now).alias("age_hours")),
+        (None, code_label(T("status"), {k: v for k, v in D.STATUS_LABELS.items() if k in D.OPEN_CODES})
+         .alias("status_label")),
+        (None, T("priority").alias("priority_code")),
+        (None, code_label(T("priority"), D.PRIORITY_LABELS_COMPACT).alias("priority_label")),
+        ("category", F.coalesce("cat_name", F.lit(D.NO_CATEGORY)).alias("category_name")),
+        ("category", _category_parent(T("cat_path"), T("cat_name")).alias("category_parent")),
+        ("group", F.coalesce("grp_name", F.lit(D.NO_GROUP)).alias("assigned_group")),
+        ("technician", full_name_nullsafe(T("firstname"), T("realname")).alias("technician_name")),
+        (None, due.alias("sla_due_at")), (None, urgency.alias("sla_urgency")),
+        (None, diff_units("MINUTE", now, due).alias("sla_remaining_min")),
+    ]
+    return j.select(*[c for block, c in cols if block is None or block in want])
 
 
 # -------------------------------------------------------------------- V10

@@ -162,14 +162,20 @@ _post("reopen_rate", "M24", lambda c: divide(T("reopen_tickets"), T("total_ticke
 TP = "vw_tech_productivity"
 
 
-def _workload_std(df, by, ctx):
-    per = df.groupBy(*by, "technician_name").agg(F.sum("tickets_closed").alias("_t"))
-    return per.groupBy(*by).agg(F.stddev_pop("_t").alias("workload_stddev"))
-
-
-_table("workload_stddev", "M25", TP, _workload_std)
-_table("top_performer", "M26", TP,
-       lambda df, by, c: arg_max(df, by, T("technician_name"), T("tickets_closed"), "top_performer"))
+def _tech_workload(df, by, ctx):
+    """M25 + M26 from ONE pass over V8: per technician name the total and
+    the best single month of closed tickets; then the population std-dev
+    of the totals and the arg-max name (ties -> largest name)."""
+    per = df.groupBy(*by, "technician_name").agg(F.sum("tickets_closed").alias("_t"),
+                                                F.max("tickets_closed").alias("_mx"))
+    return per.groupBy(*by).agg(
+        F.stddev_pop("_t").alias("workload_stddev"),
+        F.max_by("technician_name", F.struct(T("_mx"), T("technician_name"))).alias("top_performer"))
+
+
+_table("_tech_workload", "M25/M26", TP, _tech_workload)
+_post("workload_stddev", "M25", lambda c: T("workload_stddev"), ["_tech_workload"])
+_post("top_performer", "M26", lambda c: T("top_performer"), ["_tech_workload"])
 
 
 def _peak_weekday(ctx: Ctx) -> Column:

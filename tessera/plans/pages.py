@@ -189,7 +189,7 @@ def _backlog_bucket(age: Column) -> Column:
 
 def page_backlog_histogram(src, as_of: datetime) -> DataFrame:
     """Backlog age histogram, five buckets, alert above 30 days."""
-    b = Model(src, as_of).mart("vw_backlog_open")
+    b = Model(src, as_of).mart("vw_backlog_open", needs=())
     order = F.when(T("age_days") <= 1, 1).when(T("age_days") <= 7, 2).when(T("age_days") <= 30, 3) \
              .when(T("age_days") <= 90, 4).otherwise(5)
     return (b.groupBy(order.alias("bucket_order"), _backlog_bucket(T("age_days")).alias("bucket"))
