@@ -31,7 +31,7 @@ def _asset(kind: int, prefix_sql: str, with_user: bool) -> str:
     user = ", p_partkey AS users_id" if with_user else ""
     return f"""SELECT p_partkey AS id, CAST(p_partkey % 25 + 100 AS BIGINT) AS entities_id,
       {prefix_sql} || p_partkey AS name, 'SN' || p_partkey AS serial,
-      p_partkey % 10 + {OFF} AS users_id_tech, CAST(p_partkey % 25 + 1 AS BIGINT) AS locations_id,
+      p_partkey // 20 + {OFF} AS users_id_tech, CAST(p_partkey % 25 + 1 AS BIGINT) AS locations_id,
       CAST(p_size % 3 + 1 AS BIGINT) AS states_id, CAST(substr(p_brand, 7, 3) AS BIGINT) AS manufacturers_id,
       p_partkey AS models_id, CAST(p_size AS BIGINT) AS types_id,
       CASE WHEN p_partkey % 97 = 0 THEN 1 ELSE 0 END AS is_deleted,
@@ -55,13 +55,13 @@ def _itil(event_type: str, prefix: str) -> str:
 
 
 def _ticket_links(event_type: str, key: str) -> str:
-    return f"""SELECT event_id AS {key}, (event_id * 7) % 1500 AS tickets_id FROM events WHERE event_type = '{event_type}'
-    UNION ALL SELECT event_id AS {key}, (event_id * 13) % 1500 AS tickets_id FROM events WHERE event_type = '{event_type}'"""
+    return f"""SELECT event_id AS {key}, (event_id * 3) // 2 AS tickets_id FROM events WHERE event_type = '{event_type}'
+    UNION ALL SELECT event_id AS {key}, (event_id * 3) // 2 + 1 AS tickets_id FROM events WHERE event_type = '{event_type}'"""
 
 
 def _tech_links(event_type: str, key: str) -> str:
-    return f"""SELECT event_id AS {key}, event_id % 10 + {OFF} AS users_id, 2 AS type FROM events WHERE event_type = '{event_type}'
-    UNION ALL SELECT event_id AS {key}, (event_id + 1) % 10 + {OFF} AS users_id, 2 AS type FROM events
+    return f"""SELECT event_id AS {key}, event_id // 100 + {OFF} AS users_id, 2 AS type FROM events WHERE event_type = '{event_type}'
+    UNION ALL SELECT event_id AS {key}, event_id // 100 + 1 + {OFF} AS users_id, 2 AS type FROM events
       WHERE event_type = '{event_type}' AND event_id % 3 = 0
     UNION ALL SELECT event_id AS {key}, user_id AS users_id, 1 AS type FROM events WHERE event_type = '{event_type}'"""
 
@@ -174,19 +174,19 @@ CTES: list[tuple[str, str]] = [
       l_partkey AS items_id, l_orderkey AS tickets_id FROM lineitem"""),
     ("part_first_ship", "SELECT l_partkey, min(l_shipdate) AS first_ship FROM lineitem GROUP BY l_partkey"),
     ("glpi_infocoms", f"""
-    SELECT p_partkey * 2 AS id, {itemtype('p_partkey')} AS itemtype, p_partkey AS items_id, p_partkey % 10 AS suppliers_id,
+    SELECT p_partkey * 2 AS id, {itemtype('p_partkey')} AS itemtype, p_partkey AS items_id, p_partkey // 20 AS suppliers_id,
       CAST(first_ship AS DATE) AS buy_date, CAST(first_ship AS DATE) + 7 AS use_date, p_retailprice AS value,
       p_size % 37 AS warranty_duration, CAST(p_size % 37 AS VARCHAR) || ' meses' AS warranty_info
     FROM part LEFT JOIN part_first_ship ON p_partkey = l_partkey
     UNION ALL
-    SELECT p_partkey * 2 + 1, {itemtype('p_partkey')}, p_partkey, p_partkey % 10 + 1,
+    SELECT p_partkey * 2 + 1, {itemtype('p_partkey')}, p_partkey, p_partkey // 20 + 1,
       CAST(first_ship AS DATE), CAST(first_ship AS DATE) + 30, p_retailprice / 2, 12, 'extensão'
     FROM part LEFT JOIN part_first_ship ON p_partkey = l_partkey WHERE p_partkey % 50 = 7"""),
-    ("glpi_items_racks", f"""SELECT p_partkey % 40 + 1 AS racks_id, {itemtype('p_partkey')} AS itemtype, p_partkey AS items_id,
+    ("glpi_items_racks", f"""SELECT p_partkey // 50 + 1 AS racks_id, {itemtype('p_partkey')} AS itemtype, p_partkey AS items_id,
       p_size AS position, CASE WHEN p_size > 40 THEN '#ff0000' ELSE '#00aa00' END AS bgcolor FROM part WHERE p_partkey % 8 < 3"""),
     ("glpi_racks", """SELECT id, 'RACK-' || lpad(CAST(id AS VARCHAR), 2, '0') AS name, id % 5 + 1 AS entities_id,
       id % 25 + 1 AS locations_id, 42 AS number_units, CAST(id * 100 + 3000 AS INTEGER) AS max_power
-      FROM (SELECT DISTINCT p_partkey % 40 + 1 AS id FROM part)"""),
+      FROM (SELECT DISTINCT p_partkey // 50 + 1 AS id FROM part)"""),
     ("glpi_operatingsystems", """SELECT id, CASE id WHEN 1 THEN 'Windows' WHEN 2 THEN 'Linux' WHEN 3 THEN 'macOS' END AS name
       FROM (SELECT DISTINCT CAST(p_size % 3 + 1 AS BIGINT) AS id FROM part WHERE p_partkey % 4 = 0)"""),
     ("glpi_operatingsystemversions", """SELECT id, 'v' || id AS name
@@ -263,7 +263,7 @@ CTES: list[tuple[str, str]] = [
       CAST(c_custkey % 3 + 1 AS BIGINT) AS st FROM customer"""),
     ("glpi_projects", f"""SELECT c_custkey AS id, CAST(c_nationkey + 100 AS BIGINT) AS entities_id, 'Projeto ' || c_name AS name,
       'P' || c_custkey AS code, CAST(c_custkey % 6 + 1 AS INTEGER) AS priority, st AS projectstates_id,
-      c_custkey % 10 + {OFF} AS users_id, CAST(c_nationkey + 1 AS BIGINT) AS groups_id,
+      c_custkey // 15 + {OFF} AS users_id, CAST(c_nationkey + 1 AS BIGINT) AS groups_id,
       ps AS plan_start_date, pe AS plan_end_date,
       CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE ps + to_days(CAST(c_custkey % 5 AS INTEGER)) END AS real_start_date,
       CASE WHEN st = 3 AND c_custkey % 4 <> 0 THEN pe + to_days(CAST(c_custkey % 40 - 10 AS INTEGER)) END AS real_end_date,
@@ -277,10 +277,10 @@ CTES: list[tuple[str, str]] = [
       t.solvedate AS real_end_date,
       CAST(CASE WHEN t.status IN (5, 6) THEN 100 ELSE (t.id % 10) * 10 END AS INTEGER) AS percent_done,
       CAST(CASE WHEN t.status IN (5, 6) THEN 2 ELSE 1 END AS BIGINT) AS projectstates_id,
-      t.id % 10 + {OFF} AS users_id, t.is_deleted
+      t.id // 150 + {OFF} AS users_id, t.is_deleted
       FROM glpi_tickets t JOIN orders ON t.id = o_orderkey"""),
     ("glpi_projecttasks_tickets", "SELECT o_orderkey AS projecttasks_id, o_orderkey AS tickets_id FROM orders"),
-    ("glpi_projectteams", f"""SELECT c_custkey AS projects_id, (c_custkey + j) % 10 + {OFF} AS items_id, 'User' AS itemtype
+    ("glpi_projectteams", f"""SELECT c_custkey AS projects_id, c_custkey // 15 + j + {OFF} AS items_id, 'User' AS itemtype
       FROM (SELECT c_custkey, unnest(generate_series(0, c_custkey % 4)) AS j FROM customer)"""),
     ("glpi_itils_projects", """SELECT o_custkey AS projects_id,
       CASE WHEN o_orderkey % 3 = 0 THEN 'Ticket' ELSE 'Problem' END AS itemtype, o_orderkey AS items_id

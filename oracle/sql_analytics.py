@@ -201,3 +201,18 @@ w AS (SELECT entity_id, year_month, rate, lag(rate, 1) OVER (PARTITION BY entity
 SELECT entity_id, year_month, {r('rate')} AS entity_sla_compliance, {r('prev')} AS prev_compliance,
   CASE WHEN rate IS NOT NULL THEN {icon('rate')} END AS entity_sla_icon,
   {r('rate - coalesce(prev, 0)')} AS entity_sla_mom FROM w"""
+
+SQL["measures_region_scope"] = marts(tk="vw_glpi_tickets", eo="vw_entity_overview", da="vw_dim_asset",
+                                     fat="vw_fact_asset_tickets") + f""",
+sc AS (SELECT e.id AS entity_id FROM glpi_entities e JOIN glpi_entities p ON e.entities_id = p.id WHERE p.name = 'AMERICA'),
+t AS (SELECT entity_id, count(*) AS total_tickets, {cnt('is_open = 1')} AS open_tickets,
+        {cnt(f"sla_status = '{D.SLA_MET}'")} AS m,
+        {cnt(f"sla_status IN ('{D.SLA_BREACHED}', '{D.SLA_BREACHED_OPEN}')")} AS b
+      FROM tk WHERE entity_id IN (SELECT entity_id FROM sc) GROUP BY entity_id),
+o AS (SELECT entity_id, CAST(sum(total_tickets) AS BIGINT) AS entity_tickets FROM eo
+      WHERE entity_id IN (SELECT entity_id FROM sc) GROUP BY entity_id),
+a AS (SELECT entity_id, count(DISTINCT asset_key) AS total_assets FROM da
+      WHERE entity_id IN (SELECT entity_id FROM sc)
+        AND asset_key IN (SELECT asset_key FROM fat WHERE ticket_priority IN (5, 6)) GROUP BY entity_id)
+SELECT entity_id, total_tickets, open_tickets, {r(div('m', 'm + b'))} AS sla_compliance_rate, entity_tickets, total_assets
+FROM t FULL OUTER JOIN o USING (entity_id) FULL OUTER JOIN a USING (entity_id)"""

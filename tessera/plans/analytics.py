@@ -82,6 +82,21 @@ def measures_by_entity_filtered(src, as_of: datetime) -> DataFrame:
         filters={"priority_code": [5, 6], "vw_dim_entity.entity_type": "Sub-entidade"}))
 
 
+def measures_region_scope(src, as_of: datetime, region: str = "AMERICA") -> DataFrame:
+    """X5 row-level scope: a reader restricted to the entities below one
+    region sees KPIs of those entities only (every mart with an entity id is
+    semi-joined with the scope); J13: assets filtered through their tickets
+    (bidirectional asset <-> asset-ticket relationship)."""
+    ents = src["entities"]
+    parent = ents.where(F.col("name") == region).select(F.col("id").alias("_p"))
+    scope = ents.join(parent, F.col("entities_id") == F.col("_p"), "left_semi").select(F.col("id").alias("entity_id"))
+    m = Model(src, as_of, scope=scope)
+    k = evaluate(m, ["total_tickets", "open_tickets", "sla_compliance_rate", "entity_tickets"], by=["entity_id"])
+    assets = evaluate(m, ["total_assets"], by=["entity_id"],
+                      filters={"vw_fact_asset_tickets.ticket_priority": [5, 6]})
+    return round_doubles(k.join(assets, "entity_id", "full_outer"))
+
+
 def ti_ticket_volume(src, as_of: datetime) -> DataFrame:
     """M28-M32 + W4/W5: monthly created tickets on a dense spine with previous
     month, MoM delta and %, trailing 3-month average, +/- 1 std band, spike
@@ -137,6 +152,7 @@ ANALYTICS = {
     "measures_cmdb_kpis": measures_cmdb_kpis,
     "measures_ticket_monthly": measures_ticket_monthly,
     "measures_by_entity_filtered": measures_by_entity_filtered,
+    "measures_region_scope": measures_region_scope,
     "ti_ticket_volume": ti_ticket_volume,
     "ti_sla_mom": ti_sla_mom,
     "ti_entity_sla_mom": ti_entity_sla_mom,

@@ -44,10 +44,19 @@ RELATIONSHIPS = [
 ]
 
 
+# FIXED VALUES: relationships that filter in both directions
+BIDIRECTIONAL = {("vw_fact_asset_tickets", "vw_dim_asset")}
+
+
 class Model:
-    def __init__(self, src, as_of: datetime, extra_marts: dict | None = None):
+    """``scope`` (X5, row-level security): a DataFrame with one column
+    ``entity_id`` of the entities the reader may see; every mart that has an
+    ``entity_id`` column is semi-joined with it before any measure sees it."""
+
+    def __init__(self, src, as_of: datetime, extra_marts: dict | None = None, scope: DataFrame | None = None):
         self.src = src
         self.as_of = as_of
+        self.scope = scope
         self._builders = {**mart_builders(), **(extra_marts or {})}
         self._cache: dict[tuple, DataFrame] = {}
 
@@ -58,8 +67,10 @@ class Model:
         aware = "needs" in inspect.signature(builder).parameters
         key = (name, frozenset(needs) if (needs is not None and aware) else None)
         if key not in self._cache:
-            self._cache[key] = builder(self.src, self.as_of, needs=key[1]) if key[1] is not None \
-                else builder(self.src, self.as_of)
+            df = builder(self.src, self.as_of, needs=key[1]) if key[1] is not None else builder(self.src, self.as_of)
+            if self.scope is not None and "entity_id" in df.columns:
+                df = df.join(self.scope.select("entity_id"), "entity_id", "left_semi")
+            self._cache[key] = df
         return self._cache[key]
 
     def names(self):
@@ -98,4 +109,9 @@ def apply_filters(model: Model, mart: str, df: DataFrame, filters: dict | None)
                 keys = d.where(_predicate(F.col(fcol), value)).select(F.col(pk).alias("_fk"))
                 df = df.join(keys, df[fk] == F.col("_fk"), "left_semi")
                 break
+            if dim == mart and fact == fmart and (fact, dim) in BIDIRECTIONAL:
+                f = model.mart(fact)
+                keys = f.where(_predicate(F.col(fcol), value)).select(F.col(fk).alias("_pk"))
+                df = df.join(keys, df[pk] == F.col("_pk"), "left_semi")
+                break
     return df

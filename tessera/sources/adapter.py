@@ -45,7 +45,6 @@ SUPPLIER_TYPE_NAMES = {1: "Distribuidor", 2: "Fabricante", 3: "Serviços"}
 CONTRACT_TYPE_NAMES = {1: "Suporte", 2: "Manutenção", 3: "Locação"}
 PROJECT_STATE_NAMES = {1: "Novo", 2: "Em andamento", 3: "Encerrado"}
 KB_CATEGORY_NAMES = {1: "de", 2: "en", 3: "es", 4: "fr"}
-LINK_SPAN = 1500                                # problem/change -> ticket link range
 
 
 def _case(code: Column, names: dict) -> Column:
@@ -312,7 +311,7 @@ class DriverSources:
         cols = [
             k.alias("id"), (k % 25 + NATION_ENTITY_OFFSET).cast("bigint").alias("entities_id"),
             F.concat(prefix, k).alias("name"), F.concat(F.lit("SN"), k).alias("serial"),
-            (k % 10 + TECH_OFFSET).alias("users_id_tech"),
+            (F.expr("p_partkey div 20") + TECH_OFFSET).alias("users_id_tech"),
             (k % 25 + 1).cast("bigint").alias("locations_id"),
             (F.col("p_size") % 3 + 1).cast("bigint").alias("states_id"),
             F.substring("p_brand", 7, 3).cast("bigint").alias("manufacturers_id"),
@@ -407,14 +406,14 @@ class DriverSources:
         k = F.col("p_partkey")
         buy = F.to_date("first_ship")
         one = p.select((k * 2).alias("id"), _itemtype(k).alias("itemtype"), k.alias("items_id"),
-                       (k % 10).alias("suppliers_id"), buy.alias("buy_date"),
+                       F.expr("p_partkey div 20").alias("suppliers_id"), buy.alias("buy_date"),
                        F.date_add(buy, 7).alias("use_date"),
                        F.col("p_retailprice").alias("value"),
                        (F.col("p_size") % 37).alias("warranty_duration"),
                        F.concat((F.col("p_size") % 37).cast("string"), F.lit(" meses")).alias("warranty_info"))
         two = p.where(k % 50 == 7).select(
             (k * 2 + 1).alias("id"), _itemtype(k).alias("itemtype"), k.alias("items_id"),
-            (k % 10 + 1).alias("suppliers_id"), buy.alias("buy_date"),
+            F.expr("p_partkey div 20 + 1").alias("suppliers_id"), buy.alias("buy_date"),
             F.date_add(buy, 30).alias("use_date"),
             (F.col("p_retailprice") / 2).alias("value"),
             F.lit(12).alias("warranty_duration"), F.lit("extensão").alias("warranty_info"))
@@ -424,13 +423,13 @@ class DriverSources:
     def items_racks(self) -> DataFrame:
         p = self.t.part.where(F.col("p_partkey") % 8 < 3)
         k = F.col("p_partkey")
-        return p.select((k % 40 + 1).alias("racks_id"), _itemtype(k).alias("itemtype"), k.alias("items_id"),
+        return p.select(F.expr("p_partkey div 50 + 1").alias("racks_id"), _itemtype(k).alias("itemtype"), k.alias("items_id"),
                         F.col("p_size").alias("position"),
                         F.when(F.col("p_size") > 40, F.lit("#ff0000")).otherwise(F.lit("#00aa00")).alias("bgcolor"))
 
     @cached_property
     def racks(self) -> DataFrame:
-        ids = self.t.part.select((F.col("p_partkey") % 40 + 1).alias("id")).distinct()
+        ids = self.t.part.select(F.expr("p_partkey div 50 + 1").alias("id")).distinct()
         return ids.select("id", F.concat(F.lit("RACK-"), F.lpad(F.col("id").cast("string"), 2, "0")).alias("name"),
                           (F.col("id") % 5 + 1).alias("entities_id"), (F.col("id") % 25 + 1).alias("locations_id"),
                           F.lit(42).alias("number_units"), (F.col("id") * 100 + 3000).cast("int").alias("max_power"))
@@ -609,16 +608,18 @@ class DriverSources:
 
     def _ticket_links(self, event_type: str, key: str) -> DataFrame:
         e = self.t.events.where(F.col("event_type") == event_type).select("event_id")
-        a = e.select(F.col("event_id").alias(key), ((F.col("event_id") * 7) % LINK_SPAN).alias("tickets_id"))
-        b = e.select(F.col("event_id").alias(key), ((F.col("event_id") * 13) % LINK_SPAN).alias("tickets_id"))
+        # orders are 1.5x events at every scale factor: event_id*3 div 2 (and +1)
+        # spreads the links over all tickets, whatever the data size
+        a = e.select(F.col("event_id").alias(key), F.expr("(event_id * 3) div 2").alias("tickets_id"))
+        b = e.select(F.col("event_id").alias(key), F.expr("(event_id * 3) div 2 + 1").alias("tickets_id"))
         return a.unionByName(b)
 
     def _tech_links(self, event_type: str, key: str) -> DataFrame:
         e = self.t.events.where(F.col("event_type") == event_type).select("event_id", "user_id")
-        a = e.select(F.col("event_id").alias(key), (F.col("event_id") % 10 + TECH_OFFSET).alias("users_id"),
+        a = e.select(F.col("event_id").alias(key), (F.expr("event_id div 100") + TECH_OFFSET).alias("users_id"),
                      F.lit(2).alias("type"))
         b = e.where(F.col("event_id") % 3 == 0).select(
-            F.col("event_id").alias(key), ((F.col("event_id") + 1) % 10 + TECH_OFFSET).alias("users_id"),
+            F.col("event_id").alias(key), (F.expr("event_id div 100 + 1") + TECH_OFFSET).alias("users_id"),
             F.lit(2).alias("type"))
         req = e.select(F.col("event_id").alias(key), F.col("user_id").alias("users_id"), F.lit(1).alias("type"))
         return a.unionByName(b).unionByName(req)
@@ -682,7 +683,7 @@ class DriverSources:
             k.alias("id"), (F.col("c_nationkey") + NATION_ENTITY_OFFSET).cast("bigint").alias("entities_id"),
             F.concat(F.lit("Projeto "), "c_name").alias("name"), F.concat(F.lit("P"), k).alias("code"),
             (k % 6 + 1).cast("int").alias("priority"), state.alias("projectstates_id"),
-            (k % 10 + TECH_OFFSET).alias("users_id"), (F.col("c_nationkey") + 1).cast("bigint").alias("groups_id"),
+            (F.expr("c_custkey div 15") + TECH_OFFSET).alias("users_id"), (F.col("c_nationkey") + 1).cast("bigint").alias("groups_id"),
             start.alias("plan_start_date"), end.alias("plan_end_date"),
             F.when(k % 4 == 0, F.lit(None)).otherwise(add_days(start, (k % 5).cast("int"))).alias("real_start_date"),
             F.when((state == 3) & (k % 4 != 0), add_days(end, (k % 40 - 10).cast("int"))).alias("real_end_date"),
@@ -710,7 +711,7 @@ class DriverSources:
             F.col("solvedate").alias("real_end_date"),
             F.when(resolved, F.lit(100)).otherwise((k % 10) * 10).cast("int").alias("percent_done"),
             F.when(resolved, F.lit(2)).otherwise(F.lit(1)).cast("bigint").alias("projectstates_id"),
-            (k % 10 + TECH_OFFSET).alias("users_id"),
+            (F.expr("id div 150") + TECH_OFFSET).alias("users_id"),
             F.col("is_deleted")).join(
                 self.t.orders.select("o_orderkey", "o_custkey"), F.col("_ticket") == F.col("o_orderkey")
             ).select("id", F.col("o_custkey").alias("projects_id"), "name", "is_milestone", "plan_start_date",
@@ -727,7 +728,7 @@ class DriverSources:
         c = self.t.customer
         x = c.select("c_custkey", F.explode(F.sequence(F.lit(0), (F.col("c_custkey") % 4).cast("int"))).alias("j"))
         return x.select(F.col("c_custkey").alias("projects_id"),
-                        ((F.col("c_custkey") + F.col("j")) % 10 + TECH_OFFSET).alias("items_id"),
+                        (F.expr("c_custkey div 15") + F.col("j") + TECH_OFFSET).alias("items_id"),
                         F.lit("User").alias("itemtype"))
 
     @cached_property
