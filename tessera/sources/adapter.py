@@ -27,7 +27,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.time import add_days, add_minutes, date_lit, ntz
+from tessera.functions.time import add_days, add_minutes, date_lit, diff_units, ntz
 from tessera.sources.driver import DriverTables
 
 # FIXED VALUES: adapter parameters (shared with the SQL oracle)
@@ -220,8 +220,8 @@ class DriverSources:
             "status", "priority", "type", "itilcategories_id",
             F.when(F.col("_nosla"), F.lit(0)).otherwise(F.col("priority")).cast("bigint").alias("slas_id_ttr"),
             F.when(F.col("_nosla"), F.lit(None)).otherwise(add_days(F.col("date"), days)).alias("time_to_resolve"),
-            F.coalesce(F.timestamp_diff("SECOND", F.col("date"), F.col("solvedate")), F.lit(0)).cast("int").alias("solve_delay_stat"),
-            F.coalesce(F.timestamp_diff("SECOND", F.col("date"), F.col("closedate")), F.lit(0)).cast("int").alias("close_delay_stat"),
+            F.coalesce(diff_units("SECOND", F.col("date"), F.col("solvedate")), F.lit(0)).cast("int").alias("solve_delay_stat"),
+            F.coalesce(diff_units("SECOND", F.col("date"), F.col("closedate")), F.lit(0)).cast("int").alias("close_delay_stat"),
             "is_deleted", "q1")
 
     @cached_property
