@@ -39,6 +39,18 @@ def deploy(src, as_of: datetime, out_path: str | None = None, only: str | None =
     return spark.createDataFrame(rows, "mart string, group string, status string, error string")
 
 
+def register_views(src, as_of: datetime, only: str | None = None) -> list[str]:
+    """S5 live mode: every mart as a temporary view, so ``spark.sql`` can
+    query it by its published name (plans stay lazy, always fresh)."""
+    names = []
+    for name, builder, group in MARTS:
+        if only and group != only and name != only:
+            continue
+        builder(src, as_of).createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 def verify(src, as_of: datetime) -> DataFrame:
     """S3: row count of every mart, one row per mart (one count job each,
     combined by union; each count is a partial+final aggregate)."""
