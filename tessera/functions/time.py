@@ -26,40 +26,49 @@ def date_lit(value: date | datetime | str) -> Column:
     return F.expr(f"DATE '{value[:10]}'")
 
 
-_UNIT_SECONDS = {"MICROSECOND": None, "SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400, "WEEK": 604800}
+_UNIT_MICROS = {"MICROSECOND": 1, "SECOND": 10**6, "MINUTE": 60 * 10**6, "HOUR": 3600 * 10**6,
+                "DAY": 86400 * 10**6, "WEEK": 7 * 86400 * 10**6}
 _UNIT_MONTHS = {"MONTH": 1, "QUARTER": 3, "YEAR": 12}
 
 
-def _wall_seconds(c: Column) -> Column:
-    """Wall-clock seconds since 1970-01-01 of a DATE / TIMESTAMP_NTZ value,
-    built from zone-free parts (``timestampdiff`` on TIMESTAMP_NTZ goes
-    through the session time zone and is off by an hour when a value falls
-    in a DST gap)."""
+def _micros_of_minute(ts: Column) -> Column:
+    return (F.date_part(F.lit("SECOND"), ts) * 1000000).cast("bigint")     # decimal(8,6): compact, exact
+
+
+def _wall_micros(c: Column) -> Column:
+    """Wall-clock microseconds since 1970-01-01 of a DATE / TIMESTAMP_NTZ
+    value from zone-free parts, in 64-bit integers (``timestampdiff`` on
+    TIMESTAMP_NTZ goes through the session time zone and is off by an hour
+    when a value falls in a DST gap)."""
     ts = c.cast("timestamp_ntz")
-    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("decimal(20,6)")
-    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.date_part(F.lit("SECOND"), ts)
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return minutes * 60000000 + _micros_of_minute(ts)
 
 
-def _day_time(c: Column) -> Column:
+def _day_time_micros(c: Column) -> Column:
     ts = c.cast("timestamp_ntz")
-    return F.dayofmonth(ts) * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.date_part(F.lit("SECOND"), ts)
+    minutes = F.dayofmonth(ts).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return minutes * 60000000 + _micros_of_minute(ts)
+
+
+def _trunc_div(a: Column, b: int) -> Column:
+    """Exact 64-bit integral division truncating toward zero (SQL ``div``)."""
+    return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
 def diff_units(unit: str, start: Column, end: Column) -> Column:
     """TIMESTAMPDIFF(unit, start, end): whole units, truncated toward zero;
     months compare (day, time of day) like the source database.  Zone-free
-    for DATE and TIMESTAMP_NTZ inputs."""
+    for DATE and TIMESTAMP_NTZ inputs; 64-bit integer arithmetic."""
     unit = unit.upper()
     if unit in _UNIT_MONTHS:
         s, e = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
         m = (F.year(e) * 12 + F.month(e)) - (F.year(s) * 12 + F.month(s))
-        rs, re_ = _day_time(s), _day_time(e)
-        months = F.when((m > 0) & (re_ < rs), m - 1).when((m < 0) & (re_ > rs), m + 1).otherwise(m)
-        return (months / _UNIT_MONTHS[unit]).cast("bigint") if _UNIT_MONTHS[unit] > 1 else months.cast("bigint")
-    secs = _wall_seconds(end) - _wall_seconds(start)
-    if unit == "MICROSECOND":
-        return (secs * 1000000).cast("bigint")
-    return (secs / _UNIT_SECONDS[unit]).cast("bigint")
+        rs, re_ = _day_time_micros(s), _day_time_micros(e)
+        months = F.when((m > 0) & (re_ < rs), m - 1).when((m < 0) & (re_ > rs), m + 1).otherwise(m).cast("bigint")
+        return months if _UNIT_MONTHS[unit] == 1 else _trunc_div(months, _UNIT_MONTHS[unit])
+    return _trunc_div(_wall_micros(end) - _wall_micros(start), _UNIT_MICROS[unit])
 
 
 def add_days(ts: Column, days) -> Column:
@@ -90,7 +99,7 @@ _EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 def ntz_to_instant(ts: Column) -> Column:
     """TIMESTAMP_NTZ -> TIMESTAMP read as UTC, independent of the session
     time zone (streaming watermarks require TIMESTAMP)."""
-    return F.timestamp_micros((_wall_seconds(ts) * 1000000).cast("bigint"))
+    return F.timestamp_micros(_wall_micros(ts))
 
 
 def instant_to_ntz(ts: Column) -> Column:
