@@ -68,6 +68,11 @@ def diff_units(unit: str, start: Column, end: Column) -> Column:
         rs, re_ = _day_time_micros(s), _day_time_micros(e)
         months = F.when((m > 0) & (re_ < rs), m - 1).when((m < 0) & (re_ > rs), m + 1).otherwise(m).cast("bigint")
         return months if _UNIT_MONTHS[unit] == 1 else _trunc_div(months, _UNIT_MONTHS[unit])
+    if unit in ("SECOND", "MINUTE", "HOUR", "DAY"):
+        # NTZ - NTZ is a day-time interval computed without the session zone;
+        # casting it to a single-unit interval truncates toward zero
+        delta = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+        return delta.cast(f"interval {unit.lower()}").cast("bigint")
     return _trunc_div(_wall_micros(end) - _wall_micros(start), _UNIT_MICROS[unit])
 
 
