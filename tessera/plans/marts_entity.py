@@ -96,29 +96,29 @@ def build_vw_entity_asset_distribution(src, as_of: datetime | None = None) -> Da
     """Entity x asset kind.  Value = first financial record per asset
     (lowest record id); share = kind count / all live assets of six tables.
     The grand total is a one-row aggregate, broadcast to every row."""
-    first_value = (src["infocoms"].groupBy("itemtype", "items_id")
+    first_value = (src["infocoms"].groupBy(T("itemtype").alias("_vit"), T("items_id").alias("_iid"))
                    .agg(F.min_by("value", "id").alias("_value")))
 
-    def kind(table, itemtype, label, pred=None, valued=True):
+    def kind(table, itemtype, label, pred=None):
         a = src[table].where(T("is_deleted") == 0)
         if pred is not None:
             a = a.where(pred)
-        if valued:
-            v = first_value.where(T("itemtype") == itemtype).select(T("items_id").alias("_iid"), "_value")
-            a = a.join(v, T("id") == T("_iid"), "left")
-            val = F.sum(F.coalesce(T("_value"), F.lit(0.0)))
-        else:
-            val = F.lit(0.0)
-        return a.groupBy("entities_id").agg(F.lit(label).alias("asset_type"), F.count(F.lit(1)).alias("total_assets"),
-                                            val.cast("double").alias("total_value_brl"))
-
-    data = (kind("computers", "Computer", D.ASSET_KIND_SERVER, T("name").like("SRV-%"))
-            .unionByName(kind("computers", "Computer", D.ASSET_KIND_WORKSTATION, T("name").like("WS-%")))
-            .unionByName(kind("networkequipments", "NetworkEquipment", D.ASSET_KIND_NETWORK))
-            .unionByName(kind("monitors", "Monitor", D.ASSET_KIND_MONITOR))
-            .unionByName(kind("printers", "Printer", D.ASSET_KIND_PRINTER))
-            .unionByName(kind("phones", None, D.ASSET_KIND_PHONE, valued=False))
-            .unionByName(kind("peripherals", None, D.ASSET_KIND_PERIPHERAL, valued=False)))
+        return a.select("entities_id", T("id").alias("_aid"), F.lit(label).alias("asset_type"),
+                        F.lit(itemtype).cast("string").alias("_it"))
+
+    assets = (kind("computers", "Computer", D.ASSET_KIND_SERVER, T("name").like("SRV-%"))
+              .unionByName(kind("computers", "Computer", D.ASSET_KIND_WORKSTATION, T("name").like("WS-%")))
+              .unionByName(kind("networkequipments", "NetworkEquipment", D.ASSET_KIND_NETWORK))
+              .unionByName(kind("monitors", "Monitor", D.ASSET_KIND_MONITOR))
+              .unionByName(kind("printers", "Printer", D.ASSET_KIND_PRINTER))
+              .unionByName(kind("phones", None, D.ASSET_KIND_PHONE))
+              .unionByName(kind("peripherals", None, D.ASSET_KIND_PERIPHERAL)))
+    # ONE aggregate of the financial records, ONE join on (item type, id);
+    # phones and peripherals carry a NULL item type, so they never match (value 0)
+    valued = assets.join(first_value, (T("_it") == T("_vit")) & (T("_aid") == T("_iid")), "left")
+    data = valued.groupBy("entities_id", "asset_type").agg(
+        F.count(F.lit(1)).alias("total_assets"),
+        F.sum(F.coalesce(T("_value"), F.lit(0.0))).cast("double").alias("total_value_brl"))
     total = None
     for table in ("computers", "networkequipments", "monitors", "printers", "phones", "peripherals"):
         c = src[table].where(T("is_deleted") == 0).select(F.lit(1).alias("_one"))
