@@ -53,25 +53,46 @@ def entity_orphans(src, table: str) -> DataFrame | None:
     return df.join(ents, df["entities_id"] == T("_eid"), "left_anti")
 
 
+def _flag_rows(flags: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """One aggregation over a per-row flag frame -> one report row per rule
+    (``rules``: rule, table, flag column)."""
+    agg = flags.agg(*[F.sum(T(c).cast("bigint")).alias(f"_{i}") for i, (_, _, c) in enumerate(rules)])
+    pairs = ", ".join(f"'{r}', '{t}', 'error', coalesce(_{i}, 0L)" for i, (r, t, _) in enumerate(rules))
+    return agg.selectExpr(f"stack({len(rules)}, {pairs}) AS (rule, table, severity, violations)")
+
+
 def check_rules(src) -> list[DataFrame]:
     spark = src["tickets"].sparkSession
+    ents = src["entities"].select(T("id").alias("_eid"))
     out = []
     for table in ENTITY_TABLES:
+        if table == "tickets":
+            continue                                   # in the single ticket pass below
         v = entity_orphans(src, table)
         out.append(_skip(spark, "Q1_entity_orphan", table) if v is None else _rule("Q1_entity_orphan", table, v))
-    t = src["tickets"]
-    req = src["tickets_users"].where(T("type") == 1).select(T("tickets_id").alias("_tid"))
-    out.append(_rule("Q2_ticket_without_requester", "tickets", t.join(req, T("id") == T("_tid"), "left_anti")))
-    ents = src["entities"].select(T("id").alias("_eid"))
-    bad_ent = t.join(ents, T("entities_id") == T("_eid"), "left").where(T("_eid").isNull() | (T("entities_id") == 0))
-    out.append(_rule("Q2_ticket_entity_zero_or_unknown", "tickets", bad_ent))
-    ir = src["items_racks"]
+    # tickets: Q1 + Q2 rules from ONE pass (ticket -> entity, ticket -> requester)
+    req = src["tickets_users"].where(T("type") == 1).select(T("tickets_id").alias("_rt")).distinct()
+    t = (src["tickets"].select("id", "entities_id")
+         .join(ents, T("entities_id") == T("_eid"), "left")
+         .join(req, T("id") == T("_rt"), "left")
+         .select(T("_eid").isNull().alias("no_entity"),
+                 (T("_eid").isNull() | (T("entities_id") == 0)).alias("zero_or_unknown"),
+                 T("_rt").isNull().alias("no_requester")))
+    out.append(_flag_rows(t, [("Q1_entity_orphan", "tickets", "no_entity"),
+                              ("Q2_ticket_without_requester", "tickets", "no_requester"),
+                              ("Q2_ticket_entity_zero_or_unknown", "tickets", "zero_or_unknown")]))
+    # rack slots: the three Q3 rules from ONE pass
     racks = src["racks"].select(T("id").alias("_rid"))
-    out.append(_rule("Q3_rack_slot_unknown_rack", "items_racks", ir.join(racks, T("racks_id") == T("_rid"), "left_anti")))
-    for itemtype, table in (("Computer", "computers"), ("NetworkEquipment", "networkequipments")):
-        ids = src[table].select(T("id").alias("_aid"))
-        v = ir.where(T("itemtype") == itemtype).join(ids, T("items_id") == T("_aid"), "left_anti")
-        out.append(_rule(f"Q3_rack_slot_unknown_{table}", "items_racks", v))
+    assets = (src["computers"].select(F.lit("Computer").alias("_it"), T("id").alias("_aid"))
+              .unionByName(src["networkequipments"].select(F.lit("NetworkEquipment").alias("_it"), T("id").alias("_aid"))))
+    ir = (src["items_racks"].join(racks, T("racks_id") == T("_rid"), "left")
+          .join(assets, (T("itemtype") == T("_it")) & (T("items_id") == T("_aid")), "left")
+          .select(T("_rid").isNull().alias("no_rack"),
+                  ((T("itemtype") == "Computer") & T("_aid").isNull()).alias("no_computer"),
+                  ((T("itemtype") == "NetworkEquipment") & T("_aid").isNull()).alias("no_network")))
+    out.append(_flag_rows(ir, [("Q3_rack_slot_unknown_rack", "items_racks", "no_rack"),
+                               ("Q3_rack_slot_unknown_computers", "items_racks", "no_computer"),
+                               ("Q3_rack_slot_unknown_networkequipments", "items_racks", "no_network")]))
     comps = src["computers"].select(T("id").alias("_cid"))
     for table in ("items_softwareversions", "items_operatingsystems"):
         v = src[table].where(T("itemtype") == "Computer").join(comps, T("items_id") == T("_cid"), "left_anti")
