@@ -37,8 +37,12 @@ def _lookup(df: DataFrame, key: str, out: str) -> DataFrame:
     return df.select(T("id").alias(key), T("name").alias(out))
 
 
-def _asset_rows(src, itemtype, table, types, models, with_user) -> DataFrame:
+def _asset_rows(src, itemtype, table, types, models, with_user, keys: DataFrame | None = None) -> DataFrame:
     a = src[table].where(T("is_deleted") == 0)
+    if keys is not None:
+        # restrict BEFORE the lookups; ``keys`` is a bounded set (a top-k)
+        k = keys.where(T("asset_itemtype") == itemtype).select(T("asset_id").alias("_kid"))
+        a = a.join(F.broadcast(k), T("id") == T("_kid"), "left_semi")
     # contract tables carry generic fk names types_id / models_id
     j = (a.join(_lookup(src[types], "_tid", "asset_type"), T("types_id") == T("_tid"), "left")
           .join(_lookup(src[models], "_mid", "asset_model"), T("models_id") == T("_mid"), "left")
@@ -60,10 +64,13 @@ def _asset_rows(src, itemtype, table, types, models, with_user) -> DataFrame:
 
 
 # -------------------------------------------------------------------- V11
-def build_vw_dim_asset(src, as_of: datetime | None = None) -> DataFrame:
+def build_vw_dim_asset(src, as_of: datetime | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """V11.  ``keys`` (asset_itemtype, asset_id) of BOUNDED size - e.g. a
+    top-k - restricts every branch before its seven lookups, so a page that
+    names ten assets does not build the whole asset dimension."""
     out = None
     for itemtype, table, types, models, _tfk, _mfk, with_user in ASSET_KINDS:
-        part = _asset_rows(src, itemtype, table, types, models, with_user)
+        part = _asset_rows(src, itemtype, table, types, models, with_user, keys)
         out = part if out is None else out.unionByName(part)
     return out
 

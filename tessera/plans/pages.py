@@ -19,6 +19,7 @@ from tessera.operators import timeintel as TI
 from tessera.operators.ranking import rank_desc, reuse, top_k, with_global
 from tessera.plans.analytics import round_doubles
 from tessera.plans.measures import count_if, divide, evaluate, icon
+from tessera.plans.marts_cmdb import build_vw_dim_asset
 from tessera.plans.model import Model
 
 T = F.col
@@ -354,8 +355,9 @@ def page_top_assets(src, as_of: datetime, k: int = 10) -> DataFrame:
     """Top-k assets by linked tickets with type, entity and MTTR."""
     m = Model(src, as_of)
     ai = m.mart("vw_fact_asset_incidents")
-    top = top_k(ai, k, [F.desc("total_tickets"), F.asc("asset_key")])
-    da = m.mart("vw_dim_asset").select(T("asset_key").alias("_k"), "asset_name", "asset_type", "entity_id")
+    top = reuse(top_k(ai, k, [F.desc("total_tickets"), F.asc("asset_key")]))     # k rows, used twice
+    da = build_vw_dim_asset(src, as_of, keys=top.select("asset_itemtype", "asset_id")).select(
+        T("asset_key").alias("_k"), "asset_name", "asset_type", "entity_id")
     ent = m.mart("vw_dim_entity").select(T("entity_id").alias("_e"), "entity_name")
     j = top.join(da, T("asset_key") == T("_k"), "left").join(ent, T("entity_id") == T("_e"), "left")
     return j.select("asset_key", "asset_itemtype", "asset_name", "asset_type", "entity_name", "total_tickets",
