@@ -57,8 +57,8 @@ def _kind(table: str, itemtype: str | None, label: str, pred: str = "") -> str:
     if itemtype is None:
         val = "CAST(0 AS DOUBLE)"
     else:
-        val = (f"CAST(sum(coalesce((SELECT arg_min(ic.value, ic.id) FROM glpi_infocoms ic WHERE ic.itemtype = '{itemtype}'"
-               f" AND ic.items_id = a.id), 0)) AS DOUBLE)")
+        val = (f"round(CAST(sum(coalesce((SELECT arg_min(ic.value, ic.id) FROM glpi_infocoms ic WHERE ic.itemtype = '{itemtype}'"
+               f" AND ic.items_id = a.id), 0)) AS DOUBLE), 2)")
     return (f"SELECT a.entities_id, '{label}' AS asset_type, count(*) AS total_assets, {val} AS total_value_brl "
             f"FROM {table} a WHERE a.is_deleted = 0 {pred} GROUP BY a.entities_id")
 

@@ -118,7 +118,8 @@ def build_vw_entity_asset_distribution(src, as_of: datetime | None = None) -> Da
     valued = assets.join(first_value, (T("_it") == T("_vit")) & (T("_aid") == T("_iid")), "left")
     data = valued.groupBy("entities_id", "asset_type").agg(
         F.count(F.lit(1)).alias("total_assets"),
-        F.sum(F.coalesce(T("_value"), F.lit(0.0))).cast("double").alias("total_value_brl"))
+        # money has 2 decimals: rounding the double sum to 2 places gives the exact decimal total
+        F.round(F.sum(F.coalesce(T("_value"), F.lit(0.0))), 2).cast("double").alias("total_value_brl"))
     total = None
     for table in ("computers", "networkequipments", "monitors", "printers", "phones", "peripherals"):
         c = src[table].where(T("is_deleted") == 0).select(F.lit(1).alias("_one"))
