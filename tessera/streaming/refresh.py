@@ -1,8 +1,9 @@
 """Incremental mart refresh from a stream of new ticket files.
 
-Each micro-batch only names the *months* it touches; those months are
-recomputed from the full ticket source (so non-additive results such as
-averages stay exact) and written with dynamic partition overwrite.  The
+Each micro-batch only names the *months* it touches; those months of the
+month-keyed marts (volume trend, SLA by month/group/priority) are recomputed
+from the full ticket source (so non-additive results such as averages and
+compliance ratios stay exact) and written with dynamic partition overwrite.  The
 query runs with ``trigger(availableNow=True)``: one call drains what has
 arrived and stops, which is how the periodic refresh loop (default 60 s,
 stop after 5 consecutive failures) drives it.
@@ -18,21 +19,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.time import year_month
-from tessera.plans.marts_tickets import build_vw_volume_trend
+from tessera.plans.marts_tickets import build_vw_sla_monthly, build_vw_volume_trend
 
 T = F.col
 DEFAULT_INTERVAL_S = 60
 MAX_CONSECUTIVE_FAILURES = 5
 
 
-def refresh_months(full_src, months: DataFrame, out_path: str, as_of: datetime) -> None:
-    """Recompute the volume trend for ``months`` and overwrite only them."""
+# month-keyed marts the refresh rebuilds: name -> builder (all carry year_month)
+MONTHLY_MARTS = {"vw_volume_trend": build_vw_volume_trend, "vw_sla_monthly": build_vw_sla_monthly}
+
+
+def refresh_months(full_src, months: DataFrame, out_path: str, as_of: datetime,
+                   marts: dict | None = None) -> None:
+    """Recompute the month-keyed marts for ``months`` only and overwrite just
+    those partitions (``<out_path>/<mart>/year_month=...``).  Tickets are
+    restricted to the touched months by a semi-join on the month list (small:
+    distinct months of one micro-batch)."""
     tickets = full_src["tickets"]
-    touched = tickets.join(months, year_month(T("date")) == T("_ym"), "left_semi")
+    touched = tickets.join(F.broadcast(months), year_month(T("date")) == T("_ym"), "left_semi")
     src = _Override(full_src, tickets=touched)
-    mart = build_vw_volume_trend(src, as_of)
-    (mart.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year_month").parquet(out_path))
+    for name, builder in (marts or MONTHLY_MARTS).items():
+        mart = builder(src, as_of)
+        path = f"{out_path}/{name}"
+        (mart.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("year_month").parquet(path))
 
 
 class _Override:

@@ -8,7 +8,7 @@ import time
 from pyspark.sql import functions as F
 
 from tessera.plans.jobs import deploy
-from tessera.plans.marts_tickets import build_vw_volume_trend
+from tessera.plans.marts_tickets import build_vw_sla_monthly, build_vw_volume_trend
 from tessera.sources.adapter import AS_OF
 from tessera.streaming import refresh as R
 from tessera.streaming import volume as V
@@ -71,10 +71,15 @@ def test_incremental_refresh_matches_full_rebuild(spark, driver_src):
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tickets.schema.fields)
     batch.write.parquet(new_dir)
     R.refresh_once(spark, new_dir, schema, driver_src, out, ckpt, AS_OF)
-    got = spark.read.parquet(out)
-    full = build_vw_volume_trend(driver_src, AS_OF).where(F.col("year_month").isin("1996-03", "1999-11"))
+    months = ("1996-03", "1999-11")
+    got = spark.read.parquet(os.path.join(out, "vw_volume_trend"))
+    full = build_vw_volume_trend(driver_src, AS_OF).where(F.col("year_month").isin(*months))
     cols = ["year_month", "tickets_created", "tickets_resolved", "avg_resolution_min"]
     assert _rows(got.select(*cols)) == _rows(full.select(*cols))
+    got = spark.read.parquet(os.path.join(out, "vw_sla_monthly"))
+    full = build_vw_sla_monthly(driver_src, AS_OF).where(F.col("year_month").isin(*months))
+    cols = ["year_month", "group_name", "priority_label", "total_tickets", "within_sla", "sla_compliance_pct"]
+    assert got.count() > 0 and _rows(got.select(*cols)) == _rows(full.select(*cols))
 
 
 def test_refresh_loop_error_budget():
