@@ -240,8 +240,10 @@ def block_texts(sizes: list[int], body: bytes) -> list[bytes]:
 
 def by_bucket(sorted_hashes: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     """(bucket, from, to) of ascending 64-bit hashes by their first ``bits`` bits; empty buckets are left out."""
+    if not len(sorted_hashes):
+        return []
     top = (sorted_hashes >> np.uint64(64 - bits)).astype(np.int64)
-    cuts = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]])) if len(top) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
     ends = np.append(cuts[1:], len(top))
     return [(int(top[a]), int(a), int(b)) for a, b in zip(cuts, ends, strict=True)]
 

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.bpe import op3_bpe
 from tessera.llm.langid import op2_langid
+from tessera.llm.ngram_join import op4_ngram_join
 from tessera.llm.quality import op1_quality
+from tessera.llm.substring_dedup import ORACLE_SQL as OP7_SQL
+from tessera.llm.substring_dedup import op7_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,8 +19,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_langid": op2_langid,
         "op3_bpe": op3_bpe,
+        "op4_ngram_join": op4_ngram_join,
+        "op7_substring_dedup": op7_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_substring_dedup": OP7_SQL,
+    }
