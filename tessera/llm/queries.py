@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.bpe import op3_bpe
+from tessera.llm.decontaminate import ORACLE_SQL as OP8_SQL
+from tessera.llm.decontaminate import op8_decontaminate
 from tessera.llm.langid import op2_langid
+from tessera.llm.maxscore import ORACLE_SQL as OP9_SQL
+from tessera.llm.maxscore import op9_maxscore
 from tessera.llm.ngram_join import op4_ngram_join
 from tessera.llm.quality import op1_quality
 from tessera.llm.substring_dedup import ORACLE_SQL as OP7_SQL
@@ -21,10 +25,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe": op3_bpe,
         "op4_ngram_join": op4_ngram_join,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_decontaminate": op8_decontaminate,
+        "op9_maxscore": op9_maxscore,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_substring_dedup": OP7_SQL,
+        "op8_decontaminate": OP8_SQL,
+        "op9_maxscore": OP9_SQL,
     }
