@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import columns, fold, table, utf8
 
@@ -233,21 +234,29 @@ def training_rows(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FI
 
 
 def predict(docs: DataFrame, model: BiGru | None) -> DataFrame:
-    """(id, text) to (id, lang_pred, score).  A text that is null or has no letter gives ``und`` with score 0."""
+    """Adds lang_pred and score to rows with ``text``, which other columns pass unchanged.
+
+    A text that is null or has no letter gives ``und`` with score 0.  Columns of these two names are replaced.
+    """
+    rows = docs.drop("lang_pred", "score")
+    names = rows.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t if ok else b"" for t, ok in zip(utf8(b.column(1)), b.column(2).to_pylist(), strict=True)]
+            at = names.index("text")
+            texts = [t if ok else b"" for t, ok in zip(utf8(b.column(at)), b.column(len(names)).to_pylist(), strict=True)]
             if model is None:
                 best, top = [NONE] * len(texts), np.zeros(len(texts))
             else:
                 p = model.pooled(texts)
                 top = p.max(1) if len(texts) else np.zeros(0)
                 best = [model.langs[k] if t else NONE for k, t in zip(p.argmax(1), texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.string()), pa.array(top, pa.float64())],
-                                             ["id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(names)], pa.array(best, pa.string()), pa.array(top, pa.float64())],
+                                             [*names, "lang_pred", "score"])
 
-    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    return docs.select("id", "text", has_letter).mapInArrow(run, "id bigint, lang_pred string, score double")
+    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.select("*", has_letter.alias("_has_letter")).mapInArrow(run, schema)
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,6 +266,6 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     Repeated rows are predicted each; a null id stays null and is not held out.  An empty table gives no rows.
     """
     docs = columns(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), id="doc_id", text="text", lang="lang")
-    found = predict(docs, fit(training_rows(docs)))
+    found = predict(docs.select("id", "text"), fit(training_rows(docs)))
     return found.select(F.col("id").alias("doc_id"), F.coalesce(fold(F.col("id")) == 1, F.lit(False)).alias("held_out"),
                         "lang_pred", F.least(F.col("score"), F.lit(1.0)).alias("score"))

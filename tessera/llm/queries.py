@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.bpe import op3_bpe
 from tessera.llm.decontaminate import ORACLE_SQL as OP8_SQL
 from tessera.llm.decontaminate import op8_decontaminate
+from tessera.llm.html_text import op5_html
 from tessera.llm.langid import op2_langid
 from tessera.llm.maxscore import ORACLE_SQL as OP9_SQL
 from tessera.llm.maxscore import op9_maxscore
 from tessera.llm.ngram_join import op4_ngram_join
+from tessera.llm.pii import op6_pii
 from tessera.llm.quality import op1_quality
+from tessera.llm.secrets import op10_secrets
 from tessera.llm.substring_dedup import ORACLE_SQL as OP7_SQL
 from tessera.llm.substring_dedup import op7_substring_dedup
 
@@ -24,9 +27,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_langid": op2_langid,
         "op3_bpe": op3_bpe,
         "op4_ngram_join": op4_ngram_join,
+        "op5_html": op5_html,
+        "op6_pii": op6_pii,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_decontaminate": op8_decontaminate,
         "op9_maxscore": op9_maxscore,
+        "op10_secrets": op10_secrets,
     }
 
 
