@@ -26,7 +26,7 @@ from tessera.llm.common import (
     shuffle_width, squeeze, squeeze_sorted, table, text_blocks,
 )
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).min
 
 
