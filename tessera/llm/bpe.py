@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import bucket_bits, columns, expand, shuffle_width, squeeze, table, utf8
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 ENCODE_AT_ONCE = 20_000
 _NL = b"\n"
 
