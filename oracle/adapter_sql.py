@@ -239,7 +239,8 @@ CTES: list[tuple[str, str]] = [
       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(doc_id % 365 AS INTEGER)) + to_days(CAST(n_chars % 30 AS INTEGER)) AS date_mod
       FROM documents"""),
     ("glpi_knowbaseitemcategories", """SELECT * FROM (SELECT CAST(CASE lang WHEN 'de' THEN 1 WHEN 'en' THEN 2 WHEN 'es' THEN 3
-      WHEN 'fr' THEN 4 END AS BIGINT) AS id, lang AS name FROM (SELECT DISTINCT lang FROM documents)) WHERE id IS NOT NULL"""),
+      WHEN 'fr' THEN 4 ELSE 1000 + CAST('0x' || substr(md5(lang), 1, 12) AS BIGINT) END AS BIGINT) AS id, lang AS name
+      FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL))"""),
     ("glpi_knowbaseitems_items", """SELECT doc_id AS id, doc_id AS knowbaseitems_id,
       CASE WHEN quality = 1 THEN 'Ticket' WHEN toxic = 1 THEN 'Computer' ELSE 'Software' END AS itemtype,
       doc_id AS items_id FROM labels"""),

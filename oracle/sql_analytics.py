@@ -213,6 +213,7 @@ o AS (SELECT entity_id, CAST(sum(total_tickets) AS BIGINT) AS entity_tickets FRO
       WHERE entity_id IN (SELECT entity_id FROM sc) GROUP BY entity_id),
 a AS (SELECT entity_id, count(DISTINCT asset_key) AS total_assets FROM da
       WHERE entity_id IN (SELECT entity_id FROM sc)
-        AND asset_key IN (SELECT asset_key FROM fat WHERE ticket_priority IN (5, 6)) GROUP BY entity_id)
+        AND asset_key IN (SELECT asset_key FROM fat JOIN tk USING (ticket_id) JOIN sc ON sc.entity_id = tk.entity_id
+                          WHERE fat.ticket_priority IN (5, 6)) GROUP BY entity_id)
 SELECT entity_id, total_tickets, open_tickets, {r(div('m', 'm + b'))} AS sla_compliance_rate, entity_tickets, total_assets
 FROM t FULL OUTER JOIN o USING (entity_id) FULL OUTER JOIN a USING (entity_id)"""

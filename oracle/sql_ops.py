@@ -62,27 +62,24 @@ LEFT JOIN (SELECT tu.tickets_id, arg_min(u.entities_id, u.id) AS new
            WHERE tu.type = 1 AND u.entities_id NOT IN (0, 1, 2, 3) GROUP BY tu.tickets_id) n ON n.tickets_id = t.id"""
 
 SQL["backfill_derived_entity"] = """
-SELECT 'items_operatingsystems' AS source_table, CAST(ios.items_id AS BIGINT) AS row_id, ios.items_id AS computer_id,
-  c.entities_id FROM glpi_items_operatingsystems ios JOIN glpi_computers c ON c.id = ios.items_id
-  WHERE ios.itemtype = 'Computer'
-UNION ALL
-SELECT 'items_softwareversions', CAST(isv.id AS BIGINT), isv.items_id, c.entities_id
-  FROM glpi_items_softwareversions isv JOIN glpi_computers c ON c.id = isv.items_id WHERE isv.itemtype = 'Computer'
-UNION ALL
-SELECT 'infocoms', CAST(ic.id AS BIGINT), ic.items_id, c.entities_id
-  FROM glpi_infocoms ic JOIN glpi_computers c ON c.id = ic.items_id WHERE ic.itemtype = 'Computer'"""
+WITH held AS (
+  SELECT 'infocoms' AS source_table, id AS row_id, itemtype, items_id FROM glpi_infocoms
+  UNION ALL SELECT 'items_softwareversions', id, itemtype, items_id FROM glpi_items_softwareversions
+  UNION ALL SELECT 'items_operatingsystems', items_id, itemtype, items_id FROM glpi_items_operatingsystems)
+SELECT source_table, CAST(row_id AS BIGINT) AS row_id, itemtype, items_id, CAST(NULL AS BIGINT) AS entities_id_before,
+  (SELECT max(c.entities_id) FROM glpi_computers c WHERE held.itemtype = 'Computer' AND c.id = held.items_id) AS entities_id
+FROM held"""
 
 SQL["backfill_phone_peripheral_entity"] = "\nUNION ALL ".join(
     f"""SELECT '{kind}' AS kind, a.id AS asset_id, a.entities_id AS entities_id_before,
       CAST(CASE WHEN u.entities_id IS NOT NULL AND u.entities_id NOT IN (0, 1, 2, 3) THEN u.entities_id
-                WHEN (a.users_id IS NULL OR a.users_id = 0) AND a.entities_id IN (1, 2, 3) THEN 1
                 ELSE a.entities_id END AS BIGINT) AS entities_id
     FROM glpi_{table} a LEFT JOIN glpi_users u ON u.id = a.users_id AND a.users_id > 0"""
     for kind, table in (("Phone", "phones"), ("Peripheral", "peripherals")))
 
 SQL["backfill_contract_entity"] = """
 SELECT c.id AS contract_id, c.entities_id AS entities_id_before,
-  CASE WHEN f.contracts_id IS NOT NULL THEN s.entities_id ELSE c.entities_id END AS entities_id
+  coalesce(s.entities_id, c.entities_id) AS entities_id
 FROM glpi_contracts c
 LEFT JOIN (SELECT contracts_id, min(suppliers_id) AS sid FROM glpi_contracts_suppliers GROUP BY contracts_id) f
   ON f.contracts_id = c.id

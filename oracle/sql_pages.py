@@ -60,10 +60,11 @@ SQL["page_sla_by_category"] = marts(tk="vw_glpi_tickets") + f"""
 SELECT category_name, pct AS sla_compliance_pct, {band('pct', 70.0, 90.0)} AS band
 FROM (SELECT category_name, {SLA_PCT} AS pct FROM tk GROUP BY category_name)"""
 
-SQL["page_sla_matrix"] = marts(tk="vw_glpi_tickets") + ",\ncell AS (SELECT assigned_group_name, priority_code, " + \
-    f"{SLA_PCT} AS v FROM tk GROUP BY assigned_group_name, priority_code)\nSELECT assigned_group_name, " + ", ".join(
+SQL["page_sla_matrix"] = marts(tk="vw_glpi_tickets") + ",\ncell AS (SELECT assigned_group_name, CASE WHEN priority_code IN (" + \
+    ", ".join(str(p) for p in D.PRIORITY_LABELS) + ") THEN priority_code ELSE -1 END AS priority_code, " + \
+    f"{SLA_PCT} AS v FROM tk GROUP BY 1, 2)\nSELECT assigned_group_name, " + ", ".join(
         f"max(CASE WHEN priority_code = {p} THEN v END) AS p{p}" for p in D.PRIORITY_LABELS) + \
-    " FROM cell GROUP BY assigned_group_name"
+    ", max(CASE WHEN priority_code = -1 THEN v END) AS p_other FROM cell GROUP BY assigned_group_name"
 
 SQL["page_recent_breaches"] = marts(tk="vw_glpi_tickets", ds="vw_dim_sla") + f"""
 SELECT ticket_id, ticket_title, priority_label, assigned_group_name, created_at, sla_status,
@@ -81,7 +82,8 @@ SQL["page_category_type"] = marts(tk="vw_glpi_tickets") + """,
 top AS (SELECT category_name, count(*) AS total_tickets FROM tk GROUP BY category_name
         ORDER BY total_tickets DESC, category_name LIMIT 10)
 SELECT category_name, top.total_tickets, count(*) FILTER (WHERE ticket_type_code = 1) AS incidents,
-  count(*) FILTER (WHERE ticket_type_code = 2) AS requests
+  count(*) FILTER (WHERE ticket_type_code = 2) AS requests,
+  count(*) FILTER (WHERE ticket_type_code IS NULL OR ticket_type_code NOT IN (1, 2)) AS others
 FROM tk JOIN top USING (category_name) GROUP BY category_name, top.total_tickets"""
 
 SQL["page_lifecycle_funnel"] = marts(tk="vw_glpi_tickets") + f""",
@@ -170,8 +172,8 @@ SELECT week, tickets, {r('a3')} AS avg_3, {r('a3 - s3')} AS band_low, {r('a3 + s
 
 SQL["page_projection_30d"] = marts(tk="vw_glpi_tickets") + f""",
 d AS (SELECT CAST(created_at AS DATE) AS date, count(*) AS n FROM tk
-      WHERE CAST(created_at AS DATE) BETWEEN {TODAY} - 89 AND {TODAY} GROUP BY 1),
-sp AS (SELECT CAST(unnest(generate_series({TODAY} - 89, {TODAY}, INTERVAL 1 DAY)) AS DATE) AS date),
+      WHERE CAST(created_at AS DATE) <= {TODAY} GROUP BY 1),
+sp AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM d), {TODAY}, INTERVAL 1 DAY)) AS DATE) AS date),
 s AS (SELECT date, CAST(coalesce(n, 0) AS DOUBLE) AS y, CAST(date - DATE '1970-01-01' AS DOUBLE) AS x
       FROM sp LEFT JOIN d USING (date)),
 fit AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, max(date) AS last FROM s),

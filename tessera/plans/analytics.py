@@ -84,8 +84,8 @@ def measures_by_entity_filtered(src, as_of: datetime) -> DataFrame:
 
 def measures_region_scope(src, as_of: datetime, region: str = "AMERICA") -> DataFrame:
     """X5 row-level scope: a reader restricted to the entities below one
-    region sees KPIs of those entities only (every mart with an entity id is
-    semi-joined with the scope); J13: assets filtered through their tickets
+    region sees KPIs of those entities only (marts are semi-joined with the
+    scope by their own entity or by that of their ticket or asset); J13: assets filtered through their tickets
     (bidirectional asset <-> asset-ticket relationship)."""
     ents = src["entities"]
     parent = ents.where(F.col("name") == region).select(F.col("id").alias("_p"))

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 T = F.col
 
-# FIXED VALUES: placeholder entities that never receive records, head office
+# FIXED VALUES: placeholder entities that never receive records
 PLACEHOLDER_ENTITIES = (0, 1, 2, 3)
-HEAD_OFFICE_ENTITY = 1
 
 
 def ticket_entity_follows_requester(src, as_of: datetime | None = None) -> DataFrame:
@@ -36,31 +35,41 @@ def ticket_entity_follows_requester(src, as_of: datetime | None = None) -> DataF
 
 def derived_follow_computer(src, as_of: datetime | None = None) -> DataFrame:
     """B2: OS rows, software installs and financial records of a computer
-    take the computer's entity (one join per table on the computer id)."""
+    take the computer's entity (one join per table on the computer id).
+
+    Every row of the three tables comes back, so the result is a snapshot:
+    rows of other kinds or of unknown computers keep the entity they have
+    (NULL where the table has none)."""
     c = src["computers"].select(T("id").alias("_cid"), T("entities_id").alias("entities_id"))
     parts = []
     for table, key in (("items_operatingsystems", "items_id"), ("items_softwareversions", "id"),
                        ("infocoms", "id")):
-        d = src[table].where(T("itemtype") == "Computer")
-        parts.append(d.join(c, T("items_id") == T("_cid")).select(
-            F.lit(table).alias("source_table"), T(key).cast("bigint").alias("row_id"),
-            T("items_id").alias("computer_id"), "entities_id"))
+        d = src[table]
+        own = T("entities_id") if "entities_id" in d.columns else F.lit(None)
+        d = d.select(F.lit(table).alias("source_table"), T(key).cast("bigint").alias("row_id"), "itemtype", "items_id",
+                     own.cast("bigint").alias("entities_id_before"))
+        parts.append(d.join(c, (T("items_id") == T("_cid")) & (T("itemtype") == "Computer"), "left").select(
+            "source_table", "row_id", "itemtype", "items_id", "entities_id_before",
+            F.coalesce("entities_id", "entities_id_before").alias("entities_id")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def phones_peripherals_follow_user(src, as_of: datetime | None = None) -> DataFrame:
+def phones_peripherals_follow_user(src, as_of: datetime | None = None, head_office: int | None = None) -> DataFrame:
     """phones/peripherals with a user take the user's (real) entity;
-    those without a user that sit on a placeholder go to the head office."""
+    those without a user that sit on a placeholder go to ``head_office``, a
+    real entity the caller names (none named: they stay)."""
+    if head_office in PLACEHOLDER_ENTITIES:
+        raise ValueError("the head office cannot be a placeholder entity")
     u = src["users"].select(T("id").alias("_uid"), T("entities_id").alias("_uent"))
     parts = []
     for kind, table in (("Phone", "phones"), ("Peripheral", "peripherals")):
         a = src[table].join(u, (T("users_id") == T("_uid")) & (T("users_id") > 0), "left")
         no_user = T("users_id").isNull() | (T("users_id") == 0)
         new = (F.when(T("_uent").isNotNull() & ~T("_uent").isin(*PLACEHOLDER_ENTITIES), T("_uent"))
-               .when(no_user & T("entities_id").isin(*PLACEHOLDER_ENTITIES[1:]), F.lit(HEAD_OFFICE_ENTITY))
+               .when(no_user & T("entities_id").isin(*PLACEHOLDER_ENTITIES[1:]), F.lit(head_office) if head_office is not None else T("entities_id"))
                .otherwise(T("entities_id")))
         parts.append(a.select(F.lit(kind).alias("kind"), T("id").alias("asset_id"),
                               T("entities_id").alias("entities_id_before"), new.cast("bigint").alias("entities_id")))
@@ -68,14 +77,14 @@ def phones_peripherals_follow_user(src, as_of: datetime | None = None) -> DataFr
 
 
 def contracts_follow_supplier(src, as_of: datetime | None = None) -> DataFrame:
-    """A contract takes the entity of its first (lowest id) supplier."""
+    """A contract takes the entity of its first (lowest id) supplier; a
+    link to an unknown supplier leaves it where it is."""
     first = src["contracts_suppliers"].groupBy(T("contracts_id").alias("_ct")).agg(F.min("suppliers_id").alias("_sid"))
     s = src["suppliers"].select(T("id").alias("_s"), T("entities_id").alias("_sent"))
     c = src["contracts"].select("id", T("entities_id").alias("entities_id_before"))
     j = c.join(first, T("id") == T("_ct"), "left").join(s, T("_sid") == T("_s"), "left")
-    moved = T("_ct").isNotNull()
     return j.select(T("id").alias("contract_id"), "entities_id_before",
-                    F.when(moved, T("_sent")).otherwise(T("entities_id_before")).alias("entities_id"))
+                    F.coalesce("_sent", "entities_id_before").alias("entities_id"))
 
 
 QUERIES = {

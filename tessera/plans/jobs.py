@@ -30,7 +30,8 @@ def deploy(src, as_of: datetime, out_path: str | None = None, only: str | None =
             df = builder(src, as_of)
             if dry_run or out_path is None:
                 df.schema  # resolve + analyse the plan, no job
-                df.createOrReplaceTempView(name)
+                if not dry_run:
+                    df.createOrReplaceTempView(name)
             else:
                 write_mart(df, out_path, name)
             rows.append((name, group, "ok", None))

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -393,7 +394,12 @@ def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters
         elif not by or not set(by) <= set(p.columns):
             out = out.crossJoin(F.broadcast(p))
         else:
-            out = out.join(p, by, "full_outer")
+            # null-safe keys: a NULL group of one part is the NULL group of the other
+            other = p.select(*[F.col(c).alias(f"_r_{c}") if c in by else F.col(c) for c in p.columns])
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by])
+            out = out.join(other, same, "full_outer").select(
+                *[F.coalesce(c, f"_r_{c}").alias(c) for c in by],
+                *[c for c in out.columns if c not in by], *[c for c in p.columns if c not in by])
     for n in todo:
         m = MEASURES[n]
         if m.kind == "post":

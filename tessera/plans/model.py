@@ -48,6 +48,12 @@ RELATIONSHIPS = [
 BIDIRECTIONAL = {("vw_fact_asset_tickets", "vw_dim_asset")}
 
 
+# FIXED VALUES: scope of marts without an entity of their own (column, mart that has both)
+SCOPE_OWNERS = [("ticket_id", "vw_glpi_tickets"), ("asset_key", "vw_dim_asset")]
+# FIXED VALUES: lists shared by all entities
+UNSCOPED_LISTS = {"vw_dim_category", "vw_dim_technician", "vw_dim_group", "vw_dim_sla", "vw_dim_supplier", "vw_dim_software", "dim_date"}
+
+
 class Model:
     """``scope`` (X5, row-level security): a DataFrame with one column
     ``entity_id`` of the entities the reader may see; every mart that has an
@@ -59,6 +65,7 @@ class Model:
         self.scope = scope
         self._builders = {**mart_builders(), **(extra_marts or {})}
         self._cache: dict[tuple, DataFrame] = {}
+        self.unreached: set[tuple[str, str]] = set()         # (filter, mart) without a path between them
 
     def mart(self, name: str, needs: Iterable[str] | None = None) -> DataFrame:
         """Mart plan; ``needs`` (join-provided columns the caller uses) lets
@@ -68,11 +75,24 @@ class Model:
         key = (name, frozenset(needs) if (needs is not None and aware) else None)
         if key not in self._cache:
             df = builder(self.src, self.as_of, needs=key[1]) if key[1] is not None else builder(self.src, self.as_of)
-            if self.scope is not None and "entity_id" in df.columns:
-                df = df.join(self.scope.select("entity_id"), "entity_id", "left_semi")
+            if self.scope is not None:
+                df = self._scoped(name, df)
             self._cache[key] = df
         return self._cache[key]
 
+    def _scoped(self, name: str, df: DataFrame) -> DataFrame:
+        """Rows of entities in scope: by the mart's own entity, else by that of
+        its ticket or asset.  Plain lists hold no entity's records; any other
+        mart cannot be restricted and is refused."""
+        if "entity_id" in df.columns:
+            return df.join(self.scope.select("entity_id"), "entity_id", "left_semi")
+        for column, owner in SCOPE_OWNERS:
+            if column in df.columns and name != owner:
+                return df.join(self.mart(owner, needs=()).select(column).distinct(), column, "left_semi")
+        if name in UNSCOPED_LISTS:
+            return df
+        raise PermissionError(f"{name} has no entity, ticket or asset to be scoped by")
+
     def names(self):
         return list(self._builders)
 
@@ -85,12 +105,29 @@ def _predicate(col: Column, value) -> Column:
     return col == value
 
 
+def _path(source: str, target: str) -> list[tuple[str, str, str, str]] | None:
+    """Shortest way of a filter from ``source`` to ``target``: (from, its column,
+    to, its column) along edges from dimension to fact, and back where declared."""
+    steps = [(d, pk, f, fk) for f, fk, d, pk in RELATIONSHIPS]
+    steps += [(f, fk, d, pk) for f, fk, d, pk in RELATIONSHIPS if (f, d) in BIDIRECTIONAL]
+    seen, ways = {source}, [(source, [])]
+    for at, way in ways:
+        for step in steps:
+            if step[0] == at and step[2] not in seen:
+                if step[2] == target:
+                    return [*way, step]
+                seen.add(step[2])
+                ways.append((step[2], [*way, step]))
+    return None
+
+
 def apply_filters(model: Model, mart: str, df: DataFrame, filters: dict | None) -> DataFrame:
     """Filter ``df`` (built from ``mart``) by ``filters``.
 
     Keys are ``column`` (applies where the column exists) or
-    ``mart.column`` (applies to that mart, or propagates to a fact related
-    to it by one relationship edge through a left-semi join)."""
+    ``mart.column`` (applies to that mart, or propagates along the
+    relationship edges to the marts related to it, through left-semi joins).
+    Filters that reach ``mart`` on no path are listed in ``model.unreached``."""
     if not filters:
         return df
     for key, value in filters.items():
@@ -103,15 +140,14 @@ def apply_filters(model: Model, mart: str, df: DataFrame, filters: dict | None)
             continue
         if fmart is None:
             continue
-        for fact, fk, dim, pk in RELATIONSHIPS:
-            if fact == mart and dim == fmart:
-                d = model.mart(dim)
-                keys = d.where(_predicate(F.col(fcol), value)).select(F.col(pk).alias("_fk"))
-                df = df.join(keys, df[fk] == F.col("_fk"), "left_semi")
-                break
-            if dim == mart and fact == fmart and (fact, dim) in BIDIRECTIONAL:
-                f = model.mart(fact)
-                keys = f.where(_predicate(F.col(fcol), value)).select(F.col(fk).alias("_pk"))
-                df = df.join(keys, df[pk] == F.col("_pk"), "left_semi")
-                break
+        path = _path(fmart, mart)
+        if path is None:
+            model.unreached.add((key, mart))
+            continue
+        kept = model.mart(fmart).where(_predicate(F.col(fcol), value))
+        for source, source_col, target, target_col in path:
+            keys = kept.select(F.col(source_col).alias("_key"))
+            kept = df if target == mart else model.mart(target)
+            kept = kept.join(keys, kept[target_col] == F.col("_key"), "left_semi")
+        df = kept
     return df

@@ -127,10 +127,14 @@ def page_sla_by_category(src, as_of: datetime) -> DataFrame:
 
 
 def page_sla_matrix(src, as_of: datetime) -> DataFrame:
-    """SLA % matrix, assigned group x priority (pivot, known values)."""
+    """SLA % matrix, assigned group x priority (pivot; other codes and
+    tickets without one share ``p_other``)."""
     t = Model(src, as_of).mart("vw_glpi_tickets", needs=("assigned_group_name",))
-    pv = t.groupBy("assigned_group_name").pivot("priority_code", list(D.PRIORITY_LABELS)).agg(_sla_pct())
-    return pv.select("assigned_group_name", *[T(str(p)).alias(f"p{p}") for p in D.PRIORITY_LABELS])
+    known = [str(p) for p in D.PRIORITY_LABELS]
+    code = T("priority_code").cast("string")
+    t = t.withColumn("_p", F.when(code.isin(*known), code).otherwise(F.lit("other")))
+    pv = t.groupBy("assigned_group_name").pivot("_p", [*known, "other"]).agg(_sla_pct())
+    return pv.select("assigned_group_name", *[T(p).alias(f"p{p}") for p in known], T("other").alias("p_other"))
 
 
 def page_recent_breaches(src, as_of: datetime, days: int = 30, k: int = 20) -> DataFrame:
@@ -160,7 +164,8 @@ def page_at_risk(src, as_of: datetime) -> DataFrame:
 
 # ---------------------------------------------------------------- p03
 def page_category_type(src, as_of: datetime, k: int = 10) -> DataFrame:
-    """Top-k categories x ticket type (semi-join on the top list + pivot)."""
+    """Top-k categories x ticket type (semi-join on the top list + pivot);
+    ``others`` counts tickets of any other type or none."""
     t = Model(src, as_of).mart("vw_glpi_tickets", needs=("category_name",))
     top = top_k(t.groupBy("category_name").agg(F.count(F.lit(1)).alias("total_tickets")), k,
                 [F.desc("total_tickets"), F.asc("category_name")])
@@ -168,7 +173,8 @@ def page_category_type(src, as_of: datetime, k: int = 10) -> DataFrame:
           .groupBy("category_name").pivot("ticket_type_code", [1, 2]).agg(F.count(F.lit(1))))
     return pv.join(top, "category_name").select(
         "category_name", "total_tickets", F.coalesce(T("1"), F.lit(0)).alias("incidents"),
-        F.coalesce(T("2"), F.lit(0)).alias("requests"))
+        F.coalesce(T("2"), F.lit(0)).alias("requests"),
+        (T("total_tickets") - F.coalesce(T("1"), F.lit(0)) - F.coalesce(T("2"), F.lit(0))).alias("others"))
 
 
 def page_lifecycle_funnel(src, as_of: datetime) -> DataFrame:
@@ -312,15 +318,20 @@ def page_trend_weekly(src, as_of: datetime) -> DataFrame:
                                     (T("avg_3") + T("std_3")).alias("band_high")))
 
 
-def page_projection_30d(src, as_of: datetime, history_days: int = 90, horizon: int = 30) -> DataFrame:
+def page_projection_30d(src, as_of: datetime, history_days: int | None = None, horizon: int = 30) -> DataFrame:
     """Linear projection of daily created tickets for the next
-    ``horizon`` days, fitted on the last ``history_days`` days (dense)."""
+    ``horizon`` days, fitted on the whole daily series up to ``as_of`` (dense),
+    or on its last ``history_days`` days when given."""
     t = Model(src, as_of).mart("vw_glpi_tickets", needs=())
     end = as_of.date()
-    start = end - timedelta(days=history_days - 1)
-    daily = (t.where((F.to_date("created_at") >= date_lit(start)) & (F.to_date("created_at") <= date_lit(end)))
+    daily = (t.where(F.to_date("created_at") <= date_lit(end))
               .groupBy(F.to_date("created_at").alias("date")).agg(F.count(F.lit(1)).alias("tickets")))
-    spine = t.sparkSession.range(1).select(F.explode(F.sequence(date_lit(start), date_lit(end))).alias("date"))
+    if history_days is not None:
+        daily = daily.where(T("date") > date_lit(end - timedelta(days=history_days)))
+        first = t.sparkSession.range(1).select(date_lit(end - timedelta(days=history_days - 1)).alias("first"))
+    else:
+        first = daily.agg(F.min("date").alias("first")).where(T("first").isNotNull())
+    spine = first.select(F.explode(F.sequence("first", date_lit(end))).alias("date"))
     dense = spine.join(daily, "date", "left").fillna({"tickets": 0})
     return round_doubles(TI.linear_projection(dense, "tickets", "date", horizon))
 

@@ -571,7 +571,9 @@ class DriverSources:
         code = None
         for k, v in KB_CATEGORY_NAMES.items():
             code = F.when(F.col("lang") == v, F.lit(k)) if code is None else code.when(F.col("lang") == v, F.lit(k))
-        return langs.select(code.cast("bigint").alias("id"), F.col("lang").alias("name")).where(F.col("id").isNotNull())
+        other = F.conv(F.substring(F.md5("lang"), 1, 12), 16, 10).cast("bigint") + 1000        # any further language
+        return langs.where(F.col("lang").isNotNull()).select(
+            F.coalesce(code.cast("bigint"), other).alias("id"), F.col("lang").alias("name"))
 
     @cached_property
     def knowbaseitems_items(self) -> DataFrame:

@@ -33,10 +33,16 @@ def volume(events: DataFrame, width: str = "1 hour", slide: str | None = None) -
 
 def start_stream(spark: SparkSession, source_dir: str, sink: str, checkpoint: str, width: str = "1 hour",
                  slide: str | None = None, watermark: str = "1 hour", query_name: str | None = None,
-                 trigger_available_now: bool = True) -> StreamingQuery:
+                 trigger_available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Stream parquet files from ``source_dir``; ``sink`` is a path (parquet)
-    or ``memory`` (tests).  Checkpoint must be shared storage on a cluster."""
-    events = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    or ``memory`` (tests).  Checkpoint must be shared storage on a cluster.
+
+    The watermark moves between micro-batches: with a file limit, files that are
+    not in time order lose the rows older than it, so none is set by default."""
+    reader = spark.readStream.schema(EVENT_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    events = (reader.parquet(source_dir)
               .withColumn("ts", ntz_to_instant(T("ts"))).withWatermark("ts", watermark))
     out = volume(events, width, slide)
     w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)

@@ -56,7 +56,7 @@ def test_late_rows_are_dropped(spark):
     time.sleep(1.1)
     ev.where(F.col("ts") < "2024-01-05").coalesce(1).write.parquet(os.path.join(root, "in", "c"))
     q = V.start_stream(spark, os.path.join(root, "in", "*"), "memory", os.path.join(root, "ckpt"),
-                       watermark="1 hour", query_name="late_test")
+                       watermark="1 hour", query_name="late_test", max_files_per_trigger=1)
     q.awaitTermination()
     got = spark.table("late_test")
     assert got.where(F.col("window_start") >= "2024-01-20").count() > 0
