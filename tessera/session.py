@@ -8,6 +8,7 @@ setting is absent (local runs).
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,14 +41,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when ``spark.checkpoint.dir`` is unset (a local test run) a fresh
-    temporary folder is created and registered.
+    Only in a local run with ``spark.checkpoint.dir`` unset a fresh temporary
+    folder is created and registered; a cluster has to name one.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if conf_dir:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
