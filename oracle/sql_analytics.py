@@ -217,3 +217,22 @@ a AS (SELECT entity_id, count(DISTINCT asset_key) AS total_assets FROM da
                           WHERE fat.ticket_priority IN (5, 6)) GROUP BY entity_id)
 SELECT entity_id, total_tickets, open_tickets, {r(div('m', 'm + b'))} AS sla_compliance_rate, entity_tickets, total_assets
 FROM t FULL OUTER JOIN o USING (entity_id) FULL OUTER JOIN a USING (entity_id)"""
+
+# Months are numbered; earlier months are found by self-join on the number.
+SQL["ti_measures_by_entity"] = """
+WITH made AS (
+  SELECT entities_id, CAST(year(date) * 12 + month(date) - 1 AS BIGINT) AS m, count(*) AS n FROM glpi_tickets
+  WHERE is_deleted = 0 AND priority IN (5, 6) GROUP BY ALL),
+span AS (SELECT unnest(range((SELECT min(m) FROM made), (SELECT max(m) FROM made) + 1)) AS m),
+series AS (
+  SELECT e.entities_id, span.m, made.n AS found, coalesce(made.n, 0) AS n
+  FROM (SELECT DISTINCT entities_id FROM made) e, span LEFT JOIN made ON made.entities_id = e.entities_id AND made.m = span.m),
+seen AS (
+  SELECT s.entities_id, s.m, s.found, s.n, max(b.n) FILTER (WHERE b.m = s.m - 1) AS before,
+    avg(b.n) FILTER (WHERE b.m >= s.m - 2) AS average, max(b.n) FILTER (WHERE b.m = s.m - 12) AS year_before
+  FROM series s INNER JOIN series b ON b.entities_id = s.entities_id AND b.m BETWEEN s.m - 12 AND s.m GROUP BY ALL)
+SELECT entities_id AS entity_id, printf('%04d-%02d', m // 12, m % 12 + 1) AS year_month, found AS tickets_created,
+  before AS tickets_prev_month, n - coalesce(before, 0) AS tickets_mom_change,
+  round((n - before) / nullif(CAST(before AS DOUBLE), 0), 4) AS tickets_mom_pct, round(average, 4) AS tickets_avg_3m,
+  round((n - year_before) / nullif(CAST(year_before AS DOUBLE), 0), 4) AS tickets_yoy_pct
+FROM seen"""

@@ -148,13 +148,16 @@ w AS (SELECT count(DISTINCT date_trunc('week', created_at)) AS weeks FROM tk)
 SELECT CAST(isodow(created_at) AS INTEGER) AS weekday, count(*) AS tickets, round(count(*) / any_value(weeks), 4) AS tickets_per_week
 FROM tk, w GROUP BY 1"""
 
-SQL["page_hour_heatmap"] = marts(pr="vw_fact_problems", ch="vw_fact_changes") + """,
+SQL["page_hour_heatmap"] = marts(pr="vw_fact_problems", ch="vw_fact_changes", tk="vw_glpi_tickets") + """,
+k AS (SELECT CAST(isodow(created_at) AS INTEGER) AS weekday, CAST(hour(created_at) AS INTEGER) AS hour, count(*) AS created
+      FROM tk GROUP BY 1, 2),
 o AS (SELECT open_date FROM (SELECT DISTINCT problem_id, open_date FROM pr)
       UNION ALL SELECT open_date FROM (SELECT DISTINCT change_id, open_date FROM ch)),
 c AS (SELECT CAST(isodow(open_date) AS INTEGER) AS weekday, CAST(hour(open_date) AS INTEGER) AS hour, count(*) AS n
       FROM o GROUP BY 1, 2),
 grid AS (SELECT CAST(w AS INTEGER) AS weekday, CAST(h AS INTEGER) AS hour FROM range(1, 8) a(w), range(0, 24) b(h))
-SELECT weekday, hour, coalesce(n, 0) AS records FROM grid LEFT JOIN c USING (weekday, hour)"""
+SELECT weekday, hour, coalesce(created, 0) AS tickets, coalesce(n, 0) AS records
+FROM grid LEFT JOIN k USING (weekday, hour) LEFT JOIN c USING (weekday, hour)"""
 
 SQL["page_priority_mom"] = marts(tk="vw_glpi_tickets") + f"""
 SELECT priority_code, priority_label, {cnt("created_year_month = '2001-08'")} AS current_month,

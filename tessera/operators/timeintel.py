@@ -33,9 +33,14 @@ def month_spine(df: DataFrame, month_col: str = "year_month", by: list | tuple =
 def on_spine(df: DataFrame, values: list[str], month_col: str = "year_month", by: list | tuple = (),
              fill: dict | None = None) -> DataFrame:
     """Left-join the series onto the dense spine; ``fill`` gives per-column
-    defaults for empty periods (counts -> 0, ratios stay NULL)."""
+    defaults for empty periods (counts -> 0, ratios stay NULL).  A NULL slice
+    is a slice of its own."""
     spine = month_spine(df, month_col, by)
-    out = spine.join(df.select(month_col, *by, *values), [month_col, *by], "left")
+    series = df.select(*[T(c).alias(f"_k_{c}") for c in (month_col, *by)], *values)
+    same = T(month_col) == T(f"_k_{month_col}")
+    for c in by:
+        same = same & T(c).eqNullSafe(T(f"_k_{c}"))
+    out = spine.join(series, same, "left").select(month_col, *by, *values)
     return out.fillna(fill) if fill else out
 
 

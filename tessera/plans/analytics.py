@@ -146,6 +146,15 @@ def ti_entity_sla_mom(src, as_of: datetime) -> DataFrame:
         TI.delta(T("entity_sla_compliance"), T("prev_compliance")).alias("entity_sla_mom")))
 
 
+def ti_measures_by_entity(src, as_of: datetime) -> DataFrame:
+    """M28-M32 as measures: created tickets of the two highest priorities per
+    entity and month, compared along each entity's own spine."""
+    return round_doubles(evaluate(
+        Model(src, as_of), ["tickets_created", "tickets_prev_month", "tickets_mom_change", "tickets_mom_pct",
+                            "tickets_avg_3m", "tickets_yoy_pct"],
+        by=["entity_id", "year_month"], filters={"priority_code": [5, 6]}))
+
+
 ANALYTICS = {
     "measures_ticket_kpis": measures_ticket_kpis,
     "measures_entity_kpis": measures_entity_kpis,
@@ -156,4 +165,5 @@ ANALYTICS = {
     "ti_ticket_volume": ti_ticket_volume,
     "ti_sla_mom": ti_sla_mom,
     "ti_entity_sla_mom": ti_entity_sla_mom,
+    "ti_measures_by_entity": ti_measures_by_entity,
 }

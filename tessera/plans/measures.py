@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tessera import domains as D
 from tessera.functions.time import date_lit, ntz
+from tessera.operators import timeintel as TI
 from tessera.plans.model import Model, apply_filters
 
 T = F.col
@@ -302,12 +303,17 @@ _agg("overdue_projects", "M88", PJ,
 
 MEASURES: dict[str, Measure] = {m.name: m for m in M}
 
-# Time-intelligence measures (M10, M28-M32, M45) are computed on a month
-# spine by ``tessera.operators.timeintel``; they are listed here for lookup.
+# Time-intelligence measures (M10, M28-M32, M45): name -> (base measure,
+# shape, value of a month without rows).  They need ``year_month`` among the
+# keys and are computed on the dense month spine of the other keys.
 TIME_INTELLIGENCE = {
-    "M10": ("sla_compliance_rate", "mom"), "M28": ("tickets_created", "prev"), "M29": ("tickets_created", "mom"),
-    "M30": ("tickets_created", "mom_pct"), "M31": ("tickets_created", "avg3"), "M32": ("tickets_created", "yoy_pct"),
-    "M45": ("entity_sla_compliance", "mom"),
+    "sla_compliance_mom": ("sla_compliance_rate", "change", None),
+    "tickets_prev_month": ("tickets_created", "previous", 0),
+    "tickets_mom_change": ("tickets_created", "change", 0),
+    "tickets_mom_pct": ("tickets_created", "change_pct", 0),
+    "tickets_avg_3m": ("tickets_created", "average_3", 0),
+    "tickets_yoy_pct": ("tickets_created", "yoy_pct", 0),
+    "entity_sla_mom": ("entity_sla_compliance", "change", None),
 }
 
 
@@ -345,11 +351,43 @@ def _time_keys(df: DataFrame, by: list, date_col: str | None) -> DataFrame:
     return df
 
 
+def _over_months(model: Model, names: list, by: list, filters, ignore, exact_percentile: bool) -> DataFrame:
+    """Time-intelligence measures beside plain ones: the base measures are
+    evaluated once per month and key, then compared along the spine.  Months
+    are those from the first to the last of the result; plain measures are
+    NULL in a month without rows, counts that are compared are 0."""
+    if "year_month" not in by:
+        raise ValueError("time-intelligence measures need year_month among the keys")
+    keys = [k for k in by if k != "year_month"]
+    shifted = [n for n in names if n in TIME_INTELLIGENCE]
+    plain = [n for n in names if n not in TIME_INTELLIGENCE]
+    bases = dict.fromkeys(TIME_INTELLIGENCE[n][0] for n in shifted)
+    per = evaluate(model, [*plain, *[b for b in bases if b not in plain]], by, filters, ignore, exact_percentile)
+    for b in bases:
+        empty = next(TIME_INTELLIGENCE[n][2] for n in shifted if TIME_INTELLIGENCE[n][0] == b)
+        per = per.withColumn(f"_{b}", T(b) if empty is None else F.coalesce(T(b), F.lit(empty)))
+    zero = {f"_{TIME_INTELLIGENCE[n][0]}": TIME_INTELLIGENCE[n][2] for n in shifted if TIME_INTELLIGENCE[n][2] is not None}
+    values = [*plain, *[f"_{b}" for b in bases]]
+    s = TI.on_spine(per.where(T("year_month").isNotNull()).select(*by, *values), values, by=keys, fill=zero)
+
+    def shape(n: str):
+        base, kind, _ = TIME_INTELLIGENCE[n]
+        base = f"_{base}"
+        if kind == "average_3":
+            return TI.moving_avg(base, 3, by=keys)
+        before = TI.shift_period(base, 12 if kind == "yoy_pct" else 1, by=keys)
+        return {"previous": before, "change": TI.delta(T(base), before)}.get(kind, TI.pct_change(T(base), before))
+
+    return s.select(*by, *[shape(n).alias(n) if n in TIME_INTELLIGENCE else T(n) for n in names])
+
+
 def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters: dict | None = None,
              ignore: Iterable[str] = (), exact_percentile: bool = True) -> DataFrame:
     """Evaluate ``names`` grouped by ``by`` under ``filters``; ``ignore``
     lists measures evaluated without filters (ALL)."""
     names, by, ignore = list(names), list(by), set(ignore)
+    if any(n in TIME_INTELLIGENCE for n in names):
+        return _over_months(model, names, by, filters, ignore, exact_percentile)
     ctx = Ctx(model, filters or {}, exact_percentile)
     todo = _closure(names)
     groups: dict[tuple, list[Measure]] = {}

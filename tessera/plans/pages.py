@@ -279,17 +279,19 @@ def page_weekday_volume(src, as_of: datetime) -> DataFrame:
 
 
 def page_hour_heatmap(src, as_of: datetime) -> DataFrame:
-    """Weekday x hour grid (dense 7 x 24) of ITIL records opened
-    (problems and changes carry real opening hours)."""
+    """Weekday x hour grid (dense 7 x 24) of tickets created, beside
+    the problems and changes opened (``records``)."""
     m = Model(src, as_of)
+    slot = lambda c: ((F.weekday(c) + 1).alias("weekday"), F.hour(c).alias("hour"))
+    created = m.mart("vw_glpi_tickets", needs=()).groupBy(*slot("created_at")).agg(F.count(F.lit(1)).alias("tickets"))
     opened = (m.mart("vw_fact_problems").select("problem_id", "open_date").distinct().select("open_date")
               .unionByName(m.mart("vw_fact_changes").select("change_id", "open_date").distinct().select("open_date")))
-    counts = opened.groupBy((F.weekday("open_date") + 1).alias("weekday"), F.hour("open_date").alias("hour")).agg(
-        F.count(F.lit(1)).alias("records"))
+    counts = opened.groupBy(*slot("open_date")).agg(F.count(F.lit(1)).alias("records"))
     grid = (m.src["tickets"].sparkSession.range(1, 8).select(T("id").cast("int").alias("weekday"))
             .crossJoin(m.src["tickets"].sparkSession.range(0, 24).select(T("id").cast("int").alias("hour"))))
-    return grid.join(counts, ["weekday", "hour"], "left").select("weekday", "hour",
-                                                                 F.coalesce("records", F.lit(0)).alias("records"))
+    return (grid.join(created, ["weekday", "hour"], "left").join(counts, ["weekday", "hour"], "left")
+            .select("weekday", "hour", F.coalesce("tickets", F.lit(0)).alias("tickets"),
+                    F.coalesce("records", F.lit(0)).alias("records")))
 
 
 def page_priority_mom(src, as_of: datetime) -> DataFrame:

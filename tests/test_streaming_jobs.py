@@ -8,7 +8,9 @@ import time
 from pyspark.sql import functions as F
 
 from tessera.plans.jobs import deploy
-from tessera.plans.marts_tickets import build_vw_sla_monthly, build_vw_volume_trend
+from tessera.plans.marts_entity import build_vw_entity_sla_monthly
+from tessera.plans.marts_finance import build_vw_fact_satisfaction_summary
+from tessera.plans.marts_tickets import build_vw_sla_monthly, build_vw_tech_productivity, build_vw_volume_trend
 from tessera.sources.adapter import AS_OF
 from tessera.streaming import refresh as R
 from tessera.streaming import volume as V
@@ -16,7 +18,7 @@ from tests.conftest import SF_SMALL
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def _write_event_files(spark, root, parts):
@@ -80,6 +82,40 @@ def test_incremental_refresh_matches_full_rebuild(spark, driver_src):
     full = build_vw_sla_monthly(driver_src, AS_OF).where(F.col("year_month").isin(*months))
     cols = ["year_month", "group_name", "priority_label", "total_tickets", "within_sla", "sla_compliance_pct"]
     assert got.count() > 0 and _rows(got.select(*cols)) == _rows(full.select(*cols))
+    for name, builder in (("vw_tech_productivity", build_vw_tech_productivity),
+                          ("vw_entity_sla_monthly", build_vw_entity_sla_monthly)):
+        got = spark.read.parquet(os.path.join(out, name))
+        full = builder(driver_src, AS_OF).where(F.col("year_month").isin(*months))
+        assert got.count() > 0 and _rows(got.select(*full.columns)) == _rows(full)
+    got = spark.read.parquet(os.path.join(out, "vw_fact_satisfaction_summary"))
+    full = build_vw_fact_satisfaction_summary(driver_src, AS_OF)
+    kept = full.join(got.select("year_month").distinct(), "year_month", "left_semi")
+    assert got.count() > 0 and _rows(got.select(*full.columns)) == _rows(kept.select(*full.columns))
+
+
+def test_refresh_lists_files_anew(spark, driver_src):
+    root = tempfile.mkdtemp(prefix="tessera-refresh-")
+    new_dir, out, ckpt, store = (os.path.join(root, d) for d in ("new", "out", "ckpt", "store"))
+    tickets = driver_src["tickets"].where(F.date_format("date", "yyyy-MM") == "1999-11")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tickets.schema.fields)
+    tickets.where("id % 2 = 0").write.parquet(store)
+
+    class Fresh(dict):
+        def __missing__(self, name):
+            return spark.read.parquet(store) if name == "tickets" else driver_src[name]
+
+    def total():
+        return spark.read.parquet(os.path.join(out, "vw_volume_trend")).agg(F.sum("tickets_created")).first()[0]
+
+    spark.read.parquet(store).write.parquet(os.path.join(new_dir))
+    R.refresh_once(spark, new_dir, schema, Fresh, out, ckpt, AS_OF)
+    live = tickets.where("is_deleted = 0")
+    assert total() == live.where("id % 2 = 0").count()
+    late = tickets.where("id % 2 = 1")
+    late.write.mode("append").parquet(store)
+    late.write.mode("append").parquet(new_dir)
+    R.refresh_once(spark, new_dir, schema, Fresh, out, ckpt, AS_OF)
+    assert total() == live.count()
 
 
 def test_refresh_loop_error_budget():
