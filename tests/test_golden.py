@@ -116,3 +116,12 @@ def test_rank_desc_sql_rank(spark):
     df = spark.createDataFrame([(1, 5), (2, 5), (3, 3), (4, 1)], "id int, v int")
     ranks = {r.id: r["rank"] for r in rank_desc(df, "v").collect()}
     assert ranks == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_month_spine_keeps_null_slice(spark):
+    from tessera.operators import timeintel as TI
+    df = spark.createDataFrame([(None, "2001-01", 3), (None, "2001-03", 5), ("a", "2001-02", 7)],
+                               "g string, year_month string, n bigint")
+    rows = {(r.g, r.year_month): r.n for r in TI.on_spine(df, ["n"], by=["g"], fill={"n": 0}).collect()}
+    assert rows == {(None, "2001-01"): 3, (None, "2001-02"): 0, (None, "2001-03"): 5,
+                    ("a", "2001-01"): 0, ("a", "2001-02"): 7, ("a", "2001-03"): 0}
