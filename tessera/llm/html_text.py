@@ -41,6 +41,8 @@ _ATTRIBUTE = re.compile(r"([^\s=>/\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+
 _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
+#: End tags of raw-text elements, looked for in the text itself: a text in small letters may differ in length (U+0130).
+_RAW_END = {name: re.compile(f"</{name}(?=[ \\t\\n\\r\\f/>])", re.I | re.A) for name in RAW if name != "plaintext"}
 
 
 class Node:
@@ -69,7 +71,6 @@ def _tag_end(text: str, at: int) -> int:
 def tokens(text: str) -> Iterator[tuple[str, str, dict]]:
     """(kind, name or text, attributes): kinds are text, open, close."""
     at, n = 0, len(text)
-    low = None
     while at < n:
         lt = text.find("<", at)
         if lt < 0:
@@ -97,9 +98,8 @@ def tokens(text: str) -> Iterator[tuple[str, str, dict]]:
                     attrs.setdefault(a.group(1).lower(), html.unescape(value[1:-1] if value[:1] in "\"'" and value else value))
             yield "open", name, attrs
             if name in RAW:
-                low = text.lower() if low is None else low
-                stop = n if name == "plaintext" else low.find("</" + name, at)
-                stop = n if stop < 0 or len(low) != n else stop
+                found = None if name == "plaintext" else _RAW_END[name].search(text, at)
+                stop = found.start() if found else n
                 yield "text", html.unescape(text[at:stop]) if name in ("textarea", "title") else text[at:stop], {}
                 at = stop
         else:

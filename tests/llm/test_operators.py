@@ -197,6 +197,14 @@ def test_html_layout():
     assert html_text.render("<div>" * 5000 + "x" + "<table><tr><td>" * 500 + "y").endswith("y")
 
 
+def test_html_raw_text_ends_where_small_letters_differ_in_length():
+    page = ("<p>\u0130 one<title>T \u0130</TITLE><p>two \u0130<script>var a = '</scripty>\u0130'</ScRiPt ><p>three"
+            "<style>p{}</style/><p>four \u0130<textarea>x</\u017fcript></TextArea><script>open")
+    assert html_text.render(page) == "\u0130 one\n\ntwo \u0130\n\nthree\n\nfour \u0130\n\nx</\u017fcript>"
+    head = "<html><head><title>\u0130stanbul</title></head><body><h1>Ba\u015fl\u0131k</h1><p>g\u00f6vde \u0130</body></html>"
+    assert html_text.render(head) == "Ba\u015fl\u0131k\n\ng\u00f6vde \u0130"
+
+
 def test_pii_base_equals_patterns():
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
              "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
