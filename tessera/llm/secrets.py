@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives (operator 10); DataFrame and SQL functions only.
 
 Patterns propose candidate values in every text.  A random forest on a candidate's length, character transitions,
-dictionary coverage, path and neighbouring words decides which are secrets.  It is trained on labelled findings, built
+dictionary coverage, path and neighbouring words decides which are secrets; a value is one if any
+of its places in the text is judged so.  It is trained on labelled findings, built
 in SQL from a bounded sample of the documents: values of secret formats, and look-alikes (place-holders, words, paths,
 digests beside words that say so) put into the documents' own surroundings.  The fitted trees are then spelt as SQL,
 so that scanning is one projection over the documents without an exchange.
@@ -44,10 +45,13 @@ CANDIDATES = f"""array_sort(array_distinct(filter(concat(
 
 FEATURES = ("length", "digits", "capitals", "smalls", "others", "transitions", "variety", "repeats", "unlikely", "dictionary",
             "path", "keyed", "harmless", "format", "quoted")
+#: Features of a place (the others are the value's own), and how many characters around it they may look at.
+PLACE = ("path", "keyed", "harmless", "quoted")
+BEFORE, AFTER = 47, 24
 
 
-def features(c: str, words: list[str], steps: dict[str, float]) -> str:
-    """SQL of the feature struct of a candidate ``c`` with value, before and after."""
+def features(c: str, words: list[str], steps: dict[str, float], of: tuple = FEATURES) -> str:
+    """SQL of the struct of the features ``of`` a candidate ``c`` with value, before and after."""
     v, n = f"{c}.value", f"length({c}.value)"
     share = lambda keep: f"length(regexp_replace({v}, '[^{keep}]', '')) / {n}"
     pairs = f"transform(sequence(1, greatest({n} - 1, 1)), i -> lower(substring({v}, i, 2)))"
@@ -71,14 +75,18 @@ def features(c: str, words: list[str], steps: dict[str, float]) -> str:
         "format": f"IF({v} rlike {_sql('^(?:' + FORMATS + ')$')}, 1D, 0D)",
         "quoted": f"IF({c}.before rlike '[\\\\x22\\\\x27]$' and {c}.after rlike '^[\\\\x22\\\\x27]', 1D, 0D)",
     }
-    return "named_struct(" + ", ".join(f"'{k}', double({parts[k]})" for k in FEATURES) + ")"
+    return "named_struct(" + ", ".join(f"'{k}', double({parts[k]})" for k in of) + ")"
 
 
-def _found(text: str = "text") -> str:
-    """SQL of the candidates with first place (characters from 0), number of places and surroundings."""
-    return (f"transform({CANDIDATES}, v -> named_struct('value', v, 'start', instr({text}, v) - 1, "
-            f"'before', substring({text}, greatest(instr({text}, v) - 48, 1), least(instr({text}, v) - 1, 47)), "
-            f"'after', substring({text}, instr({text}, v) + length(v), 24)))")
+#: Candidates with first place (characters from 0) and the pieces of the text between their places.
+FOUND = rf"""transform({CANDIDATES}, v -> named_struct('value', v, 'start', instr(text, v) - 1,
+    'pieces', split(text, regexp_replace(v, r'([^A-Za-z0-9])', r'\\$1'), -1)))"""
+#: The same with the surroundings of every place, alike ones once.  Values have 6 characters or more: of the pieces before
+#: (behind) a place, with the value between them, the nearest 9 (5) fill the surroundings.
+PLACES = f"""transform(_c, c -> named_struct('value', c.value, 'start', c.start, 'places', array_distinct(transform(
+    sequence(1, size(c.pieces) - 1), i -> named_struct('value', c.value,
+        'before', right(array_join(transform(slice(c.pieces, greatest(i - 8, 1), least(i, 9)), x -> right(x, {BEFORE})), c.value), {BEFORE}),
+        'after', left(array_join(transform(slice(c.pieces, i + 1, 5), x -> left(x, {AFTER})), c.value), {AFTER}))))))"""
 
 
 def labelled_findings(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> tuple[DataFrame, list[str]]:
@@ -126,14 +134,15 @@ def _steps(words: list[str]) -> dict[str, float]:
     return {p: math.log(n / total[p[0]]) for p, n in pairs.items()}
 
 
-def _tree_sql(node, c: str) -> str:
-    """A fitted tree's probability of label 1."""
+def _tree_sql(node, value: str, place: str) -> str:
+    """A fitted tree's probability of label 1, of the feature structs of a value and of one of its places."""
     if node.subtreeDepth() == 0:
         stats = list(node.impurityStats().stats())
         return f"{stats[1] / max(sum(stats), 1e-9):.6f}D"
     split = node.split()
-    return (f"IF({c}.{FEATURES[split.featureIndex()]} <= {split.threshold()!r}D, "
-            f"{_tree_sql(node.leftChild(), c)}, {_tree_sql(node.rightChild(), c)})")
+    name = FEATURES[split.featureIndex()]
+    return (f"IF({place if name in PLACE else value}.{name} <= {split.threshold()!r}D, "
+            f"{_tree_sql(node.leftChild(), value, place)}, {_tree_sql(node.rightChild(), value, place)})")
 
 
 class Scanner:
@@ -143,20 +152,27 @@ class Scanner:
         self.words, self.steps = words, _steps(words)
         self.trees = [] if model is None else [t._java_obj.rootNode() for t in model.trees]
 
-    def probability(self, c: str) -> str:
+    def probability(self, value: str, place: str) -> str:
         if not self.trees:                                                          # nothing to learn from: formats only
-            return f"{c}.format"
-        return "(" + " + ".join(_tree_sql(t, c) for t in self.trees) + f") / {len(self.trees)}"
+            return f"{value}.format"
+        return "(" + " + ".join(_tree_sql(t, value, place) for t in self.trees) + f") / {len(self.trees)}"
 
     def scan(self, docs: DataFrame, at_least: float = 0.5) -> DataFrame:
-        """Adds ``candidates`` (number) and ``secrets`` (value, start, count, score by start) to rows with ``text``."""
-        out = docs.withColumn("_c", F.expr(f"coalesce({_found()}, array())"))
-        out = out.withColumn("_f", F.expr(f"transform(_c, c -> named_struct('value', c.value, 'start', c.start, 'f', {features('c', self.words, self.steps)}))"))
-        out = out.withColumn("_p", F.expr(f"transform(_f, c -> named_struct('start', c.start, 'value', c.value, 'score', {self.probability('c.f')}))"))
+        """Adds ``candidates`` (number) and ``secrets`` (value, start, count, score by start) to rows with ``text``.
+
+        Every place of a value is judged with its own surroundings; the highest score is the value's.
+        """
+        own = tuple(k for k in FEATURES if k not in PLACE)
+        out = docs.withColumn("_c", F.expr(f"coalesce({FOUND}, array())")).withColumn("_d", F.expr(PLACES))
+        out = out.withColumn("_f", F.expr(
+            f"transform(_d, c -> named_struct('value', c.value, 'start', c.start, 'f', {features('c', self.words, self.steps, own)}, "
+            f"'places', transform(c.places, p -> {features('p', self.words, self.steps, PLACE)})))"))
+        out = out.withColumn("_p", F.expr("transform(_f, c -> named_struct('start', c.start, 'value', c.value, 'score', "
+                                          f"array_max(transform(c.places, p -> {self.probability('c.f', 'p')}))))"))
         out = out.withColumn("secrets", F.expr(
             f"transform(array_sort(filter(_p, c -> c.score >= {at_least}D)), c -> named_struct('value', c.value, 'start', c.start, "
             "'count', cast((length(text) - length(replace(text, c.value, ''))) / length(c.value) as int), 'score', c.score))"))
-        return out.withColumn("candidates", F.size("_c")).drop("_c", "_f", "_p")
+        return out.withColumn("candidates", F.size("_c")).drop("_c", "_d", "_f", "_p")
 
 
 def fit(docs: DataFrame) -> Scanner:

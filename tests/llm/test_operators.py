@@ -313,6 +313,33 @@ def test_secrets_without_python(spark):
     assert scanner.scan(planted).where("size(secrets) = 0").count() == 0
 
 
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return secrets.fit(columns(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), id="doc_id", text="text"))
+
+
+def scanned(spark, scanner, texts):
+    """(redacted text, secrets as (value, start, count)) of each text."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    got = {r["id"]: (r["text"], [tuple(s)[:3] for s in r["secrets"]]) for r in secrets.redacted(scanner.scan(rows)).collect()}
+    return [got[k] for k in range(len(texts))]
+
+
+def test_secrets_are_judged_at_every_place(spark, scanner):
+    v, w = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "k7Qz9fT2xLm4"
+    far = "lorem ipsum dolor sit amet " * 186
+    texts = [f"x{lead}{key}{end}" for lead in (" " * 9, " " + far) for key, end in ((f"password={w}", " y"), (f'token = "{v}', '" y'), (f"secret = '{w}", "' y"))]
+    texts += [f"commit {v} then {far} token = \"{v}\" and commit {v}", f"see {w} or {w}, {far}password={w} done", f"commit {v} and sha1: {v} " + far]
+    got = scanned(spark, scanner, texts)
+    for t, (clean, found) in zip(texts[:-1], got[:-1], strict=True):
+        value = v if v in t else w
+        assert found == [(value, t.index(value), t.count(value))] and clean == t.replace(value, secrets.MARK), t[-80:]
+    assert got[-1] == (texts[-1], [])
+    rows = spark.createDataFrame([("a" * 60 + "p=" + v + " c " + v,)], "text string").withColumn("_c", F.expr(secrets.FOUND))
+    places = rows.select(F.expr(secrets.PLACES)[0]["places"]).first()[0]
+    assert [p["before"] for p in places] == ["a" * 45 + "p=", ("aaap=" + v + " c ")[-47:]] and places[0]["after"] == (" c " + v)[:24]
+
+
 def test_pipeline_stages(spark, tables):
     import corpus_pipeline as P
     out = P.run(spark, SF)
