@@ -29,7 +29,14 @@ FORMATS = (r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bxox[b
            r"|\bsk-[A-Za-z0-9]{20,}|\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+")
 HARMLESS = "commit|sha1|sha256|md5|digest|checksum|hash|uuid|etag|build|version|integrity|revision"
 
-KEYED = rf"(?i)\b(?:{KEY_WORDS})\b[\x22']?[\x20\t]{{0,3}}[:=][\x20\t]{{0,3}}[\x22']?([A-Za-z0-9+/_.~!@^-]{{6,200}})"
+#: A key word, alone or inside a longer identifier, its sign, and ahead of it the whole value: up to the closing quote on
+#: its line, else up to white space or a quote that ends something around it.
+VALUE = (r"(?<=\x22)[^\x22\r\n]{6,}+(?=\x22)|(?<=\x27)[^\x27\r\n]{6,}+(?=\x27)"
+         r"|(?:[^\s\x22\x27]|[\x22\x27](?=[^\s\x22\x27,;:.)\]}>#])){6,}+")
+IDENTIFIER = rf"(?i)(?:{KEY_WORDS})[A-Za-z0-9_.-]*+"
+KEYED = rf"{IDENTIFIER}[\x22']?[\x20\t]{{0,3}}[:=][\x20\t]{{0,3}}(?:\x22{{3}}|\x27{{3}}|[\x22'])?+(?=({VALUE}))"
+#: What may end the sentence instead of the value: without it the value is a candidate too, for its places elsewhere.
+TRAIL = r"[,;:.)\]}>]+$"
 LONG = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 
 
@@ -40,7 +47,7 @@ def _sql(pattern: str) -> str:
 #: Candidate values of the column ``text``, each once, in a fixed order.
 CANDIDATES = f"""array_sort(array_distinct(filter(concat(
     regexp_extract_all(text, {_sql(FORMATS)}, 0),
-    regexp_extract_all(text, {_sql(KEYED)}, 1),
+    flatten(transform(regexp_extract_all(text, {_sql(KEYED)}, 1), v -> array(v, regexp_replace(v, {_sql(TRAIL)}, '')))),
     filter(regexp_extract_all(text, {_sql(LONG)}, 0), v -> v rlike '[0-9]' and v rlike '[A-Za-z]')), v -> length(v) >= 6)))"""
 
 FEATURES = ("length", "digits", "capitals", "smalls", "others", "transitions", "variety", "repeats", "unlikely", "dictionary",
@@ -59,7 +66,7 @@ def features(c: str, words: list[str], steps: dict[str, float], of: tuple = FEAT
     dictionary = "array(" + ", ".join(f"'{w}'" for w in words) + ")" if words else "array('')"
     runs = f"regexp_extract_all({v}, '[A-Za-z]{{3,}}', 0)"
     changes = (f"(length(regexp_replace({v}, '[A-Z](?![A-Z])|[a-z](?![a-z])|[0-9](?![0-9])', '__')) - {n})")
-    last = f"lower(coalesce(regexp_extract({c}.before, '([A-Za-z0-9_-]+)[^A-Za-z0-9]*$', 1), ''))"
+    last = f"lower(coalesce(regexp_extract({c}.before, '([A-Za-z0-9_.-]+)[^A-Za-z0-9]*$', 1), ''))"
     parts = {
         "length": f"double(least({n}, 200))",
         "digits": share("0-9"), "capitals": share("A-Z"), "smalls": share("a-z"),
@@ -70,7 +77,7 @@ def features(c: str, words: list[str], steps: dict[str, float], of: tuple = FEAT
         "unlikely": f"aggregate({pairs}, 0D, (a, p) -> a + coalesce(element_at({table_of_steps}, p), -9D)) / greatest({n} - 1, 1)",
         "dictionary": f"aggregate(filter({runs}, w -> array_contains({dictionary}, lower(w))), 0, (a, w) -> a + length(w)) / {n}",
         "path": f"IF({c}.before rlike '[/\\\\\\\\]$' or {v} rlike '^[a-z]+(/[a-z._-]+)+' or {c}.before rlike '(?i)https?://[^ ]*$', 1D, 0D)",
-        "keyed": f"IF({last} rlike '^(?i)({KEY_WORDS})$' and {c}.before rlike '[:=][^A-Za-z0-9]*$', 1D, 0D)",
+        "keyed": f"IF({last} rlike '(?i)({KEY_WORDS})' and {c}.before rlike '[:=][^A-Za-z0-9]*$', 1D, 0D)",
         "harmless": f"IF({last} rlike '({HARMLESS})', 1D, 0D)",
         "format": f"IF({v} rlike {_sql('^(?:' + FORMATS + ')$')}, 1D, 0D)",
         "quoted": f"IF({c}.before rlike '[\\\\x22\\\\x27]$' and {c}.after rlike '^[\\\\x22\\\\x27]', 1D, 0D)",
@@ -109,6 +116,15 @@ def labelled_findings(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int
         around(code(1, f"12 + {n}"), "'password='", "' '", 1), around(b64(2, f"10 + {n}"), "'password: '", "' '", 1),
         around(code(2, "40"), "'token = \"'", "'\" '", 1), around(b64(3, f"16 + {n}"), "'secret = \"'", "'\" '", 1),
         around(code(3, "32"), "'api_key='", "' '", 1), around(b64(4, f"20 + {n}"), "'auth: '", "'\\n'", 1),
+        around(f"translate({b64(5, f'12 + {n}')}, 'AEIOU+/', '&#$%*?!')", f"concat({word(3)}, '_password=')", "' '", 1),
+        around(b64(6, "40"), "'aws_secret_access_key = '", "' '", 1), around(b64(7, f"10 + {n}"), f"concat('api_key_', {word(3)}, ': ')", "' '", 1),
+        around(f"concat(initcap(substring({word(4)}, 1, 3)), '0', substring({word(5)}, 1, 3), '4&', {code(11, '4')})", "'password='", "' '", 1),
+        around(f"concat(initcap({word(4)}), '#', {code(12, '4')}, '!')", f"concat({word(3)}, '.passwd = \"')", "'\" '", 1),
+        around(f"concat('$(', {word(3)}, ')')", f"concat({word(4)}, '_password=')", "' '", 0),
+        around(f"concat({word(3)}, '(', {word(4)}, ',')", "'access_token = '", "' '", 0),
+        around(f"concat(initcap({word(3)}), ',')", "'author: '", "' '", 0), around(f"concat({word(3)}, '.', {word(4)}, ';')", "'tokenizer = '", "' '", 0),
+        around(f"concat({word(3)}, '&', {word(4)}, '=', {word(5)})", "'token='", "' '", 0), around(f"concat('<', {word(6)}, '>')", "'client_secret: '", "' '", 0),
+        around(f"concat({word(3)}, ' ', {word(4)}, ' ', {word(5)})", "'auth = \"'", "'\" '", 0),
         around(f"concat({word(3)}, '-', {word(4)})", "'password='", "' '", 0), around(word(5), "'token: '", "' '", 0),
         around(f"concat('your_', {word(6)}, '_here')", "'password = \"'", "'\" '", 0), around("'changeme123'", "'password='", "' '", 0),
         around(f"repeat('x', 8 + {n})", "'secret='", "' '", 0), around("'1234567890'", "'token='", "' '", 0),
@@ -145,6 +161,10 @@ def _tree_sql(node, value: str, place: str) -> str:
             f"{_tree_sql(node.leftChild(), value, place)}, {_tree_sql(node.rightChild(), value, place)})")
 
 
+#: Secrets of a row, the longest first.
+LONGEST = "reverse(array_sort(transform(secrets, s -> named_struct('n', length(s.value), 'v', s.value))))"
+
+
 class Scanner:
     """The fitted forest as SQL over candidates."""
 
@@ -160,7 +180,8 @@ class Scanner:
     def scan(self, docs: DataFrame, at_least: float = 0.5) -> DataFrame:
         """Adds ``candidates`` (number) and ``secrets`` (value, start, count, score by start) to rows with ``text``.
 
-        Every place of a value is judged with its own surroundings; the highest score is the value's.
+        Every place of a value is judged with its own surroundings; the highest score is the value's.  A secret that
+        stands only inside longer ones is left out.
         """
         own = tuple(k for k in FEATURES if k not in PLACE)
         out = docs.withColumn("_c", F.expr(f"coalesce({FOUND}, array())")).withColumn("_d", F.expr(PLACES))
@@ -172,7 +193,11 @@ class Scanner:
         out = out.withColumn("secrets", F.expr(
             f"transform(array_sort(filter(_p, c -> c.score >= {at_least}D)), c -> named_struct('value', c.value, 'start', c.start, "
             "'count', cast((length(text) - length(replace(text, c.value, ''))) / length(c.value) as int), 'score', c.score))"))
-        return out.withColumn("candidates", F.size("_c")).drop("_c", "_d", "_f", "_p")
+        out = out.withColumn("_own", F.expr(                                        # values with a place outside longer secrets
+            f"aggregate({LONGEST}, named_struct('t', text, 'own', cast(array() as array<string>)), (a, s) -> IF(instr(a.t, s.v) > 0, "
+            "named_struct('t', replace(a.t, s.v, '\\n'), 'own', concat(a.own, array(s.v))), a), a -> a.own)"))
+        out = out.withColumn("secrets", F.expr("filter(secrets, s -> array_contains(_own, s.value))"))
+        return out.withColumn("candidates", F.size("_c")).drop("_c", "_d", "_f", "_p", "_own")
 
 
 def fit(docs: DataFrame) -> Scanner:
@@ -192,8 +217,7 @@ def fit(docs: DataFrame) -> Scanner:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """Scanned rows with every place of every secret in ``text`` replaced, longer secrets first."""
-    longest_first = "reverse(array_sort(transform(secrets, s -> named_struct('n', length(s.value), 'v', s.value))))"
-    return docs.withColumn("text", F.expr(f"aggregate({longest_first}, text, (t, s) -> replace(t, s.v, '{MARK}'))"))
+    return docs.withColumn("text", F.expr(f"aggregate({LONGEST}, text, (t, s) -> replace(t, s.v, '{MARK}'))"))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

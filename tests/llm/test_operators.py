@@ -340,6 +340,20 @@ def test_secrets_are_judged_at_every_place(spark, scanner):
     assert [p["before"] for p in places] == ["a" * 45 + "p=", ("aaap=" + v + " c ")[-47:]] and places[0]["after"] == (" c " + v)[:24]
 
 
+def test_secrets_are_taken_whole_and_by_longer_names(spark, scanner):
+    long = "".join(f"{zlib.crc32(b'%d' % k):08x}" for k in range(4000))
+    keyed = {"password=": "Tr0ub4dor&3xyz", "DB_PASSWORD=": "k7Qz9fT2xL", "my_api_key: ": "b7Xq0Zr4mK1w", "password_prod=": "9fK$2m#Qz%7*x?",
+             "aws_secret_access_key = ": "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzQ8TkLm2Vd", "db.passwd: ": "x9#Kq2&Lw7!Zt4", "secret=": long, "token = ": "abcdefghij0123456789&xY7#z"}
+    texts = [f"see {lead}{k}{q}{v}{q} and more" for k, v in keyed.items() for q in ("", '"', "'") for lead in ("", "words go on " * 20)]
+    for t, (clean, found) in zip(texts, scanned(spark, scanner, texts), strict=True):
+        v = next(v for v in keyed.values() if v in t)
+        assert clean == t.replace(v, secrets.MARK) and found == [(v, t.index(v), 1)], t[:300]
+    v = "k7Qz9fT2xLm4"
+    texts = [f"password={v}, then {v} again", f"conf token: user=x&password={v}", f'"password": "{v}", "user": "someone"', "author: Somebody, token = value.next(); auth: required"]
+    got = scanned(spark, scanner, texts)
+    assert all(v not in clean for clean, _ in got) and got[2][0] == texts[2].replace(v, secrets.MARK) and got[3] == (texts[3], [])
+
+
 def test_pipeline_stages(spark, tables):
     import corpus_pipeline as P
     out = P.run(spark, SF)
