@@ -1,24 +1,29 @@
 """Secret scans with a random forest that removes false positives (operator 10); DataFrame and SQL functions only.
 
 Patterns propose candidate values in every text.  A random forest on a candidate's length, character transitions,
-dictionary coverage, path and neighbouring words decides which are secrets; a value is one if any
-of its places in the text is judged so.  It is trained on labelled findings, built
-in SQL from a bounded sample of the documents: values of secret formats, and look-alikes (place-holders, words, paths,
-digests beside words that say so) put into the documents' own surroundings.  The fitted trees are then spelt as SQL,
-so that scanning is one projection over the documents without an exchange.
+dictionary coverage, path and neighbouring words decides which are secrets; a value is one if any of its places in the
+text is judged so.  Dictionary and letter pairs are counted over all documents.  The forest is trained on labelled
+findings, built in SQL from a bounded sample of the documents: values of secret formats, and look-alikes (place-holders,
+words, paths, digests beside words that say so) put into the documents' own surroundings.  The fitted trees are then
+spelt as SQL, so that scanning is one projection over the documents without an exchange.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import columns, table
+from tessera.llm.common import columns, scratch, table
 
-#: The fit's bound: so many documents (lowest hash of the id first) of at most FIT_CHARS give the surroundings and words.
-FIT_ROWS, FIT_CHARS, DICTIONARY = 800, 8_000, 2_000
+#: The fit's bound: so many documents (lowest hash first) give the surroundings of labelled findings.
+FIT_ROWS = 800
+#: The dictionary's bound: so many of the most frequent words of all documents.
+DICTIONARY = 2_000
 TREES, DEPTH, SEED = 24, 6, 17
 MARK = "[SECRET]"
 
@@ -27,6 +32,9 @@ KEY_WORDS = ("password|passwd|passphrase|pwd|secret|token|api[_-]?key|apikey|acc
              "private[_-]?key|client[_-]?secret")
 FORMATS = (r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bxox[baprs]-[A-Za-z0-9-]{10,}|\bAIza[0-9A-Za-z_-]{35}"
            r"|\bsk-[A-Za-z0-9]{20,}|\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+")
+#: Words; how many, from all over a text, and how much of a long one, made findings draw on; words for texts of few.
+WORD, WORDS, WORD_CHARS = "[a-z]{3,}", 64, 24
+FILL = "the and for with from this that have not are was but you all can one our out day get has him his how new now old see two way"
 HARMLESS = "commit|sha1|sha256|md5|digest|checksum|hash|uuid|etag|build|version|integrity|revision"
 
 #: A key word, alone or inside a longer identifier, its sign, and ahead of it the whole value: up to the closing quote on
@@ -96,14 +104,41 @@ PLACES = f"""transform(_c, c -> named_struct('value', c.value, 'start', c.start,
         'after', left(array_join(transform(slice(c.pieces, i + 1, 5), x -> left(x, {AFTER})), c.value), {AFTER}))))))"""
 
 
-def labelled_findings(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> tuple[DataFrame, list[str]]:
-    """Findings (value, before, after, label) built from a bounded sample of documents, and the sample's frequent words."""
-    sample = (docs.where(F.col("text").isNotNull() & (F.length("text") <= fit_chars))
-              .select("id", F.xxhash64("id").alias("o")).orderBy("o", "id").limit(fit_rows))
-    texts = docs.where(F.length("text") <= fit_chars).join(F.broadcast(sample.select("id").distinct()), "id")
-    w = texts.select("id", F.expr("regexp_extract_all(lower(text), '[a-z]{3,}', 0)").alias("w")).where(F.size("w") > 0)
-    words = [r["word"] for r in w.select(F.explode(F.array_distinct("w")).alias("word")).groupBy("word").count()
-             .orderBy(F.desc("count"), "word").limit(DICTIONARY).collect()]
+def corpus_words(docs: DataFrame) -> tuple[list[str], dict[str, float]]:
+    """The frequent words of all documents, and the log-probabilities of letter pairs (at most 26 x 26) in all their words.
+
+    A word counts once a document, so that what stands in one document alone, as a secret's letters do, weighs little.
+    """
+    counts = scratch(docs.select(F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower(text), '{WORD}', 0)"))).alias("word"))
+                     .groupBy("word").count(), "words")
+    words = [r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(DICTIONARY).collect()]
+    pairs = {r["pair"]: r["n"] for r in counts.select("count", F.explode(F.expr(
+        "transform(sequence(1, length(word) - 1), i -> substring(word, i, 2))")).alias("pair"))
+        .groupBy("pair").agg(F.sum("count").alias("n")).collect()}
+    total = Counter()
+    for p, n in pairs.items():
+        total[p[0]] += n
+    return words, {p: math.log(n / total[p[0]]) for p, n in pairs.items()}
+
+
+def labelled_findings(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """Findings (value, before, after, label) built from a bounded sample of the texts, of whatever length.
+
+    Texts of few words are filled up from a fixed list, and a small table's texts serve several times, so that about
+    as many findings come of any table with a text.
+    """
+    texts = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("id", "text").alias("o"))
+    least = scratch(texts.select("o").orderBy("o").limit(fit_rows), "sample")       # hashes only: the texts come by a join
+    n_texts = least.distinct().count()
+    if not n_texts:
+        return docs.sparkSession.createDataFrame([], "value string, before string, after string, label double")
+    own = f"regexp_extract_all(lower(text), '{WORD}', 0)"
+    w = (texts.join(F.broadcast(least.distinct()), "o")
+         .select("o", F.expr(own).alias("w")).withColumn("w", F.expr(f"IF(size(w) >= 8, w, concat(w, split('{FILL}', ' ')))"))
+         .select("o", F.expr(f"transform(sequence(1, {WORDS}), k -> left(w[pmod(xxhash64(o, k, 'w'), size(w))], {WORD_CHARS}))").alias("w"))
+         .dropDuplicates(["o"])
+         .select(F.explode(F.sequence(F.lit(1), F.lit(-(-fit_rows // n_texts)))).alias("k"), "o", "w")
+         .select(F.concat_ws("/", "o", "k").alias("id"), "w"))
     word = lambda k: f"w[pmod(xxhash64(id, {k}), size(w))]"
     code = lambda k, n: f"substring(sha2(concat(id, '-{k}'), 256), 1, {n})"
     b64 = lambda k, n: f"substring(replace(base64(unhex(sha2(concat(id, '+{k}'), 512))), '=', ''), 1, {n})"
@@ -135,19 +170,7 @@ def labelled_findings(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int
         around(code(6, "32"), "'md5='", "' '", 0), around(code(7, "40"), "'https://example.org/blob/'", "'/'", 0),
         around(f"concat(substring({code(8, '36')}, 1, 8), '-', substring({code(9, '36')}, 1, 4), '-4a11-8b22-', {code(10, '12')})", "'uuid '", "' '", 0),
     ]
-    rows = w.where(F.size("w") >= 8).select(F.explode(F.expr(f"array({', '.join(made)})")).alias("f")).select("f.*")
-    return rows, words
-
-
-def _steps(words: list[str]) -> dict[str, float]:
-    """Log-probabilities of letter pairs in the frequent words (at most 26 x 26)."""
-    import math
-    from collections import Counter
-    pairs = Counter(w[i:i + 2] for w in words for i in range(len(w) - 1))
-    total = Counter()
-    for p, n in pairs.items():
-        total[p[0]] += n
-    return {p: math.log(n / total[p[0]]) for p, n in pairs.items()}
+    return w.select(F.explode(F.expr(f"array({', '.join(made)})")).alias("f")).select("f.*")
 
 
 def _tree_sql(node, value: str, place: str) -> str:
@@ -168,8 +191,8 @@ LONGEST = "reverse(array_sort(transform(secrets, s -> named_struct('n', length(s
 class Scanner:
     """The fitted forest as SQL over candidates."""
 
-    def __init__(self, model: RandomForestClassificationModel | None, words: list[str]):
-        self.words, self.steps = words, _steps(words)
+    def __init__(self, model: RandomForestClassificationModel | None, words: list[str], steps: dict[str, float]):
+        self.words, self.steps = words, steps
         self.trees = [] if model is None else [t._java_obj.rootNode() for t in model.trees]
 
     def probability(self, value: str, place: str) -> str:
@@ -201,16 +224,17 @@ class Scanner:
 
 
 def fit(docs: DataFrame) -> Scanner:
-    """Train the forest on labelled findings built from ``docs`` (id, text); without usable texts only key formats count."""
-    found, words = labelled_findings(docs)
-    x = found.withColumn("f", F.expr(features("struct(value, before, after)", words, _steps(words)))).select("label", "f.*")
+    """Train the forest on labelled findings built from ``docs`` (id, text); without any text there is nothing to find."""
+    words, steps = corpus_words(docs)
+    found = labelled_findings(docs)
+    x = found.withColumn("f", F.expr(features("struct(value, before, after)", words, steps))).select("label", "f.*")
     x = x.repartition(4).cache()
     try:
         if x.agg(F.countDistinct("label")).first()[0] < 2:
-            return Scanner(None, words)
+            return Scanner(None, words, steps)
         data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(x)
         model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(data)
-        return Scanner(model, words)
+        return Scanner(model, words, steps)
     finally:
         x.unpersist()
 

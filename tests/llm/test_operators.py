@@ -354,6 +354,20 @@ def test_secrets_are_taken_whole_and_by_longer_names(spark, scanner):
     assert all(v not in clean for clean, _ in got) and got[2][0] == texts[2].replace(v, secrets.MARK) and got[3] == (texts[3], [])
 
 
+@pytest.mark.parametrize("fill", ["lorem ipsum dolor sit amet " * 400, "\u5bc6\u7801\u3002 "])
+def test_secrets_learn_from_long_few_and_wordless_texts(spark, fill):
+    texts = [f"{fill} {k} password=k7Qz9{k}fT2xLm4 token: changeme commit 24be64439e3e49cf46b2d7c90f3602a3d0b907ff" for k in range(3)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "id bigint, text string")
+    assert [n for _, n in scanned(spark, secrets.fit(docs), texts)] == [[(f"k7Qz9{k}fT2xLm4", t.index("k7Qz9"), 1)] for k, t in enumerate(texts)]
+
+
+def test_secrets_count_words_of_all_documents(spark):
+    rows = [(k, f"common word{'abcdefghij'[k % 10] * 3} " * 2) for k in range(3000)] + [(4000 + k, "zyxq " * 2000) for k in range(20)]
+    words, steps = secrets.corpus_words(spark.createDataFrame(rows, "id bigint, text string"))
+    assert words == ["common"] + [f"word{c * 3}" for c in "abcdefghij"] + ["zyxq"]
+    assert abs(steps["xq"]) < 1e-9 and steps["om"] == pytest.approx(np.log(1 / 3)) and len(steps) == 30
+
+
 def test_pipeline_stages(spark, tables):
     import corpus_pipeline as P
     out = P.run(spark, SF)
