@@ -17,14 +17,20 @@ from tessera.llm.common import columns, table
 from tessera.session import ensure_checkpoint_dir
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Language ID rejects texts without a letter and those whose pooled probability is below this for every language.
-LEAST_LANGUAGE = 0.35
+#: Language ID rejects texts without a letter and those whose best language is no further above chance, which depends on
+#: the number of languages, than this part of the way to certainty.  One language alone rejects nothing else.
+OVER_CHANCE = 2 / 15
 
 
 def _body(docs: DataFrame) -> DataFrame:
     return columns(docs, id="doc_id", text="text")
 
 
+def least_language(n: int) -> float:
+    """The least pooled probability that is kept with ``n`` languages: 0.35 with four."""
+    return 1 / n + OVER_CHANCE * (1 - 1 / n) if n > 1 else 0.0
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language; ``lang`` becomes the predicted one where it was null.
 
@@ -35,7 +41,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(langid.training_rows(text))
     found = langid.predict(docs.select(*DOCUMENTS), model)
     keep = F.col("lang_pred") != langid.NONE if model is not None else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.where(keep & ((F.col("score") >= LEAST_LANGUAGE) | F.lit(model is None))).withColumn(
+    least = 0.0 if model is None else least_language(len(model.langs))
+    return found.where(keep & (F.col("score") >= least)).withColumn(
         "lang", F.coalesce("lang", F.when(F.col("lang_pred") != langid.NONE, F.col("lang_pred")))).select(*DOCUMENTS)
 
 

@@ -40,6 +40,14 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
+def excerpt(text: str, chars: int) -> Column:
+    """The text itself up to ``chars`` characters; of a longer one pieces from its first to its last character, as long together."""
+    k = max(2, min(20, chars // 64))
+    n = max(1, chars // k - 1)
+    return F.expr(f"IF(length({text}) <= {chars}, {text}, array_join(transform(sequence(0, {k - 1}), i -> substring({text}, "
+                  f"1 + cast(i * (length({text}) - {n}) div {k - 1} as int), {n})), ' '))")
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage, survives executors)."""
     spark = df.sparkSession

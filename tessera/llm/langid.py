@@ -14,15 +14,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tessera.llm.common import columns, fold, table, utf8
+from tessera.llm.common import columns, excerpt, fold, scratch, table, utf8
 
-#: The fit's bound: so many documents of each language (lowest hash of the id first), cut from texts of at most FIT_CHARS.
+#: The fit's bound: so many documents of each language (lowest hash of the id first), of each an excerpt of FIT_CHARS.
 FIT_ROWS, FIT_CHARS = 400, 20_000
-#: The languages learned are at most this many, the most frequent first.
-MAX_LANGS = 64
 SEGMENT, HIDDEN, STEPS, BATCH = 64, 8, 260, 256
-GROUP = 4096                                                                        # segments run together
+#: Every language is learned.  Beyond so many, excerpts get shorter, and states and steps grow with the languages.
+USUAL_LANGS = 64
+GROUP = 4096                                                                        # segments run together with the usual languages
+CELLS = 1 << 23                                                                     # distributions' cells of a training batch's part
 NONE = "und"
 
 
@@ -111,12 +113,18 @@ class BiGru:
         rng = np.random.default_rng(seed)
         by_label = [np.flatnonzero(labels == k) for k in range(len(self.langs))]
         by_label = [x for x in by_label if len(x)]
+        part = max(1, CELLS // (segments.shape[1] * len(self.langs)))               # the segments whose gradients are taken at once
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.w.items()}
         for step in range(1, steps + 1):
             at = np.concatenate([rng.choice(x, batch // len(by_label) + 1) for x in by_label])
             mask = (np.arange(segments.shape[1])[:, None] < lengths[at][None, :]).astype(np.float32)
-            _, g = self.gradients(segments[at].T, labels[at], mask)
+            g = None
+            for a in range(0, len(at), part):
+                some, m1 = at[a:a + part], mask[:, a:a + part]
+                _, g1 = self.gradients(segments[some].T, labels[some], m1)
+                share = np.float32(m1.sum() / mask.sum())
+                g = {k: v * share for k, v in g1.items()} if g is None else {k: v + g1[k] * share for k, v in g.items()}
             lr = rate * min(1.0, 2 * (1 - (step - 1) / steps))
             for k in self.w:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -184,11 +192,12 @@ class BiGru:
         """(documents, languages): the mean distribution over every byte position of every text; zeros for empty ones."""
         out = np.zeros((len(texts), len(self.langs)))
         segments, lengths, owner = cut(texts)
-        for a in range(0, len(segments), GROUP):
-            part, n = segments[a:a + GROUP], lengths[a:a + GROUP]
+        group = max(1, GROUP * USUAL_LANGS // max(USUAL_LANGS, len(self.langs)))
+        for a in range(0, len(segments), group):
+            part, n = segments[a:a + group], lengths[a:a + group]
             p = self.positions(np.ascontiguousarray(part.T))
             p *= (np.arange(part.shape[1])[:, None] < n[None, :])[..., None]
-            np.add.at(out, owner[a:a + GROUP], p.sum(0))
+            np.add.at(out, owner[a:a + group], p.sum(0))
         return out / np.maximum(out.sum(1, keepdims=True), 1e-9)
 
 
@@ -212,25 +221,29 @@ def fit(rows: list[tuple[bytes, str]]) -> BiGru | None:
     langs = sorted({k for t, k in rows if t})
     if not langs:
         return None
-    model = BiGru(langs)
+    more = -(-len(langs) // USUAL_LANGS)
+    model = BiGru(langs, hidden=max(HIDDEN, -(-len(langs) * HIDDEN // USUAL_LANGS)))
     if len(langs) > 1:
         segments, lengths, owner = cut([t for t, _ in rows])
-        model.train(segments, lengths, np.array([langs.index(k) for _, k in rows])[owner])
+        number = {k: i for i, k in enumerate(langs)}
+        model.train(segments, lengths, np.array([number[k] for _, k in rows])[owner], steps=STEPS * more)
     return model
 
 
 def training_rows(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> list[tuple[bytes, str]]:
-    """A bounded sample of (text, language): ``fit_rows`` documents of each language, fold 1 held out."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull()
-                        & (fold(F.col("id")) != 1) & F.length("text").between(1, fit_chars))
-    langs = [r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    rows: list[tuple[bytes, str]] = []
-    for lang in langs:
-        ids = usable.where(F.col("lang") == lang).select("id", F.xxhash64("id").alias("o"))
-        least = ids.orderBy("o", "id").limit(fit_rows)                              # ids only: the texts come by a join
-        got = usable.where(F.col("lang") == lang).join(F.broadcast(least.select("id").distinct()), "id")
-        rows += [(r["text"].encode(), lang) for r in got.orderBy(F.xxhash64("id"), "id", "text").limit(fit_rows).collect()]
-    return rows
+    """A bounded sample of (text, language): excerpts of ``fit_rows`` documents of every language, fold 1 held out."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (fold(F.col("id")) != 1)
+                        & (F.length("text") > 0)).withColumn("o", F.xxhash64("id"))
+    by = Window.partitionBy("lang")
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("id").alias("ids"))
+    low = (usable.join(F.broadcast(sizes), "lang")                                  # some 4 * fit_rows ids a language go to its rank
+           .where(F.col("o") / 2.0 ** 64 + 0.5 <= 4 * fit_rows / F.col("ids")).select("lang", "o", "id").distinct())
+    least = scratch(low.select("lang", "id", F.row_number().over(by.orderBy("o", "id")).alias("n"))
+                    .where(F.col("n") <= fit_rows).select("lang", "id"), "langid")
+    chars = max(SEGMENT, fit_chars * USUAL_LANGS // max(USUAL_LANGS, least.select("lang").distinct().count()))
+    got = (usable.join(F.broadcast(least), ["lang", "id"]).select("lang", "o", "id", excerpt("text", chars).alias("text"))
+           .withColumn("n", F.row_number().over(by.orderBy("o", "id", "text"))).where(F.col("n") <= fit_rows))
+    return [(r["text"].encode(), r["lang"]) for r in sorted(got.select("lang", "n", "text").collect())]
 
 
 def predict(docs: DataFrame, model: BiGru | None) -> DataFrame:

@@ -17,9 +17,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import columns, fold, table, utf8
+from tessera.llm.common import columns, excerpt, fold, table, utf8
 
-#: The fit's bound: so many labelled rows of either class (lowest hash of the id first), none longer than FIT_CHARS.
+#: The fit's bound: so many labelled rows of either class (lowest hash of the id first), of each an excerpt of FIT_CHARS.
 FIT_ROWS, FIT_CHARS = 1500, 40_000
 DICT_BYTES, BLOCK, LEVEL = 112_640, 512, 3
 
@@ -107,9 +107,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     order = [F.xxhash64("id"), F.col("id")]
     chosen = None
     for k in (0, 1):
-        part = one.where(F.col("label") == k).orderBy(*order).limit(2 * fit_rows)  # spare ids: some have no or long texts
+        part = one.where(F.col("label") == k).orderBy(*order).limit(2 * fit_rows)  # spare ids: some have no texts
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = (docs.where(F.col("text").isNotNull() & (F.length("text") <= fit_chars))
+    texts = (docs.where(F.col("text").isNotNull()).select("id", excerpt("text", fit_chars).alias("text"))
              .join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")))
     rows = texts.orderBy(*order).collect()                                          # at most 4 * fit_rows rows of fit_chars
     return [(r["text"].encode(), r["label"]) for k in (0, 1) for r in [r for r in rows if r["label"] == k][:fit_rows]]

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, html_text, langid, maxscore, ngram_join, pii, queries, quality, secrets, substring_dedup
-from tessera.llm.common import columns
+from tessera.llm.common import columns, excerpt
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"w{k % 700}" for k in range(6000))
@@ -126,6 +126,45 @@ def test_no_language_without_letters(spark):
     assert got[1] == got[2] == "und" and got[3] in "ab"
 
 
+def test_all_languages_are_learned_from_texts_of_any_length(spark):
+    rng = np.random.default_rng(5)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 8))) for _ in range(8)] for _ in range(70)]
+    text = lambda k, n: " ".join(rng.choice(words[k], n))
+    rows = [(1000 * k + j, f"l{k:02d}", text(k, 4000 if k == 69 else 60)) for k in range(70) for j in range(12 if k < 35 else 9)]
+    docs = spark.createDataFrame(rows, "id bigint, lang string, text string")
+    sample = langid.training_rows(docs)
+    assert len({k for _, k in sample}) == 70 and max(len(t) for t, _ in sample) <= 20_000
+    model = langid.fit(sample)
+    got = langid.predict(docs, model).select("lang", "lang_pred").collect()
+    assert len({r["lang_pred"] for r in got}) == 70 and sum(r["lang"] == r["lang_pred"] for r in got) > 0.9 * len(got)
+    assert {k for _, k in langid.training_rows(docs, fit_chars=50)} == {k for _, k in sample}
+
+
+def test_quality_learns_from_long_texts(spark):
+    rows = [(k, ("good words here " if k % 2 else "bad spam click ") * (4000 if k % 2 else 40)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "id bigint, text string")
+    sample = quality.training_rows(docs, docs.select("id", (F.col("id") % 2).cast("int").alias("label")))
+    assert {y for _, y in sample} == {0, 1} and max(len(t) for t, _ in sample) <= 40_000
+    assert len({r["score"] for r in quality.score(docs, quality.fit(sample)).collect()}) > 1
+
+
+def test_excerpt_reaches_both_ends(spark):
+    text = "".join(chr(0x4E00 + k) for k in range(9000))
+    for n in (64, 200, 5000):
+        got = spark.createDataFrame([(text,)], "text string").select(excerpt("text", n)).first()[0]
+        assert n // 2 < len(got) <= n and got[0] == text[0] and got[-1] == text[-1]
+    assert spark.createDataFrame([(text,)], "text string").select(excerpt("text", 9000)).first()[0] == text
+
+
+def test_pipeline_rejects_languages_by_their_number(spark, monkeypatch):
+    import corpus_pipeline as P
+    docs = spark.createDataFrame([(1, "abc", None, "s", 3)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for n, score, kept in ((2, .55, 0), (2, .65, 1), (100, .12, 0), (100, .3, 1), (1, 1., 1)):
+        monkeypatch.setattr(langid, "fit", lambda rows, n=n: langid.BiGru([f"l{k}" for k in range(n)]))
+        monkeypatch.setattr(langid, "predict", lambda d, m, x=score: d.withColumn("lang_pred", F.lit("l0")).withColumn("score", F.lit(x)))
+        assert P.language_id(spark, docs, "").count() == kept, (n, score)
+
+
 @pytest.mark.parametrize("block", [200, 1 << 20])
 def test_bpe_equals_tokenizers(spark, docs, block):
     from tokenizers import Tokenizer
