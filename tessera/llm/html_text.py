@@ -21,11 +21,15 @@ from tessera.llm.common import columns, table
 # Element names by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
-UNSEEN = frozenset("head script style template title noembed noframes iframe object svg math select datalist meta link base".split())
+UNSEEN = frozenset("head script style template title noembed noframes iframe object datalist meta link base".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl table figure hr fieldset form address".split())
 LINE = frozenset("html body div section article aside nav header footer main li dt dd tr caption figcaption details summary center "
                  "dir menu legend thead tbody tfoot td th option".split())
 BLOCK = PARAGRAPH | LINE
+#: What may stand in a head; what is not displayed inside svg and math.
+HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+FOREIGN = ("svg", "math")
+FOREIGN_UNSEEN = frozenset("title desc metadata defs annotation annotation-xml".split())
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
 #: An opening tag ends these open elements, searched up to the tags of the second set.
 IMPLIED = {
@@ -69,8 +73,8 @@ def _tag_end(text: str, at: int) -> int:
 
 
 def tokens(text: str) -> Iterator[tuple[str, str, dict]]:
-    """(kind, name or text, attributes): kinds are text, open, close."""
-    at, n = 0, len(text)
+    """(kind, name or text, attributes): kinds are text, open, close, and single for a tag that ends itself in svg or math."""
+    at, n, foreign = 0, len(text), 0
     while at < n:
         lt = text.find("<", at)
         if lt < 0:
@@ -89,13 +93,19 @@ def tokens(text: str) -> Iterator[tuple[str, str, dict]]:
             name = m.group().lower()
             at = end + 1
             if text.startswith("</", lt):
+                foreign -= name in FOREIGN and foreign > 0
                 yield "close", name, {}
                 continue
-            attrs = {}
+            attrs, bare = {}, False
             if end > m.end():
                 for a in _ATTRIBUTE.finditer(text[m.end():end]):
                     value = a.group(2) or ""
+                    bare = value[:1] not in "\"'" and a.end() == end - m.end()      # a slash at the end is the value's
                     attrs.setdefault(a.group(1).lower(), html.unescape(value[1:-1] if value[:1] in "\"'" and value else value))
+            if (foreign or name in FOREIGN) and not bare and text[end - 1] == "/":
+                yield "single", name, attrs
+                continue
+            foreign += name in FOREIGN
             yield "open", name, attrs
             if name in RAW:
                 found = None if name == "plaintext" else _RAW_END[name].search(text, at)
@@ -129,22 +139,32 @@ def tree(text: str) -> Node:
         if found:
             cut(found)
 
+    def in_head() -> bool:
+        return opened["head"] > 0 and (stack[-1].tag == "head" or stack[-1].tag == "noscript" and stack[-2].tag == "head")
+
     for kind, name, attrs in tokens(text):
         if kind == "text":
+            if in_head() and _BLANK.sub("", name):
+                close({"head"}, set())
             if name:
                 stack[-1].kids.append(name)
-        elif kind == "open":
+        elif kind in ("open", "single"):
+            if name not in HEAD and in_head():
+                close({"head"}, set())
             if name in IMPLIED:
                 close(*IMPLIED[name])
-            if name in BLOCK:
+            if name in BLOCK and name != "option":
                 close({"p"}, BARRIER)
                 if stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6") and re.fullmatch("h[1-6]", name):
                     cut(len(stack) - 1)
-                if len(stack) > 1 and any(x.tag == "head" for x in stack[1:3]):
-                    close({"head"}, {"#root"})
+            if any(opened[x] for x in FOREIGN):
+                if name in FOREIGN_UNSEEN:
+                    attrs.setdefault("hidden", "")
+                elif name == "text":                                                # a place of its own in the drawing
+                    stack[-1].kids.append(" ")
             node = Node(name, attrs)
             stack[-1].kids.append(node)
-            if name not in VOID:
+            if name not in VOID and kind == "open":
                 stack.append(node)
                 opened[name] += 1
         elif name == "br":

@@ -244,6 +244,22 @@ def test_html_raw_text_ends_where_small_letters_differ_in_length():
     assert html_text.render(head) == "Ba\u015fl\u0131k\n\ng\u00f6vde \u0130"
 
 
+def test_html_formulas_drawings_options():
+    page = ("<p>Let <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=t>no</annotation></semantics></math> hold</p>"
+            "<svg><title>no</title><defs/><desc>no</desc><style/><path d='M0'/><metadata>no</metadata><defs><text>no</text></defs>"
+            "<text>Axis <tspan>one</tspan></text><text>two</text></svg><p>Choose <select><option>Red<option selected>Blue</select> now"
+            "<p><desc>shown</desc><title>no</title><datalist><option>no</datalist> end")
+    assert html_text.render(page) == "Let x=2 hold\n\nAxis one two\n\nChoose\nRed\nBlue\nnow\n\nshown end"
+
+
+def test_html_head_ends_at_content():
+    for body in ("words <a href=x>link</a><p>next", "<a href=x/>words</a> link<p>next", "<span>words</span> link<p>next", "<noscript>words</noscript> link<p>next"):
+        page = f"<html><head><title>no</title><meta x> <style>no</style><script>no</script>\n<template><b>no</b> no</template>{body}"
+        assert html_text.render(page) == "words link\n\nnext"
+    assert html_text.render("<head><img alt='pic'>after") == "picafter"
+    assert html_text.render("<html><body>a<head>b c<p>d") == "ab c\n\nd"
+
+
 def test_pii_base_equals_patterns():
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
              "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
