@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, langid, ngram_join, secrets
-from tessera.llm.common import columns, table
+from tessera.llm.common import columns, scratch, table
 from tessera.session import ensure_checkpoint_dir
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -49,17 +49,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group linked by 5-word shingles at a similarity of 0.8 the row with the smallest id.
 
-    Rows that repeat this id stay alike, so of them the first by text, then by the other columns, stays.  Documents
-    without words and rows without an id are groups of their own.
+    A row is known by its id and its text's digest: rows that share an id with a linked row, but are not linked
+    themselves, stay.  Of a group's rows that share the smallest id the first by text, then by the other columns,
+    stays.  Documents without words and rows without an id are groups of their own.
     """
-    groups = ngram_join.ngram_join(_body(docs), size=5, percent=80).select(F.col("id").alias("doc_id"), "component", "links")
-    fate = (groups.where((F.col("links") > 0) & F.col("doc_id").isNotNull())
-            .withColumn("head", F.col("doc_id") == F.col("component")).groupBy("doc_id")
-            .agg(F.max("head").alias("head"), F.count("*").alias("rows"))
-            .where(~F.col("head") | (F.col("rows") > 1)).select("doc_id", "head"))
-    told = docs.select(*DOCUMENTS).join(fate, "doc_id", "left")
-    first = told.where("head").groupBy("doc_id").agg(F.min(F.struct(*DOCUMENTS[1:])).alias("r"))
-    return told.where("head is null").select(*DOCUMENTS).unionByName(first.select("doc_id", "r.*"))
+    groups = ngram_join.ngram_join(_body(docs), size=5, percent=80, digests=True)
+    linked = scratch(groups.where((F.col("links") > 0) & F.col("id").isNotNull()).groupBy(F.col("id").alias("doc_id"), "digest")
+                     .agg(F.min("root").alias("root"), F.min("component").alias("component"), F.count("*").alias("rows")), "fate")
+    alike = (linked.where(F.col("component") == F.col("doc_id")).groupBy("root").agg(F.sum("rows").alias("heads"))
+             .where(F.col("heads") > 1).select("root", "heads"))
+    fate = linked.join(alike, "root", "left").select(
+        "doc_id", "digest", "root", (F.col("component") == F.col("doc_id")).alias("head"), F.col("heads").isNotNull().alias("more"))
+    told = docs.select(*DOCUMENTS, F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("digest")).join(
+        fate, ["doc_id", "digest"], "left")
+    first = told.where("head and more").groupBy("root").agg(F.min(F.struct(*DOCUMENTS)).alias("r"))
+    return told.where("head is null or (head and not more)").select(*DOCUMENTS).unionByName(first.select("r.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,17 +91,25 @@ def column_counts(blocks: DataFrame, size: int, bits: int) -> DataFrame:
 ROWS = ("id bigint, n bigint, key binary, home bigint, grade int, prefix array<bigint>, body binary")
 
 
-def matrix_rows(docs: DataFrame, size: int, percent: int, block_bytes: int) -> DataFrame:
-    """A row per document; key, home, grade, prefix and body only where a link is possible (body once per block and set)."""
+def text_digest(text: bytes) -> bytes:
+    """MD5 of a text in UTF-8, which SQL can take too; null counts as empty."""
+    return hashlib.md5(text, usedforsecurity=False).digest()
+
+
+def matrix_rows(docs: DataFrame, size: int, percent: int, block_bytes: int, digests: bool = False) -> DataFrame:
+    """A row per document, with the text's digest if wanted; key, home, grade, prefix and body only where a link is possible (body once per block and set)."""
     bits = bucket_bits(docs.sparkSession)
     blocks = text_blocks(docs, block_bytes)
     grade_base = math.log(100 / (percent - 0.1))
 
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
         kinds = {r["bucket"]: r["classes"] for r in right.to_pylist()}
-        out = {k: [] for k in ("id", "n", "key", "home", "grade", "prefix", "body")}
+        out = {k: [] for k in ("id", "n", "key", "home", "grade", "prefix", "body", *["digest"] * digests)}
         for r in left.to_pylist():
-            sets = ngram_sets(block_texts(r["sizes"], r["body"]), size)
+            texts = block_texts(r["sizes"], r["body"])
+            sets = ngram_sets(texts, size)
+            if digests:
+                out["digest"] += [text_digest(t) for t in texts]
             h, _ = distinct(np.concatenate([*sets, np.zeros(0, np.uint64)]))
             kind = np.zeros(len(h), np.uint8)
             for k, i, j in by_bucket(h, bits):
@@ -118,14 +126,16 @@ def matrix_rows(docs: DataFrame, size: int, percent: int, block_bytes: int) -> D
                     vals[2:] = [key, int(usual[0].astype(np.int64)), int(math.log(n) / grade_base),
                                 s[order].astype(np.int64).tolist(), None if key in seen else s.tobytes()]
                     seen.add(key)
-                for k, v in zip(out, vals, strict=True):
+                for k, v in zip(out, vals, strict=not digests):
                     out[k].append(v)
         return pa.table({"id": pa.array(out["id"], pa.int64()), "n": pa.array(out["n"], pa.int64()),
                          "key": pa.array(out["key"], pa.binary()), "home": pa.array(out["home"], pa.int64()),
                          "grade": pa.array(out["grade"], pa.int32()), "prefix": pa.array(out["prefix"], pa.list_(pa.int64())),
-                         "body": pa.array(out["body"], pa.binary())})
+                         "body": pa.array(out["body"], pa.binary()),
+                         **({"digest": pa.array(out["digest"], pa.binary())} if digests else {})})
 
-    return blocks.groupBy("block").cogroup(column_counts(blocks, size, bits).groupBy("block")).applyInArrow(rows, ROWS)
+    return blocks.groupBy("block").cogroup(column_counts(blocks, size, bits).groupBy("block")).applyInArrow(
+        rows, ROWS + ", digest binary" * digests)
 
 
 # ------------------------------------------------------------------ products
@@ -230,14 +240,18 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("v"), "root")
 
 
-def ngram_join(docs: DataFrame, size: int = 4, percent: int = 85, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def ngram_join(docs: DataFrame, size: int = 4, percent: int = 85, block_bytes: int = BLOCK_BYTES, digests: bool = False) -> DataFrame:
     """(id, text) to (id, n, component, links): n-grams in the set, smallest id reachable by links, number of documents linked to.
 
     Words are runs other than ASCII white space, A-Z in small letters.  Null, empty and word-less texts have an empty
     set; they and rows with a null id link with nothing (component: the own id).  Repeated rows are documents of
     their own that link with each other.  An empty table gives no rows.
+
+    With ``digests`` come digest (``text_digest`` of the row's text) and root (the component's own key, as different
+    components can hold the same id; null for a row without a set that could link).
     """
-    rows = scratch(matrix_rows(docs, size, percent, block_bytes), "rows")
+    extra = ["digest", "root"] if digests else []
+    rows = scratch(matrix_rows(docs, size, percent, block_bytes, digests), "rows")
     able = rows.where(F.col("key").isNotNull())
     classes = scratch(able.groupBy("key").agg(
         F.min("id").alias("first"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("home").alias("home"),
@@ -259,9 +273,10 @@ def ngram_join(docs: DataFrame, size: int = 4, percent: int = 85, block_bytes: i
     member = (classes.select("key", "first", "copies").join(roots.withColumnRenamed("v", "key"), "key", "left")
               .join(links, "key", "left").withColumn("root", F.coalesce("root", "key")))
     least = member.groupBy("root").agg(F.min("first").alias("component"))
-    known = member.join(least, "root").select("key", "component", (F.coalesce("far", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    linked = able.select("id", "n", "key").join(known, "key").select("id", "n", "component", "links")
-    alone = rows.where(F.col("key").isNull()).select("id", "n", F.col("id").alias("component"), F.lit(0).cast("long").alias("links"))
+    known = member.join(least, "root").select("key", "root", "component", (F.coalesce("far", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    linked = able.select("id", "n", "key", *extra[:1]).join(known, "key").select("id", "n", "component", "links", *extra)
+    alone = rows.where(F.col("key").isNull()).select("id", "n", F.col("id").alias("component"), F.lit(0).cast("long").alias("links"),
+                                                       *([F.col("digest"), F.lit(None).cast("binary").alias("root")] if digests else []))
     return linked.unionByName(alone)
 
 

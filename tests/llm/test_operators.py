@@ -423,6 +423,17 @@ def test_secrets_count_words_of_all_documents(spark):
     assert abs(steps["xq"]) < 1e-9 and steps["om"] == pytest.approx(np.log(1 / 3)) and len(steps) == 30
 
 
+def test_near_duplicates_know_rows_by_id_and_text(spark):
+    import corpus_pipeline as P
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(3, a), (7, a), (7, b), (8, c), (8, c), (8, d), (9, c + " more"), (5, a + " x"), (5, "other words that stand alone"), (None, a),
+            (20, "p " + a[::-1]), (21, "p " + a[::-1]), (20, "q " + b[::-1]), (22, "q " + b[::-1]), (30, c[::-1]), (30, c[::-1] + " y"), (40, None), (40, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    key = lambda r: (r[0] is None, r[0], r[1] is None, r[1])
+    got = sorted(((r["doc_id"], r["text"]) for r in P.near_duplicates(spark, docs, SF).collect()), key=key)
+    assert got == sorted([(3, a), (7, b), (8, c), (8, d), rows[8], (None, a), rows[10], rows[12], rows[14], (40, None), (40, "")], key=key)
+
+
 def test_pipeline_stages(spark, tables):
     import corpus_pipeline as P
     out = P.run(spark, SF)
