@@ -13,6 +13,8 @@ from tessera.llm.html_text import op5_html
 from tessera.llm.langid import op2_langid
 from tessera.llm.maxscore import ORACLE_SQL as OP9_SQL
 from tessera.llm.maxscore import op9_maxscore
+from tessera.llm.mixing import ORACLE_SQL as OP12_SQL
+from tessera.llm.mixing import op12_mixing
 from tessera.llm.ngram_join import op4_ngram_join
 from tessera.llm.pii import op6_pii
 from tessera.llm.quality import op1_quality
@@ -33,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_maxscore": op9_maxscore,
         "op10_secrets": op10_secrets,
+        "op12_mixing": op12_mixing,
     }
 
 
@@ -41,4 +44,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": OP7_SQL,
         "op8_decontaminate": OP8_SQL,
         "op9_maxscore": OP9_SQL,
+        "op12_mixing": OP12_SQL,
     }
