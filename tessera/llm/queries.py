@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.bpe import op3_bpe
 from tessera.llm.decontaminate import ORACLE_SQL as OP8_SQL
 from tessera.llm.decontaminate import op8_decontaminate
+from tessera.llm.hard_negatives import ORACLE_SQL as OP11_SQL
+from tessera.llm.hard_negatives import op11_hard_negatives
 from tessera.llm.html_text import op5_html
 from tessera.llm.langid import op2_langid
 from tessera.llm.maxscore import ORACLE_SQL as OP9_SQL
@@ -21,6 +23,7 @@ from tessera.llm.quality import op1_quality
 from tessera.llm.secrets import op10_secrets
 from tessera.llm.substring_dedup import ORACLE_SQL as OP7_SQL
 from tessera.llm.substring_dedup import op7_substring_dedup
+from tessera.llm.variants import op13_variants
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -35,7 +38,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_maxscore": op9_maxscore,
         "op10_secrets": op10_secrets,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_mixing": op12_mixing,
+        "op13_variants": op13_variants,
     }
 
 
@@ -44,5 +49,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": OP7_SQL,
         "op8_decontaminate": OP8_SQL,
         "op9_maxscore": OP9_SQL,
+        "op11_hard_negatives": OP11_SQL,
         "op12_mixing": OP12_SQL,
     }
