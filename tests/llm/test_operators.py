@@ -47,7 +47,7 @@ def tables(spark, tmp_path_factory):
         .select("*", lit("id", "int"), lit("text", "int")),
         "embeddings": spark.createDataFrame([(0, [0.5, -1.0]), (50, [0.5, -1.0]), (3, [0.1, 0.2]), (4, None), (5, [None, 1.0]), (6, [float("nan"), 1.0]),
                                              (None, [1.0, 1.0]), (7, [0.5, -1.0]), (7, [0.5, -1.0]), (8, [-1.0, 2.0]), (9, [3.0, 0.0]), (100, [])],
-                                            "vec_id bigint, embedding array<float>").select("*", lit("id", "int"), lit("vector", "int")),
+                                            "vec_id bigint, embedding array<float>").select("*", (F.col("vec_id") % 2).cast("int").alias("label"), lit("id", "int"), lit("vector", "int")),
     }
     for name, f in frames.items():
         f.coalesce(2).write.parquet(f"{full}/{name}.parquet")
@@ -63,8 +63,10 @@ def test_odd_and_empty_tables(spark, tables, name):
     full, empty = tables
     got = queries.queries()[name](spark, full)
     n = {"op5_html": 4}.get(name, len(ROWS))
-    if name != "op9_maxscore":
+    if name not in ("op9_maxscore", "op11_hard_negatives", "op13_variants"):
         assert got.count() == n
+    else:
+        got.count()
     assert queries.queries()[name](spark, empty).count() == 0
 
 
