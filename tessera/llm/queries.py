@@ -23,6 +23,7 @@ from tessera.llm.quality import op1_quality
 from tessera.llm.secrets import op10_secrets
 from tessera.llm.substring_dedup import ORACLE_SQL as OP7_SQL
 from tessera.llm.substring_dedup import op7_substring_dedup
+from tessera.llm.variants import ORACLE_SQL as OP13_SQL
 from tessera.llm.variants import op13_variants
 
 
@@ -51,4 +52,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_maxscore": OP9_SQL,
         "op11_hard_negatives": OP11_SQL,
         "op12_mixing": OP12_SQL,
+        "op13_variants": OP13_SQL,
     }

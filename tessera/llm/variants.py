@@ -286,3 +286,31 @@ def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = columns(table(spark, sf_dir, "documents", "doc_id", "text"), id="doc_id", text="text").withColumn("id", F.col("id").cast("string"))
     return variants(scratch(vocabulary(docs, every=199), "vocabulary"))
+
+
+#: The CRC-32 is folded over bytes with its table of 256 entries, built by its polynomial; near words meet at their holes.
+ORACLE_SQL = r"""
+WITH RECURSIVE k AS (SELECT list(c ORDER BY b) AS tab FROM (
+        SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+        FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b))),
+d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+             unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+r AS (SELECT id, run, count(*) AS m FROM d WHERE length(run) >= 6 GROUP BY id, run),
+h AS (SELECT run, m, xor(4294967295, list_reduce(
+          list_prepend(4294967295, list_transform(range(1, octet_length(encode(id || ':' || run)) + 1),
+                       lambda i: CAST(('0x' || substr(hex(encode(id || ':' || run)), 2 * i - 1, 2)) AS BIGINT))),
+          lambda c, b: xor(c // 256, tab[xor(c, b) % 256 + 1]))) AS h FROM r, k),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, m FROM h),
+v AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+x AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+      UNION SELECT x.word, v.word, v.n FROM x JOIN v ON x.less = v.word
+      UNION SELECT v.word, x.word, x.n FROM x JOIN v ON x.less = v.word),
+b AS (SELECT word, count(*) AS n_near, min({'m': -near_n, 'w': near}) AS best FROM p GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -b.best.m >= 5 * v.n THEN b.best.w END AS form,
+             CASE WHEN -b.best.m >= 5 * v.n THEN -b.best.m END AS form_n FROM v LEFT JOIN b ON v.word = b.word),
+g AS (SELECT word, form AS root, 1 AS far FROM f WHERE form IS NOT NULL
+      UNION ALL SELECT g.word, f.form, g.far + 1 FROM g JOIN f ON g.root = f.word WHERE f.form IS NOT NULL),
+t AS (SELECT word, arg_max(root, far) AS root FROM g GROUP BY word)
+SELECT f.word, form, coalesce(t.root, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN t ON f.word = t.word
+"""

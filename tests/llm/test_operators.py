@@ -79,7 +79,7 @@ def test_equals_sql(spark, name):
     names = [c[0] for c in want.description]
     got = queries.queries()[name](spark, SF)
     assert got.columns == names
-    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
 
 
 def test_quality_learns_only_its_folds_and_holds_out(spark):
