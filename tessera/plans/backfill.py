@@ -13,6 +13,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources.snapshots import Pin, Snapshots
+
 T = F.col
 
 # FIXED VALUES: placeholder entities that never receive records
@@ -87,7 +90,63 @@ def contracts_follow_supplier(src, as_of: datetime | None = None) -> DataFrame:
                     F.coalesce("_sent", "entities_id_before").alias("entities_id"))
 
 
+def _moved(table: DataFrame, report: DataFrame, key: str) -> DataFrame:
+    """``table`` with the entities of a report; columns keep their order, every row stays."""
+    new = report.select(T(key).alias("_key"), T("entities_id").alias("_new"))
+    j = table.join(new, T("id") == T("_key"), "left")
+    return j.select(*[F.coalesce("_new", c).cast(table.schema[c].dataType).alias(c) if c == "entities_id" else T(c) for c in table.columns])
+
+
+def _with_computer(table: DataFrame, computers: DataFrame) -> DataFrame:
+    """Rows of a computer take its entity; the column is added (NULL for other rows) where the table has none."""
+    c = computers.select(T("id").alias("_cid"), T("entities_id").alias("_new"))
+    own = T("entities_id") if "entities_id" in table.columns else F.lit(None)
+    j = table.join(c, (T("items_id") == T("_cid")) & (T("itemtype") == "Computer"), "left")
+    return j.select(*[x for x in table.columns if x != "entities_id"], F.coalesce("_new", own.cast("bigint")).alias("entities_id"))
+
+
+#: tables that a job changes, made from a source mapping
+JOBS = {
+    "ticket_entity": lambda src, **kw: {"tickets": _moved(src["tickets"], ticket_entity_follows_requester(src), "ticket_id")},
+    "derived_entity": lambda src, **kw: {t: _with_computer(src[t], src["computers"]) for t in ("items_operatingsystems", "items_softwareversions", "infocoms")},
+    "phone_peripheral_entity": lambda src, **kw: {
+        t: _moved(src[t], phones_peripherals_follow_user(src, **kw).where(T("kind") == k), "asset_id") for k, t in (("Phone", "phones"), ("Peripheral", "peripherals"))},
+    "contract_entity": lambda src, **kw: {"contracts": _moved(src["contracts"], contracts_follow_supplier(src), "contract_id")},
+}
+
+
+def apply_backfill(store: Snapshots, job: str, **options) -> Pin:
+    """B1-B4 as a new version of the tables they change: readers of the version before keep it, a failed job leaves it."""
+    pin = store.pin()
+    draft = store.begin(pin)
+    for name, table in JOBS[job](pin, **options).items():
+        draft.replace(name, table)
+    return draft.commit(backfills=[*pin.notes.get("backfills", []), job])
+
+
+def snapshot_derived_entity(src, as_of: datetime | None = None) -> DataFrame:
+    """B2 through versions: rows by table and entity in the version before (still readable) and in the one after."""
+    spark = src["computers"].sparkSession
+    name = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
+    store = Snapshots(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-backfill/{name}")
+    tables = ("items_operatingsystems", "items_softwareversions", "infocoms")
+    draft = store.begin()
+    for t in (*tables, "computers"):
+        draft.replace(t, src[t])
+    old = draft.commit()
+    new = apply_backfill(store, "derived_entity")
+
+    def counts(pin: Pin, out: str) -> DataFrame:
+        one = lambda t: pin[t].select(F.lit(t).alias("source_table"), (T("entities_id") if "entities_id" in pin[t].columns else F.lit(None))
+                                      .cast("bigint").alias("entities_id"))
+        return one(tables[0]).unionByName(one(tables[1])).unionByName(one(tables[2])).groupBy("source_table", "entities_id").agg(F.count("*").alias(out))
+
+    both = counts(old, "rows_before").unionByName(counts(new, "rows_after"), allowMissingColumns=True)
+    return both.groupBy("source_table", "entities_id").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("rows_before", "rows_after")])
+
+
 QUERIES = {
+    "snapshot_derived_entity": snapshot_derived_entity,
     "backfill_ticket_entity": ticket_entity_follows_requester,
     "backfill_derived_entity": derived_follow_computer,
     "backfill_phone_peripheral_entity": phones_peripherals_follow_user,

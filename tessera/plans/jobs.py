@@ -16,19 +16,25 @@ from pyspark.sql import functions as F
 
 from tessera.plans.catalog import MARTS
 from tessera.sources.contracts import CONTRACT_TABLES
-from tessera.sources.io import write_mart
+from tessera.sources.io import PARTITION_COLUMNS, write_mart
+from tessera.sources.snapshots import Snapshots
 
 
 def deploy(src, as_of: datetime, out_path: str | None = None, only: str | None = None,
-           dry_run: bool = False) -> DataFrame:
+           dry_run: bool = False, store: Snapshots | None = None) -> DataFrame:
+    """With ``store`` the marts are written as one new version: readers see all
+    of them change at once, and a mart that fails stays as it was before."""
     spark = src["tickets"].sparkSession
+    draft = store.begin() if store is not None and not dry_run else None
     rows = []
     for name, builder, group in MARTS:
         if only and group != only and name != only:
             continue
         try:
             df = builder(src, as_of)
-            if dry_run or out_path is None:
+            if draft is not None:
+                draft.replace(name, df, PARTITION_COLUMNS.get(name))
+            elif dry_run or out_path is None:
                 df.schema  # resolve + analyse the plan, no job
                 if not dry_run:
                     df.createOrReplaceTempView(name)
@@ -37,6 +43,8 @@ def deploy(src, as_of: datetime, out_path: str | None = None, only: str | None =
             rows.append((name, group, "ok", None))
         except Exception as e:  # noqa: BLE001 - tally and continue, as published
             rows.append((name, group, "error", str(e)[:500]))
+    if draft is not None and any(r[2] == "ok" for r in rows):
+        draft.commit(as_of=as_of.isoformat())
     return spark.createDataFrame(rows, "mart string, group string, status string, error string")
 
 
