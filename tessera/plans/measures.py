@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tessera import domains as D
 from tessera.functions.time import date_lit, ntz
 from tessera.operators import timeintel as TI
-from tessera.plans.model import Model, apply_filters
+from tessera.plans.model import Model, apply_filters, linked_columns, with_dimensions
 
 T = F.col
 TIME_KEYS = ("date", "year_month", "year")
@@ -351,7 +351,7 @@ def _time_keys(df: DataFrame, by: list, date_col: str | None) -> DataFrame:
     return df
 
 
-def _over_months(model: Model, names: list, by: list, filters, ignore, exact_percentile: bool) -> DataFrame:
+def _over_months(model: Model, names: list, by: list, filters, ignore, exact_percentile: bool, roles: list) -> DataFrame:
     """Time-intelligence measures beside plain ones: the base measures are
     evaluated once per month and key, then compared along the spine.  Months
     are those from the first to the last of the result; plain measures are
@@ -362,7 +362,8 @@ def _over_months(model: Model, names: list, by: list, filters, ignore, exact_per
     shifted = [n for n in names if n in TIME_INTELLIGENCE]
     plain = [n for n in names if n not in TIME_INTELLIGENCE]
     bases = dict.fromkeys(TIME_INTELLIGENCE[n][0] for n in shifted)
-    per = evaluate(model, [*plain, *[b for b in bases if b not in plain]], by, filters, ignore, exact_percentile)
+    per = evaluate(model, [*plain, *[b for b in bases if b not in plain]], by, filters, ignore, exact_percentile, roles)
+    by, keys = [k.rsplit(".", 1)[-1] for k in by], [k.rsplit(".", 1)[-1] for k in keys]
     for b in bases:
         empty = next(TIME_INTELLIGENCE[n][2] for n in shifted if TIME_INTELLIGENCE[n][0] == b)
         per = per.withColumn(f"_{b}", T(b) if empty is None else F.coalesce(T(b), F.lit(empty)))
@@ -382,12 +383,17 @@ def _over_months(model: Model, names: list, by: list, filters, ignore, exact_per
 
 
 def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters: dict | None = None,
-             ignore: Iterable[str] = (), exact_percentile: bool = True) -> DataFrame:
+             ignore: Iterable[str] = (), exact_percentile: bool = True, roles: Iterable[str] = ()) -> DataFrame:
     """Evaluate ``names`` grouped by ``by`` under ``filters``; ``ignore``
-    lists measures evaluated without filters (ALL)."""
-    names, by, ignore = list(names), list(by), set(ignore)
+    lists measures evaluated without filters (ALL).  Keys of ``by`` are columns
+    of the marts, time keys, or ``dimension.column`` reached along the
+    relationships; ``roles`` switches inactive relationships on."""
+    names, by, ignore, roles = list(names), list(by), set(ignore), list(roles)
     if any(n in TIME_INTELLIGENCE for n in names):
-        return _over_months(model, names, by, filters, ignore, exact_percentile)
+        return _over_months(model, names, by, filters, ignore, exact_percentile, roles)
+    dimensions, by = [k for k in by if "." in k], [k.rsplit(".", 1)[-1] for k in by]
+    if len(set(by)) < len(by):
+        raise ValueError(f"two keys of one name in {by}")
     ctx = Ctx(model, filters or {}, exact_percentile)
     todo = _closure(names)
     groups: dict[tuple, list[Measure]] = {}
@@ -401,11 +407,13 @@ def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters
             role = m.date_col if timed else None
             groups.setdefault((m.mart, role, n in ignore), []).append(m)
     ctx_cols = set(by) | {k for k in ctx.filters if "." not in k}
+    links = lambda mart: linked_columns(mart, [*dimensions, *ctx.filters], roles) | {
+        k.split(".", 1)[1] for k in [*dimensions, *ctx.filters] if k.split(".", 1)[0] == mart and "." in k}
     for (mart, date_col, unfiltered), ms in groups.items():
-        df = model.mart(mart, needs=ctx_cols.union(*[m.needs for m in ms]))
+        df = model.mart(mart, needs=(ctx_cols | links(mart)).union(*[m.needs for m in ms]))
         if not unfiltered:
-            df = apply_filters(model, mart, df, ctx.filters)
-        df = _time_keys(df, by, date_col)
+            df = apply_filters(model, mart, df, ctx.filters, roles)
+        df = _time_keys(with_dimensions(model, mart, df, dimensions, roles), by, date_col)
         aggs = []
         for m in ms:
             if m.optional_col and m.optional_col not in df.columns:
@@ -417,14 +425,14 @@ def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters
         m = MEASURES[n]
         if m.kind != "table":
             continue
-        df = model.mart(m.mart, needs=ctx_cols | set(m.needs))
+        df = model.mart(m.mart, needs=ctx_cols | links(m.mart) | set(m.needs))
         if not (m.unfiltered or n in ignore):
-            df = apply_filters(model, m.mart, df, ctx.filters)
+            df = apply_filters(model, m.mart, df, ctx.filters, roles)
         if m.unfiltered:
             res = m.table(df, [], ctx)
             parts.append(res)               # one row, broadcast to every group below
             continue
-        parts.append(m.table(_time_keys(df, by, m.date_col), by, ctx))
+        parts.append(m.table(_time_keys(with_dimensions(model, m.mart, df, dimensions, roles), by, m.date_col), by, ctx))
     out = None
     for p in parts:
         if out is None:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators.enrich import join_one_to_one
 from tessera.plans import backfill, pages
 from tessera.plans.jobs import deploy
 from tessera.plans.measures import evaluate
-from tessera.plans.model import Model, _path
+from tessera.plans.model import PUBLISHED, AmbiguousPath, Edge, Model, NoPath, _path, find_path
 from tessera.sources.adapter import AS_OF
 
 
@@ -36,17 +37,78 @@ def test_scope_fails_closed(spark, driver_src):
     seen = {r[0] for r in bound.mart("vw_backlog_open").select("ticket_id").collect()}
     assert seen <= own and len(seen) < free.mart("vw_backlog_open").count()
     assert bound.mart("vw_fact_asset_incidents").count() < free.mart("vw_fact_asset_incidents").count()
+    tickets = {r[0]: r[1] for r in bound.mart("vw_tech_productivity").groupBy("year_month").agg(F.sum("tickets_assigned")).collect()}
+    assert tickets and sum(tickets.values()) <= len(own)
     with pytest.raises(PermissionError):
-        bound.mart("vw_tech_productivity")
+        bound.src["no_such_contract"]
 
 
-def test_slicers_walk_the_graph_and_report_what_they_miss(driver_src):
+class Named(dict):
+    def __missing__(self, name):
+        raise AssertionError(f"{name} was read")
+
+
+def test_scope_goes_by_every_owner(spark):
+    """Each table's rows are visible only with all that they belong to; every contract has a stated way."""
+    from tessera.sources import scope
+    from tessera.sources.contracts import CONTRACT_TABLES
+    assert set(CONTRACT_TABLES) == set(scope.OWN) | set(scope.PARENTS) | scope.ITEM_LINKS | scope.SHARED
+    entity = {t: spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id bigint, entities_id bigint") for t in scope.ITEM_TABLES.values()}
+    links = spark.createDataFrame([(1, "Computer", 1, 1), (2, "Computer", 2, 1), (3, "Monitor", 1, 2), (4, "Unknown", 1, 1), (5, "Computer", 3, 1),
+                                   (6, None, 1, 1), (7, "Printer", 1, 1)], "id bigint, itemtype string, items_id bigint, tickets_id bigint")
+    seen = scope.ScopedSources(Named({**entity, "items_tickets": links, "users": entity["tickets"]}), spark.createDataFrame([(10,), (10,)], "entity_id bigint"))
+    assert [r[0] for r in seen["tickets"].select("id").collect()] == [1] and seen["users"].count() == 3
+    assert sorted(r[0] for r in seen["items_tickets"].select("id").collect()) == [1, 7]
+
+
+def test_slicers_walk_the_graph_and_raise_where_they_do_not_reach(driver_src):
     assert [s[2] for s in _path("vw_dim_entity", "vw_fact_asset_incidents")] == ["vw_dim_asset", "vw_fact_asset_incidents"]
+    assert [s[2] for s in _path("vw_dim_entity", "vw_fact_asset_tickets")] == ["vw_dim_asset", "vw_fact_asset_tickets"]      # the declared one of two
+    assert len(PUBLISHED) == 24 and not any(e.role for e in PUBLISHED)
     m = Model(driver_src, AS_OF)
     got = evaluate(m, ["total_asset_incidents"], filters={"vw_dim_entity.entity_name": "no such entity"}).first()
-    assert not got[0] and not m.unreached
-    evaluate(m, ["open_tickets"], filters={"vw_dim_supplier.supplier_name": "x"})
-    assert ("vw_dim_supplier.supplier_name", "vw_glpi_tickets") in m.unreached or m.unreached
+    assert not got[0]
+    with pytest.raises(NoPath):
+        evaluate(m, ["open_tickets"], filters={"vw_dim_supplier.supplier_name": "x"})
+    assert evaluate(m, ["open_tickets"], filters={"vw_dim_supplier.supplier_name": "x"}, ignore=["open_tickets"]).first()[0] > 0
+    with pytest.raises(NoPath):                                                     # rows of many tickets cannot stand beside an asset
+        m.star("vw_dim_asset", ["vw_fact_asset_tickets.ticket_priority"])
+    for key in ("vw_dim_group.no_such_column", "vw_fact_kb_usage.kb_id"):
+        with pytest.raises(Exception):                                              # noqa: B017
+            m.star("vw_fact_tickets", [key]).collect()
+
+
+def test_ways_are_ambiguous_or_switched_by_role():
+    edges = [Edge("f", "a", "x", "id"), Edge("f", "b", "y", "id"), Edge("x", "k", "d", "id"), Edge("y", "k", "d", "id"), Edge("f", "c", "y", "id", role="other")]
+    with pytest.raises(AmbiguousPath):
+        find_path("d", "f", edges=edges)
+    assert [s.target for s in find_path("x", "f", edges=edges)] == ["f"] and find_path("f", "x", edges=edges) is None
+    assert find_path("y", "f", edges=edges)[0].target_col == "b" and find_path("y", "f", ["other"], edges)[0].target_col == "c"
+    with pytest.raises(NoPath):
+        find_path("y", "f", ["no such role"], edges)
+    with pytest.raises(AmbiguousPath):
+        find_path("y", "f", ["other", "third"], [*edges, Edge("f", "e", "y", "id", role="third")])
+
+
+def test_dimensions_never_multiply_rows(spark, driver_src):
+    twice = Altered(driver_src, suppliers=driver_src["suppliers"].unionByName(driver_src["suppliers"].withColumn("suppliertypes_id", F.lit(None).cast("bigint"))))
+    plain, odd = Model(driver_src, AS_OF).mart("vw_fact_asset_financials"), Model(twice, AS_OF)
+    base = odd.mart("vw_fact_asset_financials")
+    assert odd.star("vw_fact_asset_financials", ["vw_dim_supplier.supplier_type"]).count() == base.count() >= plain.count()
+
+
+def test_one_to_one_join_names_what_does_not_match(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d"), (None, "e"), (6, "x"), (6, "y")], "k int, v string")
+    right = spark.createDataFrame([(1, 10), (2, 20), (3, 31), (3, 30), (4, 40), (4, 41), (None, 50), (6, 1), (6, 2)], "k int, v int")
+    got = join_one_to_one(left, right, "k")
+    assert got.columns == ["k", "v", "r_v", "left_rows", "right_rows", "match"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        (1, "a", 10, 1, 1, "ok"), (2, "b", 20, 2, 1, "left_repeats"), (2, "c", 20, 2, 1, "left_repeats"), (3, "d", 30, 1, 2, "right_repeats"),
+        (None, "e", None, 1, 0, "left_only"), (4, None, 40, 0, 2, "right_only"), (None, None, 50, 0, 1, "right_only"),
+        (6, "x", 1, 2, 2, "both_repeat"), (6, "y", 1, 2, 2, "both_repeat")], key=repr)
+    plan = join_one_to_one(left, right, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert join_one_to_one(left.limit(0), right.limit(0), "k").count() == 0
 
 
 def test_null_groups_are_one_group(driver_src):
