@@ -7,6 +7,7 @@ alike.  Word and window hashes are 64-bit.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import uuid
 from collections.abc import Iterator
@@ -116,6 +117,7 @@ _rng = np.random.default_rng(20250101)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _R = np.uint64(0x9E3779B97F4A7C15)
 _Q = 0xD6E8FEB86659FD93
+SUMMED = 256                                                                        # bytes of a word up to which a sum of powers is its hash
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -151,7 +153,10 @@ class Words:
         stops = np.cumsum(n)
         rel = np.arange(stops[-1], dtype=np.int32) - np.repeat((stops - n).astype(np.int32), n)
         total = np.add.reduceat(_BYTE[b[self._inside]] * power[rel], stops - n)
-        return mix(total + n.astype(np.uint64))
+        out = mix(total + n.astype(np.uint64))
+        for k in np.flatnonzero(n > SUMMED).tolist():                               # sums with powers repeat on long words of a pattern
+            out[k] = int.from_bytes(hashlib.blake2b(b[self.starts[k]:self.ends[k]].tobytes(), digest_size=8).digest(), "little")
+        return out
 
     def windows(self, size: int) -> np.ndarray:
         """Hash of the ``size`` words from each word on (meaningful where ``fits`` holds)."""

@@ -5,6 +5,9 @@ value there.  Per shard and query, terms are ordered by their greatest possible
 whose gains together stay below it are non-essential: a vector in none of the essential terms' gaining postings cannot
 win.  Essential postings are traversed; the vectors found are probed in the other terms, best first, for as long as
 their partial score and the gains that are left reach the threshold.  The shards' winners are merged.
+
+Vectors are dense: a term's two postings hold nearly every vector of a shard, so they are kept as one column of values
+and a mask of who gains, and a posting is traversed as a whole column.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ SHARD_ROWS, QUERY_ROWS, SEEDS, PROBE = 4096, 512, 64, 4
 class Shard:
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.x = ids, values
-        self.gaining = {(d, s): np.flatnonzero(values[:, d] * s > 0) for d in range(values.shape[1]) for s in (1, -1)}
+        self.columns = np.ascontiguousarray(values.T)
+        self.gaining = {1: self.columns > 0, -1: self.columns < 0}
         self.top = {1: values.max(0, initial=0), -1: -values.min(0, initial=0)}     # greatest value either way, 0 at least
 
     def best(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,11 +52,8 @@ class Shard:
         score = np.zeros(len(self.ids), np.int64)
         for d in order[:essential].tolist():
             if q[d]:
-                sign = 1 if q[d] > 0 else -1
-                up, down = self.gaining[d, sign], self.gaining[d, -sign]
-                found[up] = True
-                score[up] += q[d] * self.x[up, d]
-                score[down] += q[d] * self.x[down, d]
+                found |= self.gaining[1 if q[d] > 0 else -1][d]
+                score += q[d] * self.columns[d]
         found &= self.ids != own
         at = np.flatnonzero(found)
         score = score[at]
@@ -66,11 +67,11 @@ class Shard:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(id, vector) with whole-number components floor(256 x); rows that take no part are gone, one row for each id."""
+    """(id, vector) with whole-number components floor(256 x); rows that take no part are gone, repeated ids stay."""
     x = F.col("vector").cast("array<double>")
     fine = F.col("id").isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     whole = F.transform(x, lambda v: F.floor(v * 256).cast("long"))
-    return vectors.where(fine).select("id", whole.alias("vector")).groupBy("id").agg(F.min("vector").alias("vector"))
+    return vectors.where(fine).select("id", whole.alias("vector"))
 
 
 def _packed(rows: DataFrame, size: int, name: str) -> DataFrame:
@@ -104,9 +105,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(id, vector) rows against (id, vector) queries: (query_id, rank, vec_id, score), ``k`` best of each query.
 
     The score is the whole-number inner product (a shorter vector counts as filled with zeros; scores must fit 64
-    bits).  Ties go to the smaller id.  A query's own id is no candidate.  Ids are unique: see ``usable``.
+    bits).  Ties go to the smaller id.  Rows with a query's own id are no candidates of it; other ids may repeat, each
+    row is a candidate.  Of queries that repeat an id the least vector counts.
     Blocks of queries are sent to groups of shards, so no task holds all of either.
     """
+    queries = queries.groupBy("id").agg(F.min("vector").alias("vector"))
     groups = shuffle_width(vectors.sparkSession)
     shards = _packed(vectors, SHARD_ROWS, "v").withColumn("group", F.pmod(F.xxhash64("v_ids"), F.lit(groups).cast("long")))
     blocks = _packed(queries, QUERY_ROWS, "q").withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
@@ -136,8 +139,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best vectors for every vector whose id is divisible by 50.
 
-    Null vectors, vectors with null, NaN or infinite components and rows without an id take no part.  Of rows that
-    repeat an id the least vector counts.  Fewer than 5 other vectors: all of them.
+    Null vectors, vectors with null, NaN or infinite components and rows without an id take no part.  Rows that repeat
+    an id are candidates each; of queries that repeat one the least vector counts.  Fewer than 5 other vectors: all.
     """
     vectors = usable(columns(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), id="vec_id", vector="embedding"))
     return top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
@@ -146,8 +149,9 @@ def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL = r"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+q AS (SELECT vec_id, min(x) AS x FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+      FROM q JOIN v c ON q.vec_id <> c.vec_id),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
