@@ -20,6 +20,8 @@ DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Language ID rejects texts without a letter and those whose best language is no further above chance, which depends on
 #: the number of languages, than this part of the way to certainty.  One language alone rejects nothing else.
 OVER_CHANCE = 2 / 15
+#: keys of documents to be dropped that are sent to every task (some 64 MB); more of them are joined
+SENT_ROWS = 1_000_000
 
 
 def _body(docs: DataFrame) -> DataFrame:
@@ -46,6 +48,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "lang", F.coalesce("lang", F.when(F.col("lang_pred") != langid.NONE, F.col("lang_pred")))).select(*DOCUMENTS)
 
 
+def without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """``docs`` but for the keys in ``gone``, whose size is counted: up to ``SENT_ROWS`` they are sent to the documents,
+    beyond that both sides meet by key."""
+    return docs.join(F.broadcast(gone) if gone.count() <= SENT_ROWS else gone, keys, "left_anti")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group linked by 5-word shingles at a similarity of 0.8 the row with the smallest id.
 
@@ -58,12 +66,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
                      .agg(F.min("root").alias("root"), F.min("component").alias("component"), F.count("*").alias("rows")), "fate")
     alike = (linked.where(F.col("component") == F.col("doc_id")).groupBy("root").agg(F.sum("rows").alias("heads"))
              .where(F.col("heads") > 1).select("root", "heads"))
-    fate = linked.join(alike, "root", "left").select(
-        "doc_id", "digest", "root", (F.col("component") == F.col("doc_id")).alias("head"), F.col("heads").isNotNull().alias("more"))
-    told = docs.select(*DOCUMENTS, F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("digest")).join(
-        fate, ["doc_id", "digest"], "left")
-    first = told.where("head and more").groupBy("root").agg(F.min(F.struct(*DOCUMENTS)).alias("r"))
-    return told.where("head is null or (head and not more)").select(*DOCUMENTS).unionByName(first.select("r.*"))
+    fate = scratch(linked.join(alike, "root", "left").select(
+        "doc_id", "digest", "root", (F.col("component") == F.col("doc_id")).alias("head"), F.col("heads").isNotNull().alias("more")), "fates")
+    gone = fate.where("not head or more")
+    told = docs.select(*DOCUMENTS, F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("digest"))
+    alone = without(told, gone.select("doc_id", "digest"), ["doc_id", "digest"]).select(*DOCUMENTS)
+    several = gone.where("head and more").select("doc_id", "digest", "root")        # heads that share an id: few, if any
+    if several.isEmpty():
+        return alone
+    first = told.join(several, ["doc_id", "digest"]).groupBy("root").agg(F.min(F.struct(*DOCUMENTS)).alias("r"))
+    return alone.unionByName(first.select("r.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +85,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     items = columns(table(spark, sf_dir, "benchmark", "item_id", "text"), item="item_id", text="text")
     found = decontaminate.digest(decontaminate.find_benchmark(_body(docs), items.withColumn("item", F.col("item").cast("string"))))
-    return docs.select(*DOCUMENTS).join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*DOCUMENTS)
+    gone = scratch(found.where("contaminated").select("doc_id").distinct(), "contaminated")
+    return without(docs.select(*DOCUMENTS), gone, ["doc_id"]).select(*DOCUMENTS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
