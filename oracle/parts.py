@@ -16,10 +16,11 @@ def label(code: str, words: dict, other: str | None = None) -> str:
     return found if other is None else f"coalesce({found}, '{other}')"
 
 
-def pick(words: list[str], *raises: str) -> str:
-    """Of ordered words the one reached by as many steps as conditions hold; NULL if one is unknown."""
-    listed = ", ".join(f"'{w}'" for w in words)
-    return f"([{listed}])[1 + " + " + ".join(f"CAST({r} AS INTEGER)" for r in raises) + "]"
+def band(value: str, *bands: tuple[str | None, str | None, str]) -> str:
+    """The word of the band (from, up to but not including; None: open) that holds the value; NULL for NULL."""
+    rows = ", ".join(f"({low or 'NULL'}, {high or 'NULL'}, '{word}')" for low, high, word in bands)
+    return (f"(SELECT word FROM (VALUES {rows}) AS bands(low, high, word) "
+            f"WHERE {value} IS NOT NULL AND (low IS NULL OR {value} >= low) AND (high IS NULL OR {value} < high))")
 
 
 def share(part: str, whole: str, digits: int) -> str:

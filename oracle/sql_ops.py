@@ -41,7 +41,7 @@ known AS (
 broken AS (SELECT rule, tab, count(*) AS n FROM refs LEFT JOIN known ON known.what = refs.what AND known.id = refs.ref
            WHERE known.id IS NULL GROUP BY rule, tab)
 SELECT rule, tab AS "table", 'error' AS severity, ifnull(n, 0) AS violations FROM spine LEFT JOIN broken USING (rule, tab)
-UNION ALL SELECT 'Q5_expected_entities', 'entities', ['warning', 'ok'][1 + CAST(n = {EXPECTED_ENTITIES} AS INTEGER)],
+UNION ALL SELECT 'Q5_expected_entities', 'entities', CASE WHEN n = {EXPECTED_ENTITIES} THEN 'ok' ELSE 'warning' END,
   CAST(abs(n - {EXPECTED_ENTITIES}) AS BIGINT) FROM (SELECT count(*) AS n FROM glpi_entities)"""
 
 SQL["quality_integrity_report"] = REPORT
