@@ -109,3 +109,11 @@ SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, event_type, count
 FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS ws, event_type, value FROM events
       UNION ALL SELECT time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE, event_type, value FROM events)
 GROUP BY 1, 2, 3"""
+
+
+_OWNED = ("users", "tickets", "computers", "networkequipments", "monitors", "printers", "phones", "peripherals", "racks", "softwares", "suppliers",
+          "contracts", "problems", "changes", "projects")
+SQL["profile_by_entity"] = "WITH held AS (" + " UNION ALL ".join(f"SELECT '{t}' AS tab, entities_id FROM glpi_{t}" for t in _OWNED) + """)
+SELECT tab AS "table", CAST(held.entities_id AS BIGINT) AS entity_id, e.name AS entity_name, count(*) AS rows,
+  round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY tab), 4) AS pct_of_table, CAST(e.id IS NULL AS INTEGER) AS orphan
+FROM held LEFT JOIN glpi_entities e ON e.id = held.entities_id GROUP BY tab, held.entities_id, e.id, e.name"""

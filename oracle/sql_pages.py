@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle.adapter_sql import AS_OF_SQL
 from oracle.sql_analytics import NOW, TODAY, cnt, div, icon, marts, r
 from tessera import domains as D
 
@@ -227,15 +228,53 @@ c AS (SELECT itemtype || '-' || items_id AS asset_key, count(DISTINCT contracts_
 SELECT h.asset_key, tickets, first_ticket, last_ticket, coalesce(n, 0) AS contracts,
   {r('mins / 60.0 * 100.0')} AS support_cost FROM h LEFT JOIN c USING (asset_key)"""
 
-SQL["page_traffic_lights"] = marts(tk="vw_glpi_tickets", bk="vw_backlog_open", sl="vw_fact_software_licenses") + f""",
+_SPANS = """spans AS (
+  SELECT DISTINCT i.itemtype || '-' || i.items_id AS asset_key, c.id AS contract_id, c.name AS contract_name, CAST(c.begin_date AS DATE) AS begin_date,
+    CAST(c.begin_date + to_months(c.duration) AS DATE) AS end_date
+  FROM glpi_contracts_items i JOIN glpi_contracts c ON c.id = i.contracts_id WHERE c.is_deleted = 0),
+linked AS (SELECT DISTINCT atk.asset_key, tk.ticket_id, tk.created_at, tk.resolved_at, tk.resolution_time_min
+           FROM atk JOIN tk ON tk.ticket_id = atk.ticket_id)"""
+
+SQL["page_asset_events"] = marts(atk="vw_fact_asset_tickets", tk="vw_glpi_tickets", fin="vw_fact_asset_financials") + f""",
+{_SPANS},
+line AS (
+  SELECT itemtype || '-' || items_id AS asset_key, CAST(buy_date AS TIMESTAMP) AS event_at, 'bought' AS event, CAST(NULL AS BIGINT) AS ref_id, 0 AS opens, 0 AS covers
+  FROM fin WHERE buy_date IS NOT NULL
+  UNION ALL SELECT itemtype || '-' || items_id, CAST(warranty_end_date AS TIMESTAMP), 'warranty_end', NULL, 0, 0 FROM fin WHERE warranty_end_date IS NOT NULL
+  UNION ALL SELECT asset_key, created_at, 'ticket_opened', ticket_id, 1, 0 FROM linked WHERE created_at IS NOT NULL
+  UNION ALL SELECT asset_key, resolved_at, 'ticket_solved', ticket_id, -1, 0 FROM linked WHERE resolved_at IS NOT NULL
+  UNION ALL SELECT asset_key, CAST(begin_date AS TIMESTAMP), 'contract_begin', contract_id, 0, 1 FROM spans WHERE begin_date IS NOT NULL
+  UNION ALL SELECT asset_key, CAST(end_date AS TIMESTAMP), 'contract_end', contract_id, 0, -1 FROM spans WHERE end_date IS NOT NULL)
+SELECT asset_key, row_number() OVER k AS event_no, event_at, event, ref_id, CAST(sum(opens) OVER k AS BIGINT) AS open_tickets,
+  CAST(sum(covers) OVER k > 0 AS INTEGER) AS covered
+FROM line WINDOW k AS (PARTITION BY asset_key ORDER BY event_at, event, ref_id NULLS FIRST ROWS UNBOUNDED PRECEDING)"""
+
+SQL["page_asset_contracts"] = marts(atk="vw_fact_asset_tickets", tk="vw_glpi_tickets") + f""",
+{_SPANS}
+SELECT s.asset_key, contract_id, contract_name, begin_date, end_date, count(l.ticket_id) AS tickets_in_period,
+  {r('coalesce(sum(l.resolution_time_min), 0) / 60.0 * 100.0')} AS support_cost,
+  CAST(coalesce(begin_date <= CAST({AS_OF_SQL} AS DATE) AND (end_date IS NULL OR CAST({AS_OF_SQL} AS DATE) < end_date), false) AS INTEGER) AS is_running
+FROM spans s LEFT JOIN linked l ON l.asset_key = s.asset_key AND CAST(l.created_at AS DATE) >= begin_date
+  AND (end_date IS NULL OR CAST(l.created_at AS DATE) < end_date)
+GROUP BY ALL"""
+
+SQL["page_technician_load"] = marts(tp="vw_tech_productivity") + f""",
+m AS (SELECT year_month, avg(tickets_assigned) AS mean FROM tp GROUP BY 1)
+SELECT tp.year_month, technician_id, tickets_assigned, {r('tickets_assigned / mean')} AS value,
+  CASE WHEN tickets_assigned > 2 * mean THEN 'red' WHEN tickets_assigned > 1.5 * mean THEN 'yellow' ELSE 'green' END AS color
+FROM tp JOIN m ON m.year_month = tp.year_month"""
+
+SQL["page_traffic_lights"] = marts(tk="vw_glpi_tickets", bk="vw_backlog_open", sl="vw_fact_software_licenses", tp="vw_tech_productivity") + f""",
 v AS (SELECT 'sla_pct' AS indicator, 100 * {div(cnt(MET), cnt(MET) + ' + ' + cnt(BRE))} AS value FROM tk
       UNION ALL SELECT 'mttr_hours', avg(resolution_time_min) / 60.0 FROM tk
       UNION ALL SELECT 'backlog_days', avg(age_days) FROM bk
+      UNION ALL SELECT 'tickets_per_mean', max(n) / avg(n) FROM (SELECT sum(tickets_assigned) AS n FROM tp GROUP BY technician_id)
       UNION ALL SELECT 'license_use_pct', 100 * {div('sum(installations_count)', 'sum(licenses_qty)')} FROM sl)
 SELECT indicator, {r('value')} AS value,
   CASE WHEN value IS NULL THEN NULL
        WHEN indicator = 'sla_pct' THEN CASE WHEN value >= 90 THEN 'green' WHEN value >= 80 THEN 'yellow' ELSE 'red' END
        WHEN indicator = 'mttr_hours' THEN CASE WHEN value <= 24 THEN 'green' WHEN value <= 48 THEN 'yellow' ELSE 'red' END
+       WHEN indicator = 'tickets_per_mean' THEN CASE WHEN value > 2 THEN 'red' WHEN value > 1.5 THEN 'yellow' ELSE 'green' END
        WHEN indicator = 'backlog_days' THEN CASE WHEN value <= 7 THEN 'green' WHEN value <= 30 THEN 'yellow' ELSE 'red' END
        ELSE CASE WHEN value >= 50 AND value <= 100 THEN 'green' WHEN value > 100 THEN 'yellow' WHEN value < 30 THEN 'red'
                  ELSE 'yellow' END END AS color

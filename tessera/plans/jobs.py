@@ -81,7 +81,26 @@ def profile_tables(src, as_of: datetime | None = None) -> DataFrame:
     return out
 
 
+def profile_by_entity(src, as_of: datetime | None = None) -> DataFrame:
+    """Rows of every contract that has an entity by entity, its share of the
+    contract, and whether the entity exists.  Contracts are stacked and counted
+    in one aggregate; totals come from the counts."""
+    stacked = None
+    for name in CONTRACT_TABLES:
+        df = src[name]
+        if name != "entities" and "entities_id" in df.columns:
+            one = df.select(F.lit(name).alias("table"), F.col("entities_id").cast("bigint").alias("entity_id"))
+            stacked = one if stacked is None else stacked.unionByName(one)
+    counts = stacked.groupBy("table", "entity_id").agg(F.count(F.lit(1)).alias("rows"))
+    totals = counts.groupBy(F.col("table").alias("_table")).agg(F.sum("rows").alias("_total"))
+    e = src["entities"].select(F.col("id").alias("_eid"), F.col("name").alias("entity_name"))
+    j = counts.join(totals, F.col("table") == F.col("_table")).join(e, F.col("entity_id") == F.col("_eid"), "left")
+    return j.select("table", "entity_id", "entity_name", "rows", F.round(100.0 * F.col("rows") / F.col("_total"), 4).alias("pct_of_table"),
+                    F.col("_eid").isNull().cast("int").alias("orphan"))
+
+
 QUERIES = {
     "deploy_verify": verify,
+    "profile_by_entity": profile_by_entity,
     "profile_tables": profile_tables,
 }

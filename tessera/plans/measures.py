@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tessera import domains as D
 from tessera.functions.time import date_lit, ntz
 from tessera.operators import timeintel as TI
+from tessera.operators.percentile import exact_percentiles
 from tessera.plans.model import Model, apply_filters, linked_columns, with_dimensions
 
 T = F.col
@@ -66,6 +67,7 @@ class Measure:
     optional_col: str | None = None             # measure is NULL when the mart lacks it
     unfiltered: bool = False                    # ALL(): ignore the filter context
     needs: tuple = ()                           # join-provided mart columns the measure reads
+    share: tuple | None = None                  # percentile measures: (column, share)
 
 
 def count_if(pred: Column) -> Column:
@@ -103,13 +105,6 @@ def arg_max(df: DataFrame, by: list, name_col: Column, value_col: Column, out: s
     return df.groupBy(*by).agg(F.max_by(name_col, F.struct(key, name_col)).alias(out))
 
 
-def _percentile(col: str, p: float):
-    def f(ctx: Ctx) -> Column:
-        c = T(col)
-        return F.percentile(c, F.lit(p)) if ctx.exact_percentile else F.percentile_approx(c, p, 10000).cast("double")
-    return f
-
-
 M: list[Measure] = []
 
 
@@ -118,6 +113,11 @@ def _agg(name, ref, mart, expr, date_col=None, optional_col=None, needs=()):
                      needs=tuple(needs)))
 
 
+def _percentile(name, ref, mart, col, p, date_col=None):
+    """Exact: a search in the value histogram, beside the other aggregates; else a sketch among them."""
+    M.append(Measure(name, ref, "agg", mart, expr=lambda c: F.percentile_approx(T(col), p, 10000).cast("double"), date_col=date_col, share=(col, p)))
+
+
 def _post(name, ref, post, deps):
     M.append(Measure(name, ref, "post", post=post, deps=tuple(deps)))
 
@@ -145,8 +145,8 @@ _post("sla_compliance_rate", "M9",
 _post("sla_status_icon", "M11", lambda c: icon(T("sla_compliance_rate")), ["sla_compliance_rate"])
 _agg("avg_resolution_min", "M12", TK, lambda c: F.avg("resolution_time_min"), "created_at")
 _post("avg_resolution_hrs", "M13", lambda c: divide(T("avg_resolution_min"), F.lit(60)), ["avg_resolution_min"])
-_agg("median_resolution_min", "M14", TK, _percentile("resolution_time_min", 0.5), "created_at")
-_agg("p90_resolution_min", "M15", TK, _percentile("resolution_time_min", 0.9), "created_at")
+_percentile("median_resolution_min", "M14", TK, "resolution_time_min", 0.5, "created_at")
+_percentile("p90_resolution_min", "M15", TK, "resolution_time_min", 0.9, "created_at")
 _agg("aged_tickets_7d", "M16", TK,
      lambda c: count_if((T("is_open") == 1) & (F.datediff(c.today, F.to_date("created_at")) > 7)), "created_at")
 BK = "vw_backlog_open"
@@ -409,18 +409,23 @@ def evaluate(model: Model, names: Iterable[str], by: Iterable[str] = (), filters
     ctx_cols = set(by) | {k for k in ctx.filters if "." not in k}
     links = lambda mart: linked_columns(mart, [*dimensions, *ctx.filters], roles) | {
         k.split(".", 1)[1] for k in [*dimensions, *ctx.filters] if k.split(".", 1)[0] == mart and "." in k}
-    for (mart, date_col, unfiltered), ms in groups.items():
+    def rows(mart: str, date_col: str | None, unfiltered: bool, ms: list[Measure]) -> DataFrame:
         df = model.mart(mart, needs=(ctx_cols | links(mart)).union(*[m.needs for m in ms]))
         if not unfiltered:
             df = apply_filters(model, mart, df, ctx.filters, roles)
-        df = _time_keys(with_dimensions(model, mart, df, dimensions, roles), by, date_col)
-        aggs = []
-        for m in ms:
-            if m.optional_col and m.optional_col not in df.columns:
-                aggs.append(F.lit(None).cast("bigint").alias(m.name))
-            else:
-                aggs.append(m.expr(ctx).alias(m.name))
-        parts.append(df.groupBy(*by).agg(*aggs))
+        return _time_keys(with_dimensions(model, mart, df, dimensions, roles), by, date_col)
+
+    for (mart, date_col, unfiltered), ms in groups.items():
+        shared = [m for m in ms if m.share and exact_percentile]
+        plain = [m for m in ms if m not in shared]
+        if plain:
+            df = rows(mart, date_col, unfiltered, plain)
+            missing = {m.name for m in plain if m.optional_col and m.optional_col not in df.columns}
+            parts.append(df.groupBy(*by).agg(*[F.lit(None).cast("bigint").alias(m.name) if m.name in missing else m.expr(ctx).alias(m.name) for m in plain]))
+        for col in dict.fromkeys(m.share[0] for m in shared):                       # rows of their own: only the joins these need
+            own = [m for m in shared if m.share[0] == col]
+            found = exact_percentiles(rows(mart, date_col, unfiltered, own), by, col, {m.name: m.share[1] for m in own})
+            parts.append(found if by else found.agg(*[F.max(m.name).alias(m.name) for m in own]))
     for n in todo:
         m = MEASURES[n]
         if m.kind != "table":

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import domains as D
-from tessera.functions.time import date_lit, diff_units, ntz
+from tessera.functions.time import add_months_ts, date_lit, diff_units, ntz
 from tessera.operators import timeintel as TI
+from tessera.operators.percentile import exact_percentiles
 from tessera.operators.ranking import rank_desc, reuse, top_k, with_global
 from tessera.plans.analytics import round_doubles
 from tessera.plans.measures import count_if, divide, evaluate, icon
@@ -251,7 +252,9 @@ def page_technician_ranking(src, as_of: datetime) -> DataFrame:
 def page_volume_mttr_quadrants(src, as_of: datetime) -> DataFrame:
     """Volume x MTTR quadrants split at the medians."""
     s = reuse(_tech_stats(Model(src, as_of)).where(T("mttr_hours").isNotNull()))
-    s = with_global(s, _mv=F.percentile("tickets_closed", F.lit(0.5)), _mm=F.percentile("mttr_hours", F.lit(0.5)))
+    middle = [exact_percentiles(s, [], c, {n: 0.5}) for c, n in (("tickets_closed", "_mv"), ("mttr_hours", "_mm"))]
+    for one in middle:                                                              # one row each
+        s = s.crossJoin(F.broadcast(one))
     hv, hm = T("tickets_closed") > T("_mv"), T("mttr_hours") > T("_mm")
     q = (F.when(hv & ~hm, F.lit(QUADRANTS[0])).when(~hv & hm, F.lit(QUADRANTS[1]))
          .when(hv & hm, F.lit(QUADRANTS[2])).otherwise(F.lit(QUADRANTS[3])))
@@ -426,26 +429,117 @@ def page_asset_drillthrough(src, as_of: datetime, hourly_rate: float = DEFAULT_H
                                   (T("_mins") / 60.0 * F.lit(float(hourly_rate))).alias("support_cost")))
 
 
+def page_asset_events(src, as_of: datetime, asset_key: str | None = None) -> DataFrame:
+    """One ordered line of events per asset: purchase, warranty end, tickets opened and solved, contracts begun
+    and ended.  ``event_no`` counts along an asset's line; ``open_tickets`` is the number open after the event, and
+    ``covered`` whether a contract runs that day.  ``asset_key`` drills through to one asset."""
+    m = Model(src, as_of)
+    key = F.concat(T("itemtype"), F.lit("-"), T("items_id")).alias("asset_key")
+    at = m.mart("vw_fact_asset_tickets").select("asset_key", "ticket_id")
+    t = m.mart("vw_glpi_tickets", needs=()).select(T("ticket_id").alias("_t"), "created_at", "resolved_at")
+    linked = at.distinct().join(t, T("ticket_id") == T("_t"))
+    money = m.mart("vw_fact_asset_financials").select(key, "buy_date", "warranty_end_date")
+    spans = _contract_spans(src)
+
+    def events(df: DataFrame, when: str, what: str, ref: str, step: int, cover: int = 0) -> DataFrame:
+        return df.where(T(when).isNotNull()).select("asset_key", T(when).cast("timestamp_ntz").alias("event_at"), F.lit(what).alias("event"),
+                                                    T(ref).cast("bigint").alias("ref_id") if ref else F.lit(None).cast("bigint").alias("ref_id"),
+                                                    F.lit(step).alias("_open"), F.lit(cover).alias("_cover"))
+
+    parts = [events(money, "buy_date", "bought", "", 0), events(money, "warranty_end_date", "warranty_end", "", 0),
+             events(linked, "created_at", "ticket_opened", "ticket_id", 1), events(linked, "resolved_at", "ticket_solved", "ticket_id", -1),
+             events(spans, "begin_date", "contract_begin", "contract_id", 0, 1), events(spans, "end_date", "contract_end", "contract_id", 0, -1)]
+    line = parts[0]
+    for p in parts[1:]:
+        line = line.unionByName(p)
+    if asset_key is not None:
+        line = line.where(T("asset_key") == asset_key)
+    order = Window.partitionBy("asset_key").orderBy("event_at", "event", F.col("ref_id").asc_nulls_first())
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    return line.select("asset_key", F.row_number().over(order).cast("bigint").alias("event_no"), "event_at", "event", "ref_id",
+                       F.sum("_open").over(so_far).alias("open_tickets"), (F.sum("_cover").over(so_far) > 0).cast("int").alias("covered"))
+
+
+def _contract_spans(src) -> DataFrame:
+    """(asset_key, contract_id, name, begin_date, end_date): the period in which a contract covers an asset, end excluded."""
+    items = src["contracts_items"].select(T("contracts_id").alias("_c"), F.concat(T("itemtype"), F.lit("-"), T("items_id")).alias("asset_key")).distinct()
+    c = src["contracts"].where(T("is_deleted") == 0).select(T("id").alias("contract_id"), T("name").alias("contract_name"), "begin_date",
+                                                          add_months_ts(T("begin_date"), T("duration")).alias("end_date"))
+    return items.join(c, T("_c") == T("contract_id")).drop("_c")
+
+
+def page_asset_contracts(src, as_of: datetime) -> DataFrame:
+    """A row per asset and covering contract, with the asset's tickets opened in the contract's period and their
+    cost, and whether the contract runs at ``as_of``.
+
+    Intervals meet points by a join on the asset alone, after tickets and contracts were reduced to (asset, day) counts
+    and (asset, contract) periods: an asset's days times its contracts, not all tickets times all contracts."""
+    m = Model(src, as_of)
+    t = m.mart("vw_glpi_tickets", needs=()).select(T("ticket_id").alias("_t"), F.to_date("created_at").alias("_day"), "resolution_time_min")
+    days = (m.mart("vw_fact_asset_tickets").select("asset_key", "ticket_id").distinct().join(t, T("ticket_id") == T("_t"))
+            .groupBy(T("asset_key").alias("_k"), "_day").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.coalesce("resolution_time_min", F.lit(0))).alias("_min")))
+    spans = _contract_spans(src)
+    inside = (T("asset_key") == T("_k")) & (T("_day") >= F.to_date("begin_date")) & (T("end_date").isNull() | (T("_day") < F.to_date("end_date")))
+    j = spans.join(days, inside, "left").groupBy("asset_key", "contract_id", "contract_name", "begin_date", "end_date").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("tickets_in_period"), (F.coalesce(F.sum("_min"), F.lit(0)) / 60.0 * DEFAULT_HOURLY_RATE).alias("support_cost"))
+    today = F.lit(as_of.date())
+    runs = (F.to_date("begin_date") <= today) & (T("end_date").isNull() | (today < F.to_date("end_date")))
+    return round_doubles(j.select("asset_key", "contract_id", "contract_name", F.to_date("begin_date").alias("begin_date"), F.to_date("end_date").alias("end_date"),
+                                  "tickets_in_period", "support_cost", F.coalesce(runs, F.lit(False)).cast("int").alias("is_running")))
+
+
 # ---------------------------------------------------------------- p08
-# FIXED VALUES: traffic-light rules (indicator, green test, yellow test)
+# FIXED VALUES: traffic-light rules (indicator, above this value, up to and including this one, colour); None: open
+LIGHT_RULES = [
+    ("sla_pct", 90.0, None, GREEN), ("sla_pct", 80.0, 90.0, YELLOW), ("sla_pct", None, 80.0, RED),
+    ("mttr_hours", None, 24.0, GREEN), ("mttr_hours", 24.0, 48.0, YELLOW), ("mttr_hours", 48.0, None, RED),
+    ("backlog_days", None, 7.0, GREEN), ("backlog_days", 7.0, 30.0, YELLOW), ("backlog_days", 30.0, None, RED),
+    ("license_use_pct", 50.0, 100.0, GREEN), ("license_use_pct", 100.0, None, YELLOW), ("license_use_pct", 30.0, 50.0, YELLOW),
+    ("license_use_pct", None, 30.0, RED),
+    ("tickets_per_mean", None, 1.5, GREEN), ("tickets_per_mean", 1.5, 2.0, YELLOW), ("tickets_per_mean", 2.0, None, RED),
+]
+# FIXED VALUES: indicators whose bounds belong to the band above them (from and including, up to)
+CLOSED_BELOW = ("sla_pct", "license_use_pct")
+
+
+def light_rules(spark, rules: list[tuple] | None = None) -> DataFrame:
+    """The rules as a table: a rule changes without code.  ``edge`` says to which side a bound belongs."""
+    rows = [(*r, "low" if r[0] in CLOSED_BELOW else "high") for r in (LIGHT_RULES if rules is None else rules)]
+    return spark.createDataFrame(rows, "indicator string, low double, high double, color string, edge string")
+
+
+def colored(values: DataFrame, rules: DataFrame) -> DataFrame:
+    """(indicator, value) rows with the colour of the band that holds the value (joined by interval; a few rules per
+    indicator).  No value or no band: no colour.  Of bands that overlap the first by colour counts."""
+    v, low, high = T("value"), T("low"), T("high")
+    above = low.isNull() | F.when(T("edge") == "low", v >= low).otherwise(v > low)
+    below = high.isNull() | F.when(T("edge") == "low", (v < high) | ((v == high) & (T("color") == GREEN))).otherwise(v <= high)
+    r = rules.withColumnRenamed("indicator", "_indicator")
+    keys = values.columns
+    j = values.join(F.broadcast(r), (T("indicator") == T("_indicator")) & v.isNotNull() & above & below, "left")
+    return j.groupBy(*keys).agg(F.min("color").alias("color"))
+
+
 def page_traffic_lights(src, as_of: datetime) -> DataFrame:
-    """One rules table applied to the headline indicators."""
+    """The table of rules applied to the headline indicators.  The technicians' load is the highest number of
+    tickets of one technician as a multiple of the mean."""
     m = Model(src, as_of)
     k = evaluate(m, ["sla_compliance_rate", "avg_resolution_hrs", "avg_backlog_age_days", "license_utilization"])
-    rows = k.select(F.explode(F.array(
-        F.struct(F.lit("sla_pct").alias("indicator"), (100 * T("sla_compliance_rate")).alias("value")),
-        F.struct(F.lit("mttr_hours").alias("indicator"), T("avg_resolution_hrs").alias("value")),
-        F.struct(F.lit("backlog_days").alias("indicator"), T("avg_backlog_age_days").alias("value")),
-        F.struct(F.lit("license_use_pct").alias("indicator"), (100 * T("license_utilization")).alias("value")),
-    )).alias("r")).select("r.indicator", "r.value")
-    v, i = T("value"), T("indicator")
-    color = (F.when(v.isNull(), F.lit(None))
-             .when(i == "sla_pct", F.when(v >= 90, GREEN).when(v >= 80, YELLOW).otherwise(RED))
-             .when(i == "mttr_hours", F.when(v <= 24, GREEN).when(v <= 48, YELLOW).otherwise(RED))
-             .when(i == "backlog_days", F.when(v <= 7, GREEN).when(v <= 30, YELLOW).otherwise(RED))
-             .when(i == "license_use_pct", F.when((v >= 50) & (v <= 100), GREEN).when(v > 100, YELLOW)
-                   .when(v < 30, RED).otherwise(YELLOW)))
-    return round_doubles(rows.select("indicator", "value", color.alias("color")))
+    load = m.mart("vw_tech_productivity").groupBy("technician_id").agg(F.sum("tickets_assigned").alias("n"))
+    k = k.crossJoin(F.broadcast(load.agg((F.max("n") / F.avg("n")).alias("tickets_per_mean"))))
+    named = {"sla_pct": 100 * T("sla_compliance_rate"), "mttr_hours": T("avg_resolution_hrs"), "backlog_days": T("avg_backlog_age_days"),
+             "license_use_pct": 100 * T("license_utilization"), "tickets_per_mean": T("tickets_per_mean")}
+    rows = k.select(F.explode(F.array(*[F.struct(F.lit(n).alias("indicator"), v.cast("double").alias("value")) for n, v in named.items()])).alias("r"))
+    return round_doubles(colored(rows.select("r.indicator", "r.value"), light_rules(src["tickets"].sparkSession)))
+
+
+def page_technician_load(src, as_of: datetime) -> DataFrame:
+    """Every technician's load light by month, from the same table of rules."""
+    p = Model(src, as_of).mart("vw_tech_productivity").select("year_month", "technician_id", "tickets_assigned")
+    mean = p.groupBy(T("year_month").alias("_ym")).agg(F.avg("tickets_assigned").alias("_mean"))
+    v = p.join(mean, T("year_month").eqNullSafe(T("_ym"))).select(
+        "year_month", "technician_id", "tickets_assigned", F.lit("tickets_per_mean").alias("indicator"), (T("tickets_assigned") / T("_mean")).alias("value"))
+    return round_doubles(colored(v, light_rules(src["tickets"].sparkSession)).drop("indicator"))
 
 
 QUERIES = {
@@ -480,5 +574,8 @@ QUERIES = {
     "page_rack_matrix": page_rack_matrix,
     "page_license_bands": page_license_bands,
     "page_asset_drillthrough": page_asset_drillthrough,
+    "page_asset_events": page_asset_events,
+    "page_asset_contracts": page_asset_contracts,
     "page_traffic_lights": page_traffic_lights,
+    "page_technician_load": page_technician_load,
 }

@@ -1,9 +1,8 @@
-"""Data-quality jobs Q1-Q6: referential checks as anti-joins, one report.
+"""Data-quality jobs Q1-Q6: referential checks in one report.
 
-Every rule is a distributed ``left_anti`` join followed by a count; the
-report is the union of one-row results (no driver loop over data).  Rules
-whose table lacks the checked column are reported as ``skip`` instead of
-failing the run, as the published checker does.
+All rules share one aggregate over stacked references (see
+``integrity_report``).  Rules whose table lacks the checked column are
+reported as ``skip`` instead of failing the run, as the published checker does.
 """
 
 from __future__ import annotations
@@ -29,14 +28,6 @@ VOLUME_TABLES = (("Usuários", "users"), ("Tickets", "tickets"), ("Computadores"
                  ("Softwares", "softwares"), ("Racks", "racks"))
 
 
-def _rule(rule: str, table: str, violations: DataFrame | None, severity: str = "error") -> DataFrame:
-    """One report row; ``violations`` is the DataFrame of offending rows."""
-    if violations is None:
-        return None
-    return violations.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(rule).alias("rule"), F.lit(table).alias("table"), F.lit(severity).alias("severity"), "violations")
-
-
 def _skip(spark, rule: str, table: str) -> DataFrame:
     return spark.createDataFrame([(rule, table, "skip", None)],
                                  "rule string, table string, severity string, violations bigint")
@@ -53,63 +44,67 @@ def entity_orphans(src, table: str) -> DataFrame | None:
     return df.join(ents, df["entities_id"] == T("_eid"), "left_anti")
 
 
-def _flag_rows(flags: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """One aggregation over a per-row flag frame -> one report row per rule
-    (``rules``: rule, table, flag column)."""
-    agg = flags.agg(*[F.sum(T(c).cast("bigint")).alias(f"_{i}") for i, (_, _, c) in enumerate(rules)])
-    pairs = ", ".join(f"'{r}', '{t}', 'error', coalesce(_{i}, 0L)" for i, (r, t, _) in enumerate(rules))
-    return agg.selectExpr(f"stack({len(rules)}, {pairs}) AS (rule, table, severity, violations)")
-
-
-def check_rules(src) -> list[DataFrame]:
-    spark = src["tickets"].sparkSession
-    ents = src["entities"].select(T("id").alias("_eid"))
-    out = []
+def references(src) -> tuple[list[tuple[str, str, str, DataFrame]], list[str]]:
+    """Every rule as (rule, table, kind of thing referred to, one column ``ref`` of references), and the tables without
+    the checked column."""
+    rules, skipped = [], []
     for table in ENTITY_TABLES:
-        if table == "tickets":
-            continue                                   # in the single ticket pass below
-        v = entity_orphans(src, table)
-        out.append(_skip(spark, "Q1_entity_orphan", table) if v is None else _rule("Q1_entity_orphan", table, v))
-    # tickets: Q1 + Q2 rules from ONE pass (ticket -> entity, ticket -> requester)
-    req = src["tickets_users"].where(T("type") == 1).select(T("tickets_id").alias("_rt")).distinct()
-    t = (src["tickets"].select("id", "entities_id")
-         .join(ents, T("entities_id") == T("_eid"), "left")
-         .join(req, T("id") == T("_rt"), "left")
-         .select(T("_eid").isNull().alias("no_entity"),
-                 (T("_eid").isNull() | (T("entities_id") == 0)).alias("zero_or_unknown"),
-                 T("_rt").isNull().alias("no_requester")))
-    out.append(_flag_rows(t, [("Q1_entity_orphan", "tickets", "no_entity"),
-                              ("Q2_ticket_without_requester", "tickets", "no_requester"),
-                              ("Q2_ticket_entity_zero_or_unknown", "tickets", "zero_or_unknown")]))
-    # rack slots: the three Q3 rules from ONE pass
-    racks = src["racks"].select(T("id").alias("_rid"))
-    assets = (src["computers"].select(F.lit("Computer").alias("_it"), T("id").alias("_aid"))
-              .unionByName(src["networkequipments"].select(F.lit("NetworkEquipment").alias("_it"), T("id").alias("_aid"))))
-    ir = (src["items_racks"].join(racks, T("racks_id") == T("_rid"), "left")
-          .join(assets, (T("itemtype") == T("_it")) & (T("items_id") == T("_aid")), "left")
-          .select(T("_rid").isNull().alias("no_rack"),
-                  ((T("itemtype") == "Computer") & T("_aid").isNull()).alias("no_computer"),
-                  ((T("itemtype") == "NetworkEquipment") & T("_aid").isNull()).alias("no_network")))
-    out.append(_flag_rows(ir, [("Q3_rack_slot_unknown_rack", "items_racks", "no_rack"),
-                               ("Q3_rack_slot_unknown_computers", "items_racks", "no_computer"),
-                               ("Q3_rack_slot_unknown_networkequipments", "items_racks", "no_network")]))
-    comps = src["computers"].select(T("id").alias("_cid"))
+        df = src[table]
+        if "entities_id" not in df.columns:
+            skipped.append(table)
+            continue
+        if table == "users":
+            df = df.where(T("id") > SYSTEM_USER_MAX_ID)
+        rules.append(("Q1_entity_orphan", table, "entity", df.select(T("entities_id").alias("ref"))))
+    rules.append(("Q2_ticket_without_requester", "tickets", "asked ticket", src["tickets"].select(T("id").alias("ref"))))
+    rules.append(("Q2_ticket_entity_zero_or_unknown", "tickets", "entity but zero", src["tickets"].select(T("entities_id").alias("ref"))))
+    slots = src["items_racks"]
+    rules.append(("Q3_rack_slot_unknown_rack", "items_racks", "rack", slots.select(T("racks_id").alias("ref"))))
+    for kind, table in (("Computer", "computers"), ("NetworkEquipment", "networkequipments")):
+        rules.append((f"Q3_rack_slot_unknown_{table}", "items_racks", kind, slots.where(T("itemtype") == kind).select(T("items_id").alias("ref"))))
     for table in ("items_softwareversions", "items_operatingsystems"):
-        v = src[table].where(T("itemtype") == "Computer").join(comps, T("items_id") == T("_cid"), "left_anti")
-        out.append(_rule("Q4_unknown_computer", table, v))
-    n_ent = src["entities"].agg(F.count(F.lit(1)).alias("_n"))
-    out.append(n_ent.select(F.lit("Q5_expected_entities").alias("rule"), F.lit("entities").alias("table"),
-                            F.when(T("_n") == EXPECTED_ENTITIES, F.lit("ok")).otherwise(F.lit("warning")).alias("severity"),
-                            F.abs(T("_n") - EXPECTED_ENTITIES).cast("bigint").alias("violations")))
-    return out
+        rules.append(("Q4_unknown_computer", table, "Computer", src[table].where(T("itemtype") == "Computer").select(T("items_id").alias("ref"))))
+    return rules, skipped
+
+
+def known_things(src) -> dict[str, DataFrame]:
+    """Kind of thing -> one column ``ref`` of those that exist."""
+    return {
+        "entity": src["entities"].select(T("id").alias("ref")),
+        "entity but zero": src["entities"].where("id != 0").select(T("id").alias("ref")),
+        "asked ticket": src["tickets_users"].where("type = 1").select(T("tickets_id").alias("ref")),
+        "rack": src["racks"].select(T("id").alias("ref")),
+        "Computer": src["computers"].select(T("id").alias("ref")),
+        "NetworkEquipment": src["networkequipments"].select(T("id").alias("ref")),
+    }
 
 
 def integrity_report(src, as_of: datetime | None = None) -> DataFrame:
-    """Q1-Q5: one row per rule (rule, table, severity, violations)."""
-    rows = check_rules(src)
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    """Q1-Q5: one row per rule (rule, table, severity, violations).
+
+    References of all rules and the things they refer to are stacked and meet
+    in ONE aggregate by (kind, key): counts of each rule beside whether the
+    thing exists.  Partial counts come first, so a key that a third of all rows
+    name is one row of each task.  A second aggregate of one row adds up the
+    references to what does not exist.
+    """
+    rules, skipped = references(src)
+    stacked = None
+    for i, (_, _, kind, df) in enumerate(rules):
+        one = df.select(F.lit(kind).alias("kind"), T("ref").cast("bigint").alias("ref"), F.lit(i).alias("rule"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    for kind, df in known_things(src).items():
+        stacked = stacked.unionByName(df.select(F.lit(kind).alias("kind"), T("ref").cast("bigint").alias("ref"), F.lit(-1).alias("rule")))
+    keys = stacked.groupBy("kind", "ref").agg(
+        F.count(F.when(T("rule") == -1, 1)).alias("known"), *[F.count(F.when(T("rule") == i, 1)).alias(f"_{i}") for i in range(len(rules))])
+    gone = (T("known") == 0) | T("ref").isNull()
+    sums = keys.agg(*[F.sum(F.when(gone, T(f"_{i}")).otherwise(0)).alias(f"_{i}") for i in range(len(rules))],
+                    F.coalesce(F.sum(F.when(T("kind") == "entity", T("known"))), F.lit(0)).alias("entities"))
+    rows = [f"'{r}', '{t}', 'error', coalesce(_{i}, 0L)" for i, (r, t, _, _) in enumerate(rules)]
+    rows.append(f"'Q5_expected_entities', 'entities', if(entities = {EXPECTED_ENTITIES}, 'ok', 'warning'), abs(entities - {EXPECTED_ENTITIES})")
+    out = sums.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (rule, table, severity, violations)")
+    for table in skipped:
+        out = out.unionByName(_skip(src["tickets"].sparkSession, "Q1_entity_orphan", table))
     return out
 
 
@@ -124,16 +119,16 @@ def integrity_status(src, as_of: datetime | None = None) -> DataFrame:
 
 def volume_matrix(src, as_of: datetime | None = None) -> DataFrame:
     """Q6: records per resource x entity (long form) with an orphan flag."""
-    parts = None
+    stacked = None
     for label, table in VOLUME_TABLES:
         df = src[table]
         if "entities_id" not in df.columns:
             continue
         if table == "users":
             df = df.where(T("id") > SYSTEM_USER_MAX_ID)
-        g = df.groupBy(T("entities_id").alias("entity_id")).agg(F.count(F.lit(1)).alias("records")) \
-              .withColumn("resource", F.lit(label))
-        parts = g if parts is None else parts.unionByName(g)
+        one = df.select(F.lit(label).alias("resource"), T("entities_id").alias("entity_id"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    parts = stacked.groupBy("resource", "entity_id").agg(F.count(F.lit(1)).alias("records"))
     ents = src["entities"].select(T("id").alias("_eid"), T("name").alias("entity_name"))
     j = parts.join(ents, T("entity_id") == T("_eid"), "left")
     return j.select("resource", "entity_id", "entity_name", "records",
