@@ -117,3 +117,12 @@ SQL["profile_by_entity"] = "WITH held AS (" + " UNION ALL ".join(f"SELECT '{t}'
 SELECT tab AS "table", CAST(held.entities_id AS BIGINT) AS entity_id, e.name AS entity_name, count(*) AS rows,
   round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY tab), 4) AS pct_of_table, CAST(e.id IS NULL AS INTEGER) AS orphan
 FROM held LEFT JOIN glpi_entities e ON e.id = held.entities_id GROUP BY tab, held.entities_id, e.id, e.name"""
+
+
+def _null_keys() -> str:
+    from tessera.sources.schemas import COLUMNS, required
+    return "\nUNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls FROM glpi_{t} HAVING count(*) > 0"
+                               for t in COLUMNS for c in required(t))
+
+
+SQL["contract_null_keys"] = _null_keys()

@@ -9,7 +9,8 @@ def all_queries() -> dict:
     out = {name: fn for name, fn, _ in MARTS}
     out.update(ANALYTICS)
     for mod_name in ("tessera.plans.pages", "tessera.plans.quality", "tessera.plans.backfill",
-                     "tessera.plans.jobs", "tessera.streaming.volume", "tessera.streaming.incremental", "tessera.plans.star"):
+                     "tessera.plans.jobs", "tessera.streaming.volume", "tessera.streaming.incremental", "tessera.plans.star",
+                     "tessera.sources.schemas"):
         try:
             mod = __import__(mod_name, fromlist=["QUERIES"])
         except ModuleNotFoundError:

@@ -15,20 +15,29 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.sources.contracts import CONTRACT_TABLES
+from tessera.sources.schemas import COLUMNS, differences, readable
+from tessera.sources.snapshots import Files
 
 
 class ParquetSources:
+    """Contracts under ``path``, read with their declared schemas.  Files are listed anew for every frame, so rows that
+    were appended since are seen; their schema is compared with the declared one first."""
+
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        self._cache: dict[str, DataFrame] = {}
+        self.spark, self.path, self._files = spark, path.rstrip("/"), Files(spark, path)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(os.path.join(self.path, name))
-        return self._cache[name]
+        if name not in COLUMNS:
+            raise KeyError(f"{name} is no contract")
+        at = f"{self.path}/{name}"
+        return self.spark.read.schema(readable(name, self.spark.read.parquet(at).schema)).parquet(at)
 
     def __contains__(self, name: str) -> bool:
-        return os.path.isdir(os.path.join(self.path, name))
+        return name in COLUMNS and bool(self._files.names(f"{self.path}/{name}"))
+
+    def check(self) -> list[str]:
+        """Every difference of the contracts that are there from what is declared; nothing is read but footers."""
+        return [d for name in COLUMNS if name in self for d in differences(name, self.spark.read.parquet(f"{self.path}/{name}").schema)]
 
 
 def load_sources(spark: SparkSession, path: str) -> ParquetSources:

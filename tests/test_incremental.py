@@ -168,3 +168,27 @@ def test_deploy_and_backfill_as_versions(spark, driver_src, tmp_path, monkeypatc
     assert {r[0] for r in new["tickets"].select("entities_id").collect()} == {user["entities_id"]} and new.notes["backfills"] == ["ticket_entity"]
     assert {r[0] for r in old["tickets"].select("entities_id").collect()} == {2} and new["tickets"].columns == old["tickets"].columns
     assert rows(new["tickets"].drop("entities_id")) == rows(old["tickets"].drop("entities_id"))
+
+
+def test_typed_contracts_name_what_differs(spark, driver_src, tmp_path):
+    from tessera.sources import schemas
+    from tessera.sources.contracts import CONTRACT_TABLES
+    from tessera.sources.io import load_sources, write_sources
+    assert set(schemas.COLUMNS) == set(CONTRACT_TABLES)
+    assert [d for t in CONTRACT_TABLES for d in schemas.differences(t, driver_src[t].schema)] == []
+    at = str(tmp_path / "contracts")
+    write_sources(driver_src, at, ["groups", "tickets", "slas"])
+    src = load_sources(spark, at)
+    assert "groups" in src and "users" not in src and "no_such" not in src and src.check() == []
+    assert [f.name for f in src["groups"].schema.fields] == schemas.COLUMNS["groups"].split()
+    n = src["groups"].count()
+    driver_src["groups"].limit(1).write.mode("append").parquet(f"{at}/groups")
+    assert src["groups"].count() == n + 1                                                            # listed anew
+    driver_src["slas"].withColumn("type", F.col("type").cast("string")).drop("number_time").write.mode("overwrite").parquet(f"{at}/slas")
+    with pytest.raises(schemas.ContractError, match="slas.type is string, declared int; slas.number_time is missing|slas.number_time is missing.*slas.type is string"):
+        src["slas"]
+    assert len(src.check()) == 2
+    with pytest.raises(KeyError):
+        src["no_such"]
+    driver_src["tickets"].withColumn("reopen_count", F.lit(1)).write.mode("overwrite").parquet(f"{at}/tickets")
+    assert "reopen_count" in src["tickets"].columns
