@@ -166,13 +166,20 @@ SELECT priority_code, priority_label, {cnt("created_year_month = '2001-08'")} AS
   {cnt("created_year_month = '2001-08'")} - {cnt("created_year_month = '2001-07'")} AS change
 FROM tk GROUP BY priority_code, priority_label"""
 
-SQL["page_trend_weekly"] = marts(tk="vw_glpi_tickets") + f""",
-wk AS (SELECT CAST(date_trunc('week', created_at) AS DATE) AS week, count(*) AS n FROM tk GROUP BY 1),
-sp AS (SELECT CAST(unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS DATE) AS week FROM wk),
-s AS (SELECT week, coalesce(n, 0) AS tickets FROM sp LEFT JOIN wk USING (week)),
-w AS (SELECT week, tickets, avg(tickets) OVER (ORDER BY week ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS a3,
-        stddev_pop(tickets) OVER (ORDER BY week ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS s3 FROM s)
-SELECT week, tickets, {r('a3')} AS avg_3, {r('a3 - s3')} AS band_low, {r('a3 + s3')} AS band_high FROM w"""
+def _trend(unit: str, step: str, back: int, where: str = "true") -> str:
+    return marts(tk="vw_glpi_tickets", dc="vw_dim_category", de="vw_dim_entity") + f""",
+per AS (SELECT CAST(date_trunc('{unit}', created_at) AS DATE) AS p, count(*) AS n FROM tk WHERE {where} GROUP BY 1),
+sp AS (SELECT CAST(unnest(generate_series(min(p), max(p), INTERVAL {step})) AS DATE) AS p FROM per),
+s AS (SELECT p, coalesce(n, 0) AS tickets FROM sp LEFT JOIN per USING (p)),
+w AS (SELECT p, tickets, avg(tickets) OVER (ORDER BY p ROWS BETWEEN {back} PRECEDING AND CURRENT ROW) AS a3,
+        stddev_pop(tickets) OVER (ORDER BY p ROWS BETWEEN {back} PRECEDING AND CURRENT ROW) AS s3 FROM s)
+SELECT p AS {unit}, tickets, {r('a3')} AS avg_3, {r('a3 - s3')} AS band_low, {r('a3 + s3')} AS band_high FROM w"""
+
+
+SQL["page_trend_weekly"] = _trend("week", "7 DAY", 2)
+SQL["page_trend_daily"] = _trend("day", "1 DAY", 6)
+SQL["page_trend_monthly"] = _trend("month", "1 MONTH", 2, f"""category_id IN (SELECT id FROM dc WHERE category_level_label = '{D.CATEGORY_SUB}')
+  AND entity_id IN (SELECT entity_id FROM de WHERE entity_type = 'Sub-entidade')""")
 
 SQL["page_projection_30d"] = marts(tk="vw_glpi_tickets") + f""",
 d AS (SELECT CAST(created_at AS DATE) AS date, count(*) AS n FROM tk

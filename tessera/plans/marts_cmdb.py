@@ -37,40 +37,45 @@ def _lookup(df: DataFrame, key: str, out: str) -> DataFrame:
     return df.select(T("id").alias(key), T("name").alias(out))
 
 
-def _asset_rows(src, itemtype, table, types, models, with_user, keys: DataFrame | None = None) -> DataFrame:
+#: columns of V11 that a look-up provides; a reader that names none of them joins nothing
+ASSET_LOOKUPS = ("asset_type", "asset_model", "manufacturer", "asset_state", "location", "assigned_tech", "assigned_user")
+
+
+def _asset_rows(src, itemtype, table, types, models, with_user, keys: DataFrame | None = None, needs=None) -> DataFrame:
     a = src[table].where(T("is_deleted") == 0)
     if keys is not None:
         # restrict BEFORE the lookups; ``keys`` is a bounded set (a top-k)
         k = keys.where(T("asset_itemtype") == itemtype).select(T("asset_id").alias("_kid"))
         a = a.join(F.broadcast(k), T("id") == T("_kid"), "left_semi")
     # contract tables carry generic fk names types_id / models_id
-    j = (a.join(_lookup(src[types], "_tid", "asset_type"), T("types_id") == T("_tid"), "left")
-          .join(_lookup(src[models], "_mid", "asset_model"), T("models_id") == T("_mid"), "left")
-          .join(_lookup(src["manufacturers"], "_fid", "manufacturer"), T("manufacturers_id") == T("_fid"), "left")
-          .join(_lookup(src["states"], "_sid", "asset_state"), T("states_id") == T("_sid"), "left")
-          .join(_lookup(src["locations"], "_lid", "location"), T("locations_id") == T("_lid"), "left")
-          .join(_lookup(src["users"], "_tuid", "assigned_tech"), T("users_id_tech") == T("_tuid"), "left"))
-    if with_user:
-        j = j.join(_lookup(src["users"], "_uid", "assigned_user"), T("users_id") == T("_uid"), "left")
-        user = T("assigned_user")
-    else:
-        user = F.lit(None).cast("string")
-    return j.select(
+    ways = {"asset_type": (types, "types_id"), "asset_model": (models, "models_id"), "manufacturer": ("manufacturers", "manufacturers_id"),
+            "asset_state": ("states", "states_id"), "location": ("locations", "locations_id"), "assigned_tech": ("users", "users_id_tech"),
+            "assigned_user": ("users", "users_id")}
+    want = [c for c in ASSET_LOOKUPS if needs is None or c in needs]
+    for c in want:
+        other, fk = ways[c]
+        if c == "assigned_user" and not with_user:
+            a = a.withColumn(c, F.lit(None).cast("string"))
+        else:
+            a = a.join(_lookup(src[other], f"_{c}_id", c), T(fk) == T(f"_{c}_id"), "left")
+    columns = [
         F.concat(F.lit(itemtype + "-"), T("id")).alias("asset_key"), F.lit(itemtype).alias("asset_itemtype"),
         T("id").alias("asset_id"), T("name").alias("asset_name"), "asset_type", "asset_model", "manufacturer",
-        "asset_state", "location", T("entities_id").alias("entity_id"), user.alias("assigned_user"),
+        "asset_state", "location", T("entities_id").alias("entity_id"), "assigned_user",
         "assigned_tech", T("serial").alias("serial_number"), T("date_creation").alias("purchase_date"),
-        T("date_mod").alias("last_updated"))
+        T("date_mod").alias("last_updated")]
+    return a.select(*[c for c in columns if not isinstance(c, str) or c in want])
 
 
 # -------------------------------------------------------------------- V11
-def build_vw_dim_asset(src, as_of: datetime | None = None, keys: DataFrame | None = None) -> DataFrame:
+def build_vw_dim_asset(src, as_of: datetime | None = None, keys: DataFrame | None = None, needs=None) -> DataFrame:
     """V11.  ``keys`` (asset_itemtype, asset_id) of BOUNDED size - e.g. a
     top-k - restricts every branch before its seven lookups, so a page that
-    names ten assets does not build the whole asset dimension."""
+    names ten assets does not build the whole asset dimension.  ``needs`` names
+    the looked-up columns a reader uses (None: all); others are left out."""
     out = None
     for itemtype, table, types, models, _tfk, _mfk, with_user in ASSET_KINDS:
-        part = _asset_rows(src, itemtype, table, types, models, with_user, keys)
+        part = _asset_rows(src, itemtype, table, types, models, with_user, keys, needs)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -255,6 +260,6 @@ def build_vw_fact_project_tasks(src, as_of: datetime | None = None) -> DataFrame
 
 # -------------------------------------------------------------------- V18
 def build_vw_cmdb_summary(src, as_of: datetime | None = None) -> DataFrame:
-    a = build_vw_dim_asset(src, as_of)
+    a = build_vw_dim_asset(src, as_of, needs=("asset_type", "manufacturer", "asset_state", "location"))
     return a.groupBy(T("asset_itemtype").alias("asset_type"), T("asset_type").alias("subtype"), "manufacturer",
                      "asset_state", "location").agg(F.count(F.lit(1)).alias("total_assets"))

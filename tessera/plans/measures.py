@@ -250,7 +250,7 @@ _agg("total_asset_incidents", "M56", AI, lambda c: F.sum("total_tickets").cast("
 
 
 def _most_incident_prone(df, by, ctx):
-    names = ctx.model.mart(DA).select(T("asset_key").alias("_k"), T("asset_name").alias("_n"))
+    names = ctx.model.mart(DA, needs=()).select(T("asset_key").alias("_k"), T("asset_name").alias("_n"))
     j = df.join(names, T("asset_key") == T("_k"), "left")
     return arg_max(j, by, T("_n"), T("total_tickets"), "most_incident_prone_asset")
 

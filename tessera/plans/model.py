@@ -220,10 +220,10 @@ def apply_filters(model: Model, mart: str, df: DataFrame, filters: dict | None,
         way = find_path(fmart, mart, roles)
         if way is None:
             raise NoPath(f"a filter on {key} does not reach {mart}")
-        kept = model.mart(fmart).where(_predicate(F.col(fcol), value))
-        for s in way:
+        kept = model.mart(fmart, needs=None if isinstance(value, Column) else {fcol, way[0].source_col}).where(_predicate(F.col(fcol), value))
+        for s, after in zip(way, [*way[1:], None], strict=True):
             keys = kept.select(_key(s.source, s.source_col, s.target).alias("_key"))
-            kept = df if s.target == mart else model.mart(s.target)
+            kept = df if s.target == mart else model.mart(s.target, needs={s.target_col, after.source_col})
             kept = kept.join(keys, _key(s.target, s.target_col, s.source) == F.col("_key"), "left_semi")
         df = kept
     return df
@@ -248,9 +248,9 @@ def with_dimensions(model: Model, mart: str, df: DataFrame, columns: Iterable[st
         if clash:
             df = df.drop(*clash)                                                    # the dimension's column is the one asked for
         first = way[0]
-        found = one_row_per_key(model.mart(table).select(_key(table, first.source_col, first.target).alias("_key"), *cols), "_key")
+        found = one_row_per_key(model.mart(table, needs={first.source_col, *cols}).select(_key(table, first.source_col, first.target).alias("_key"), *cols), "_key")
         for at, nxt in zip(way, way[1:], strict=False):
-            between = model.mart(at.target).select(_key(at.target, at.target_col, at.source).alias("_up"), _key(nxt.source, nxt.source_col, nxt.target).alias("_own"))
+            between = model.mart(at.target, needs={at.target_col, nxt.source_col}).select(_key(at.target, at.target_col, at.source).alias("_up"), _key(nxt.source, nxt.source_col, nxt.target).alias("_own"))
             found = one_row_per_key(between.join(found, F.col("_up") == F.col("_key")).select(F.col("_own").alias("_key"), *cols), "_key")
         last = way[-1]
         df = df.join(found, _key(mart, last.target_col, last.source) == F.col("_key"), "left").drop("_key")

@@ -308,21 +308,38 @@ def page_priority_mom(src, as_of: datetime) -> DataFrame:
     return agg.withColumn("change", T("current_month") - T("previous_month"))
 
 
-def page_trend_weekly(src, as_of: datetime) -> DataFrame:
-    """G20 (week granularity): weekly created series with 3-week average and
-    +/- 1 std band, on a dense weekly spine."""
-    t = Model(src, as_of).mart("vw_glpi_tickets", needs=())
-    wk = t.groupBy(F.to_date(F.date_trunc("week", "created_at")).alias("week")).agg(F.count(F.lit(1)).alias("tickets"))
-    spine = wk.agg(F.min("week").alias("lo"), F.max("week").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias("week"))
-    s = spine.join(wk, "week", "left").fillna({"tickets": 0})
-    avg3 = TI.moving_avg("tickets", 3, month_col="week")
-    std3 = TI.moving_std("tickets", 3, month_col="week")
-    out = s.select("week", "tickets", avg3.alias("avg_3"), std3.alias("std_3"))
-    return round_doubles(out.select("week", "tickets", "avg_3", (T("avg_3") - T("std_3")).alias("band_low"),
+# FIXED VALUES: granularities of the series and their steps
+TREND_STEPS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS", "month": "INTERVAL 1 MONTH"}
+
+
+def trend(src, as_of: datetime, unit: str, width: int = 3, filters: dict | None = None) -> DataFrame:
+    """Created tickets by day, week or month on a dense spine, with the
+    average of the last ``width`` periods and a band of one standard deviation."""
+    m = Model(src, as_of)
+    t = m.star("vw_glpi_tickets", filters=filters) if filters else m.mart("vw_glpi_tickets", needs=())
+    per = t.groupBy(F.to_date(F.date_trunc(unit, "created_at")).alias(unit)).agg(F.count(F.lit(1)).alias("tickets"))
+    spine = per.agg(F.min(unit).alias("lo"), F.max(unit).alias("hi")).where("lo is not null").select(
+        F.explode(F.sequence("lo", "hi", F.expr(TREND_STEPS[unit]))).alias(unit))
+    s = spine.join(per, unit, "left").fillna({"tickets": 0})
+    out = s.select(unit, "tickets", TI.moving_avg("tickets", width, month_col=unit).alias("avg_3"),
+                   TI.moving_std("tickets", width, month_col=unit).alias("std_3"))
+    return round_doubles(out.select(unit, "tickets", "avg_3", (T("avg_3") - T("std_3")).alias("band_low"),
                                     (T("avg_3") + T("std_3")).alias("band_high")))
 
 
+def page_trend_weekly(src, as_of: datetime) -> DataFrame:
+    return trend(src, as_of, "week")
+
+
+def page_trend_daily(src, as_of: datetime) -> DataFrame:
+    return trend(src, as_of, "day", width=7)
+
+
+def page_trend_monthly(src, as_of: datetime) -> DataFrame:
+    """Sliced by the category tree and the kind of entity, as a page's filters do."""
+    return trend(src, as_of, "month", filters={"vw_dim_category.category_level_label": D.CATEGORY_SUB, "vw_dim_entity.entity_type": "Sub-entidade"})
+
+
 def page_projection_30d(src, as_of: datetime, history_days: int | None = None, horizon: int = 30) -> DataFrame:
     """Linear projection of daily created tickets for the next
     ``horizon`` days, fitted on the whole daily series up to ``as_of`` (dense),
@@ -372,7 +389,7 @@ def page_top_assets(src, as_of: datetime, k: int = 10) -> DataFrame:
     m = Model(src, as_of)
     ai = m.mart("vw_fact_asset_incidents")
     top = reuse(top_k(ai, k, [F.desc("total_tickets"), F.asc("asset_key")]))     # k rows, used twice
-    da = build_vw_dim_asset(src, as_of, keys=top.select("asset_itemtype", "asset_id")).select(
+    da = build_vw_dim_asset(src, as_of, keys=top.select("asset_itemtype", "asset_id"), needs=("asset_type",)).select(
         T("asset_key").alias("_k"), "asset_name", "asset_type", "entity_id")
     ent = m.mart("vw_dim_entity").select(T("entity_id").alias("_e"), "entity_name")
     j = top.join(da, T("asset_key") == T("_k"), "left").join(ent, T("entity_id") == T("_e"), "left")
@@ -566,6 +583,8 @@ QUERIES = {
     "page_hour_heatmap": page_hour_heatmap,
     "page_priority_mom": page_priority_mom,
     "page_trend_weekly": page_trend_weekly,
+    "page_trend_daily": page_trend_daily,
+    "page_trend_monthly": page_trend_monthly,
     "page_projection_30d": page_projection_30d,
     "page_entity_scorecard": page_entity_scorecard,
     "page_asset_treemap": page_asset_treemap,

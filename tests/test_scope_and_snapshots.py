@@ -159,3 +159,25 @@ def test_stream_files_in_any_order(spark, tmp_path):
     total = spark.read.parquet(f"{tmp_path}/out").agg(F.sum("events")).first()[0]
     last = volume(events).orderBy(F.desc("window_end")).limit(3).agg(F.sum("events")).first()[0]
     assert total >= events.count() - last
+
+
+def test_measures_of_columns_that_some_installations_have(driver_src):
+    """M24, M64 and M85 are NULL without their column, and count it where it is there."""
+    m = Model(driver_src, AS_OF)
+    names = ["reopen_rate", "total_contract_value", "emergency_changes"]
+    assert evaluate(m, names).first() == (None, None, None)
+    extra = {"vw_glpi_tickets": lambda s, a: m.mart("vw_glpi_tickets").withColumn("reopen_count", (F.col("ticket_id") % 4 == 0).cast("int")),
+             "vw_fact_supplier_contracts": lambda s, a: m.mart("vw_fact_supplier_contracts").withColumn("cost", F.lit(2.5)),
+             "vw_fact_changes": lambda s, a: m.mart("vw_fact_changes").withColumn("change_type", F.when(F.col("change_id") % 2 == 0, "Emergency").otherwise("Normal"))}
+    got = evaluate(Model(driver_src, AS_OF, extra_marts=extra), names).first()
+    t = m.mart("vw_glpi_tickets", needs=())
+    assert got["reopen_rate"] == pytest.approx(t.where("ticket_id % 4 = 0").count() / t.count())
+    assert got["total_contract_value"] == 2.5 * m.mart("vw_fact_supplier_contracts").count()
+    assert got["emergency_changes"] == m.mart("vw_fact_changes").where("change_id % 2 = 0").count()
+
+
+def test_asset_lookups_are_joined_where_they_are_read(driver_src):
+    m = Model(driver_src, AS_OF)
+    bare, whole = m.mart("vw_dim_asset", needs=()), m.mart("vw_dim_asset")
+    assert set(whole.columns) - set(bare.columns) == {"asset_type", "asset_model", "manufacturer", "asset_state", "location", "assigned_tech", "assigned_user"}
+    assert bare.count() == whole.count() and "Join" not in bare._jdf.queryExecution().optimizedPlan().toString()
