@@ -31,6 +31,8 @@ HEAD = frozenset("html head base basefont bgsound link meta noframes noscript sc
 FOREIGN = ("svg", "math")
 FOREIGN_UNSEEN = frozenset("title desc metadata defs annotation annotation-xml".split())
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
+#: a column is filled up to its longest cell, at most to WIDE characters and FILL times its mean cell
+WIDE, FILL = 24, 4
 #: An opening tag ends these open elements, searched up to the tags of the second set.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -235,16 +237,24 @@ def table_lines(node: Node) -> list[str]:
                 rows.append([flat(kid)])
             else:
                 todo.append(iter(kid.kids))
-    widths: list[int] = []
-    for row in rows:
-        for k, cell in enumerate(row):
-            if k == len(widths):
-                widths.append(0)
-            widths[k] = max(widths[k], len(cell))
+    widths = column_widths(rows)
     body = ["  ".join(c.ljust(widths[k]) for k, c in enumerate(row)).rstrip() for row in rows]
     return [x for x in head if x] + [x for x in body if x]
 
 
+def column_widths(rows: list[list[str]]) -> list[int]:
+    """Widths to which a table's columns are filled up: their longest cell, but so that all filling together stays within
+    WIDE characters a cell and FILL times the text.  Longer cells stand out."""
+    columns_: list[list[int]] = []
+    for row in rows:
+        for k, cell in enumerate(row):
+            if k == len(columns_):
+                columns_.append([0, 0])
+            longest, total = columns_[k]
+            columns_[k] = [max(longest, len(cell)), total + len(cell)]
+    return [min(longest, WIDE + FILL * total // len(rows)) for longest, total in columns_]
+
+
 class Page:
     """Lines of a page; a gap of 1 starts a new line, one of 2 leaves a blank line."""
 

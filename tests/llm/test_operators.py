@@ -476,3 +476,13 @@ def test_maxscore_keeps_rows_that_repeat_an_id(spark, tmp_path):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
     got = maxscore.op9_maxscore(spark, str(tmp_path))
     assert sorted(map(tuple, got.collect())) == sorted(con.execute(maxscore.ORACLE_SQL).fetchall()) and got.where("query_id = 0").count() == 5
+
+
+@pytest.mark.parametrize("n", [200, 2000])
+def test_html_tables_grow_with_the_page(n):
+    """One very wide cell does not fill every row of its column."""
+    page = "<table>" + "".join(f"<tr><td>{'x' * 20 * n if k == 0 else 'a'}<td>b{k}</tr>" for k in range(n)) + "</table>"
+    text = html_text.render(page)
+    assert len(text) < 12 * len(page) and f"b{n - 1}" in text
+    short = html_text.render("<table><tr><td>a<td>b<tr><td>long cell<td>c</table>").splitlines()
+    assert short == ["a          b", "long cell  c"]
