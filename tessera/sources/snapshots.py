@@ -91,7 +91,8 @@ class Pin:
     def read(self, name: str, values: Iterable | None = None) -> DataFrame:
         """The table, or only its partitions of the given values (others are not even listed)."""
         table = self.tables[name]
-        return self.store._frame(name, table, [k for k in table["parts"] if values is None or k in {_folder(table["by"], v) for v in values}])
+        wanted = table["parts"] if values is None else {_folder(table["by"], v) for v in values}
+        return self.store._frame(name, table, [k for k in table["parts"] if k in wanted])
 
 
 class Snapshots:
