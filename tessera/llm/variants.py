@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -196,7 +197,7 @@ def search_shard(shard: pa.Table) -> pa.Table:
     """Of rows (side, word, n, indexed, asked): (word, n_near, best_n, best) of the asked words that have near words."""
     out: list[list] = [[], [], [], []]
     for side in (0, 1):
-        part = shard.filter(pa.compute.equal(shard.column("side"), side))
+        part = shard.filter(pc.equal(shard.column("side"), side))
         turn = -1 if side else 1
         rows = zip(*[part.column(c).to_pylist() for c in ("word", "n", "indexed", "asked")], strict=True)
         every = {(w.encode("latin-1"), n, i, a) for w, n, i, a in rows}
