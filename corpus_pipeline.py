@@ -24,6 +24,18 @@ OVER_CHANCE = 2 / 15
 SENT_ROWS = 1_000_000
 
 
+#: bytes of rows that Spark and a Python worker hold of a batch at a time
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches between Spark and its Python workers stay small, unless the session asks for smaller ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    told = spark.conf.get(key, "").lower().rstrip("b")
+    if not told.isdigit() or int(told) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def _body(docs: DataFrame) -> DataFrame:
     return columns(docs, id="doc_id", text="text")
 
@@ -39,6 +51,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model is fitted on this stage's own input.  Where no language can be learned, nothing can be rejected for a
     low score; texts without a letter still go.
     """
+    small_batches(spark)
     text = columns(docs, id="doc_id", text="text", lang="lang")
     model = langid.fit(langid.training_rows(text))
     found = langid.predict(docs.select(*DOCUMENTS), model)
@@ -61,6 +74,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     themselves, stay.  Of a group's rows that share the smallest id the first by text, then by the other columns,
     stays.  Documents without words and rows without an id are groups of their own.
     """
+    small_batches(spark)
     groups = ngram_join.ngram_join(_body(docs), size=5, percent=80, digests=True)
     linked = scratch(groups.where((F.col("links") > 0) & F.col("id").isNotNull()).groupBy(F.col("id").alias("doc_id"), "digest")
                      .agg(F.min("root").alias("root"), F.min("component").alias("component"), F.count("*").alias("rows")), "fate")
@@ -83,6 +97,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share an id go together; rows without an id cannot be named and stay.
     """
+    small_batches(spark)
     items = columns(table(spark, sf_dir, "benchmark", "item_id", "text"), item="item_id", text="text")
     found = decontaminate.digest(decontaminate.find_benchmark(_body(docs), items.withColumn("item", F.col("item").cast("string"))))
     gone = scratch(found.where("contaminated").select("doc_id").distinct(), "contaminated")
@@ -98,6 +113,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (little-endian unsigned 32-bit integers) and whether they decode to as many pieces."""
+    small_batches(spark)
     done = bpe.encode_decode(_body(docs))
     pieces = F.when(F.octet_length("ids") == 0, F.lit(0)).otherwise(F.size(F.split("decoded", " ")))
     return done.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
