@@ -7,7 +7,6 @@ alike.  Word and window hashes are 64-bit.
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 import math
 import uuid
@@ -22,23 +21,6 @@ from pyspark.sql import functions as F
 from tessera.session import ensure_checkpoint_dir
 
 MASK = (1 << 64) - 1
-MMAP_THRESHOLD, TRIM_THRESHOLD, LARGE = -3, -1, 4 << 20
-
-
-def give_back() -> None:
-    """Arrays of ``LARGE`` bytes or more leave the process when they are freed.
-
-    A worker lives on between stages.  The C library raises the size from which memory is mapped, and so given back,
-    with every large block that is freed; a fixed size keeps an idle worker small.  Elsewhere than in glibc nothing
-    changes.
-    """
-    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
-    if mallopt is not None:
-        mallopt(MMAP_THRESHOLD, LARGE)
-        mallopt(TRIM_THRESHOLD, 16 * LARGE)                                         # smaller ones are not given back one by one
-
-
-give_back()
 
 
 # ---------------------------------------------------------------- Spark side
