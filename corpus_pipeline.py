@@ -31,7 +31,7 @@ BATCH_BYTES = 8 << 20
 def small_batches(spark: SparkSession) -> None:
     """Batches between Spark and its Python workers stay small, unless the session asks for smaller ones."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    told = spark.conf.get(key, "").lower().rstrip("b")
+    told = spark.conf.get(key).lower().rstrip("b")
     if not told.isdigit() or int(told) > BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
