@@ -24,6 +24,8 @@ OVER_CHANCE = 2 / 15
 SENT_ROWS = 1_000_000
 
 
+#: bytes of text in a block of the token stage: its workers live beside what the stages before have left on an executor
+TOKEN_BLOCK_BYTES = 4 << 20
 #: bytes of rows that Spark and a Python worker hold of a batch at a time
 BATCH_BYTES = 8 << 20
 
@@ -114,7 +116,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (little-endian unsigned 32-bit integers) and whether they decode to as many pieces."""
     small_batches(spark)
-    done = bpe.encode_decode(_body(docs))
+    done = bpe.encode_decode(_body(docs), block_bytes=TOKEN_BLOCK_BYTES)
     pieces = F.when(F.octet_length("ids") == 0, F.lit(0)).otherwise(F.size(F.split("decoded", " ")))
     return done.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                        (pieces == F.octet_length("ids") / 4).alias("round_trip"))

@@ -12,7 +12,7 @@ import functools
 import itertools
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bucket_bits, columns, expand, shuffle_width, squeeze, table, utf8
+from tessera.llm.common import bucket_bits, columns, expand, give_back, shuffle_width, squeeze, table, utf8
 
 BLOCK_BYTES = 8 << 20
 ENCODE_AT_ONCE = 20_000
@@ -69,6 +69,7 @@ def word_blocks(docs: DataFrame, block_bytes: int, lower: bool = True) -> DataFr
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
+        give_back()
 
         def row(n, ids, sizes, codes, seen):
             words = sorted(seen)
@@ -101,12 +102,20 @@ def word_blocks(docs: DataFrame, block_bytes: int, lower: bool = True) -> DataFr
             .repartition(shuffle_width(spark), "block"))
 
 
-def _encode_words(words: list[bytes], tokenizer) -> list[list[int]]:
-    out: list[list[int]] = []
-    for a in range(0, len(words), ENCODE_AT_ONCE):
-        texts = [w.decode("utf-8", "replace") for w in words[a:a + ENCODE_AT_ONCE]]
-        out += [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    return out
+def _encode_words(words: Iterable[bytes], tokenizer) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words in a row, and how many each word has; encodings live for some words at a time only."""
+    flat, lens, rest = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)], iter(words)
+    while some := list(itertools.islice(rest, ENCODE_AT_ONCE)):
+        got = [e.ids for e in tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)]
+        flat.append(np.fromiter(itertools.chain.from_iterable(got), np.uint32))
+        lens.append(np.fromiter(map(len, got), np.uint32, len(got)))
+    return np.concatenate(flat), np.concatenate(lens)
+
+
+def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The positions of the ranges in a row."""
+    ends = np.cumsum(lens)
+    return np.repeat(starts - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def encoded_words(blocks: DataFrame, tokenizer_json: str, bits: int) -> DataFrame:
@@ -126,17 +135,21 @@ def encoded_words(blocks: DataFrame, tokenizer_json: str, bits: int) -> DataFram
 
     def encode(packs: pa.Table) -> pa.Table:
         tokenizer = load(tokenizer_json)
-        parts = [_split_words(x) for x in packs.column("words").to_pylist()]
         number: dict[bytes, int] = {}
-        for w in itertools.chain.from_iterable(parts):
-            number.setdefault(w, len(number))
-        ids = _encode_words(list(number), tokenizer)
-        got = [[ids[number[w]] for w in p] for p in parts]
-        return pa.table({
+        parts = []                                                                  # a block's words by their numbers: the words themselves once
+        for x in packs.column("words"):
+            words = _split_words(x.as_py())
+            parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint32, len(words)))
+        flat, lens = _encode_words(number, tokenizer)
+        del number
+        starts = np.cumsum(lens, dtype=np.int64) - lens
+        out = pa.table({
             "block": packs.column("block"),
             "bucket": packs.column("bucket"),
-            "ids": pa.array([squeeze(np.fromiter(itertools.chain.from_iterable(g), np.uint32)) for g in got], pa.binary()),
-            "lens": pa.array([squeeze(np.array([len(x) for x in g], np.uint32)) for g in got], pa.binary())})
+            "ids": pa.array([squeeze(flat[_ranges(starts[p], lens[p].astype(np.int64))]) for p in parts], pa.binary()),
+            "lens": pa.array([squeeze(lens[p]) for p in parts], pa.binary())})
+        give_back()
+        return out
 
     spark = blocks.sparkSession
     return (blocks.mapInArrow(packs, "block string, bucket int, words binary")
@@ -192,12 +205,11 @@ def encode_decode(docs: DataFrame, tokenizer_path: str | None = None, block_byte
                 c = codes[stop:stop + size]
                 stop += size
                 n = lens[c]
-                ends = np.cumsum(n)
-                total = int(ends[-1]) if size else 0
-                at = np.repeat(starts[c] - (ends - n), n) + np.arange(total)
                 ids_out.append(doc)
-                bodies.append(flat[at].astype("<u4").tobytes())
+                bodies.append(flat[_ranges(starts[c], n)].astype("<u4").tobytes())
                 texts.append(b" ".join([spelt[k] for k in c[n > 0].tolist()]))
+            del words, spelt, flat, codes
+        give_back()
         return pa.table({"id": pa.array(ids_out, pa.int64()), "ids": pa.array(bodies, pa.binary()),
                          "decoded": pa.array(texts, pa.binary()).cast(pa.string())})
 

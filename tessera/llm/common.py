@@ -7,6 +7,7 @@ alike.  Word and window hashes are 64-bit.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import math
 import uuid
@@ -74,6 +75,17 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x if x is not None else b"" for x in column.cast(kind).to_pylist()]
 
 
+def give_back() -> None:
+    """Memory that is free in this Python worker goes back to the system; a worker lives on between groups and stages.
+
+    Arrow's pool keeps what was freed, and so does the C library (where it is glibc).
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 # -------------------------------------------------------------- packed bytes
 
 def squeeze(a: np.ndarray, level: int = 1) -> bytes:

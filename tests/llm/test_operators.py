@@ -486,3 +486,17 @@ def test_html_tables_grow_with_the_page(n):
     assert len(text) < 12 * len(page) and f"b{n - 1}" in text
     short = html_text.render("<table><tr><td>a<td>b<tr><td>long cell<td>c</table>").splitlines()
     assert short == ["a          b", "long cell  c"]
+
+
+def test_encoded_words_are_flat_arrays(monkeypatch):
+    """No list of ids per word is held; words come in slices and may have no ids."""
+    with open(bpe.default_tokenizer(), encoding="utf-8") as f:
+        t = bpe.load(f.read())
+    words = [w.encode() for w in ("one", "two", "Straße", "x" * 300, "\u0301", "123,456", "one")]
+    want = [t.encode(w.decode(), add_special_tokens=False).ids for w in words]
+    monkeypatch.setattr(bpe, "ENCODE_AT_ONCE", 2)
+    flat, lens = bpe._encode_words(iter(words), t)
+    assert flat.dtype == lens.dtype == np.uint32 and lens.tolist() == [len(x) for x in want] and flat.tolist() == sum(want, [])
+    starts = np.cumsum(lens, dtype=np.int64) - lens
+    assert flat[bpe._ranges(starts[[2, 0]], lens[[2, 0]].astype(np.int64))].tolist() == want[2] + want[0]
+    assert len(bpe._ranges(starts[:0], lens[:0].astype(np.int64))) == 0
