@@ -156,18 +156,22 @@ class Draft:
         self.tables = {k: {**t, "parts": dict(t["parts"])} for k, t in base.tables.items()}
         self.token = f"{base.number + 1:08d}-{uuid.uuid4().hex[:12]}"
 
-    def replace(self, name: str, df: DataFrame, by: str | None = None, values: Iterable | None = None) -> DataFrame:
+    def dealt(self, df: DataFrame, by: str) -> DataFrame:
+        """``df`` with each value of ``by`` in one task, as ``replace`` writes it: a partition is one task's file, not one
+        of each task."""
+        return df.repartition(int(self.store.spark.conf.get("spark.sql.shuffle.partitions")), by)
+
+    def replace(self, name: str, df: DataFrame, by: str | None = None, values: Iterable | None = None, dealt: bool = False) -> DataFrame:
         """Writes ``df`` as the table, or with ``values`` as its partitions of these values of ``by``, and reads it back.
 
         Partitions named in ``values`` that ``df`` has no rows for are empty in the new version.  Rows of other
-        partitions are an error.
+        partitions are an error.  ``dealt``: ``df`` was made from rows that are ``dealt`` by ``by`` and still lie so.
         """
         if VERSION in df.columns:
             raise ValueError(f"{name}: a table cannot have a column named {VERSION}")
         token = f"{self.token}-{uuid.uuid4().hex[:6]}"
         at = f"{self.store.path}/{name}"
-        width = int(self.store.spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = df.repartition(width, by) if by else df                              # a partition is one task's file, not one of each task
+        rows = self.dealt(df, by) if by and not dealt else df
         rows.withColumn(VERSION, F.lit(token)).write.mode("append").partitionBy(*([by] if by else []), VERSION).parquet(at)
         found = self.store.files.names(f"{at}/{by}=*/{VERSION}={token}" if by else f"{at}/{VERSION}={token}")
         new = {f.rsplit("/", 2)[1] if by else "": token for f in found}

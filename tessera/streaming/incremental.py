@@ -217,16 +217,17 @@ MARTS: dict[str, tuple[tuple[str, ...], Callable]] = {
 
 # --------------------------------------------------------------------- batches
 
-def _latest(old: DataFrame, new: DataFrame, owner: str) -> DataFrame:
+def _latest(draft: Draft, old: DataFrame, new: DataFrame, owner: str) -> DataFrame:
     """Of each ticket the rows of the highest sequence number; at the same number the stored ones.
 
-    A ticket has one row in ``tickets``; links that a batch holds twice under one number are two links.
+    A ticket has one row in ``tickets``; links that a batch holds twice under one number are two links.  A ticket lies in
+    one span, so the rows are dealt once, by span, for both the comparison and the write.
     """
     if owner == "id":
         new = new.dropDuplicates([owner, SEQ])
-    both = old.withColumn("_stored", F.lit(1)).unionByName(new.withColumn("_stored", F.lit(0)))
+    both = draft.dealt(old.withColumn("_stored", F.lit(1)).unionByName(new.withColumn("_stored", F.lit(0))), SPAN)
     rank = F.struct(SEQ, "_stored")
-    top = both.withColumn("_top", F.max(rank).over(Window.partitionBy(owner)))
+    top = both.withColumn("_top", F.max(rank).over(Window.partitionBy(SPAN, owner)))
     return top.where(rank == T("_top")).drop("_top", "_stored")
 
 
@@ -283,18 +284,20 @@ def apply(store: Snapshots, changes: Mapping[str, DataFrame], dims, batch: tuple
     """One batch of changes (table name -> its rows with ``_seq`` and ``_deleted``) to the next version.
 
     ``dims`` supplies groups, users, groups_users and entities.  ``batch`` names a stream and its batch: one that was
-    committed before is passed over.  Reads the partitions of the changed tickets and of the touched months only.
+    committed before is passed over.  Reads the partitions of the changed tickets and of the touched months only.  The
+    changes themselves, whatever they are made of, are read once: every later step reads what was written of them.
     """
     pin = store.pin()
     done = pin.notes["batches"]
     if batch and done.get(batch[0], -1) >= batch[1]:
         return pin
     draft, span = store.begin(pin), pin.notes["span"]
+    changes = {name: draft.replace(f"change_{name}", df) for name, df in changes.items()}
     ids = None
     for name, df in changes.items():
         own = df.select(T(OWNERS[name]).alias("_ticket")).where(T("_ticket").isNotNull())
         ids = own if ids is None else ids.unionByName(own)
-    ids = ids.distinct().withColumn(SPAN, F.floor(T("_ticket") / span).cast("bigint"))
+    ids = draft.replace("change_ids", ids.distinct().withColumn(SPAN, F.floor(T("_ticket") / span).cast("bigint")))
     spans = [r[0] for r in ids.select(SPAN).distinct().collect()]                   # partitions to open, not tickets
     if not spans:
         return pin
@@ -306,7 +309,7 @@ def apply(store: Snapshots, changes: Mapping[str, DataFrame], dims, batch: tuple
     for name, df in changes.items():
         old = pin.read(name, spans)
         new = df.where(T(OWNERS[name]).isNotNull()).withColumn(SPAN, F.floor(T(OWNERS[name]) / span).cast("bigint")).select(*old.columns)
-        draft.replace(name, _latest(old, new, OWNERS[name]), SPAN, spans)
+        draft.replace(name, _latest(draft, old, new, OWNERS[name]), SPAN, spans, dealt=True)
     after = {name: of_batch(name, draft.read(name, spans)) for name in OWNERS}
     names = _read_by(pin.notes["marts"])
     taken, added = _given(before, -1, names), _given(after, 1, names)
@@ -320,6 +323,8 @@ def apply(store: Snapshots, changes: Mapping[str, DataFrame], dims, batch: tuple
             whole = _merged(name, pin.read(name, months[name]).unionByName(delta))
             draft.replace(name, whole.where("n != 0"), "year_month", months[name])
         draft.drop(f"delta_{name}")
+    for name in ("ids", *changes):
+        draft.drop(f"change_{name}")
     _write_marts(draft, pin.notes["marts"], months, dims)
     return draft.commit(batches={**done, batch[0]: batch[1]} if batch else done)
 
@@ -364,7 +369,8 @@ def refreshed(src, as_of: datetime | None = None, marts=tuple(MARTS)) -> Pin:
     group, and each fifth ticket has a double that was never there.  The first batch mends dates and adds the missing
     tickets with their links, the second brings the groups and removes the doubles.
     """
-    from tessera.session import ensure_checkpoint_dir
+    from tessera.session import ensure_checkpoint_dir, written
+    src = {**{k: written(src[k], k) for k in OWNERS}, **{k: src[k] for k in ("groups", "users", "groups_users", "entities")}}
     spark = src["tickets"].sparkSession
     name = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
     store = Snapshots(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-refresh/{name}")

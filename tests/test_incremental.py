@@ -92,6 +92,17 @@ def test_a_batch_opens_its_own_partitions_only(spark, small, tmp_path, monkeypat
     assert_equal_to_full_build(after, small, ("vw_sla_monthly",))
 
 
+def test_a_batch_reads_its_changes_once(spark, small, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"))
+    I.start(store, small, 10_000_000, ("vw_volume_trend",))
+    some = I.changes_of(small["tickets"].where("id % 50 = 1").withColumn("type", 3 - F.col("type")), 9)
+    n, read = some.count(), spark.sparkContext.accumulator(0)
+    told = spark.createDataFrame(some.rdd.map(lambda r: read.add(1) or r), some.schema)
+    after = I.apply(store, {"tickets": told}, small)
+    assert n > 0 and read.value == n and not [k for k in after.tables if k.startswith("change_")]
+    assert_equal_to_full_build(after, small, ("vw_volume_trend",))
+
+
 def test_followed_files_and_a_failed_batch(spark, small, tmp_path, monkeypatch):
     store, feed, mark = Snapshots(spark, str(tmp_path / "store")), str(tmp_path / "feed"), str(tmp_path / "mark")
     I.start(store, {**small, "tickets": small["tickets"].where("id % 2 = 0")}, 10_000, ("vw_volume_trend", "vw_sla_monthly", "vw_tech_productivity"))
