@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.time import add_days, add_minutes, date_lit, diff_units, ntz
+from tessera.session import written
 from tessera.sources.driver import DriverTables
 
 # FIXED VALUES: adapter parameters (shared with the SQL oracle)
@@ -75,6 +76,13 @@ class DriverSources:
     def __contains__(self, name: str) -> bool:
         return hasattr(type(self), name)
 
+    def tickets_once(self) -> "DriverSources":
+        """The same contracts with the tickets written once and read back by every contract made from them, for jobs
+        that build several ticket marts: else each mart joins orders and lineitem again."""
+        once = DriverSources(self.t, self.as_of)
+        once.tickets = written(self.tickets, "tickets")
+        return once
+
     # ------------------------------------------------------------------ orgs
     @cached_property
     def entities(self) -> DataFrame:
@@ -229,13 +237,23 @@ class DriverSources:
         return self.t.lineitem.select("l_orderkey", "l_suppkey").distinct()
 
     @cached_property
-    def tickets_users(self) -> DataFrame:
-        req = self.t.orders.select(F.col("o_orderkey").alias("tickets_id"),
-                                   F.col("o_custkey").alias("users_id"), F.lit(1).alias("type"))
-        tech = self.order_suppliers.select(F.col("l_orderkey").alias("tickets_id"),
+    def _ticket_requesters(self) -> DataFrame:
+        return self.t.orders.select(F.col("o_orderkey").alias("tickets_id"),
+                                    F.col("o_custkey").alias("users_id"), F.lit(1).alias("type"))
+
+    @cached_property
+    def _ticket_technicians(self) -> DataFrame:
+        return self.order_suppliers.select(F.col("l_orderkey").alias("tickets_id"),
                                            (F.col("l_suppkey") + TECH_OFFSET).alias("users_id"),
                                            F.lit(2).alias("type"))
-        return req.unionByName(tech)
+
+    @cached_property
+    def tickets_users(self) -> DataFrame:
+        return self._ticket_requesters.unionByName(self._ticket_technicians)
+
+    def role_links(self, table: str, role: int) -> DataFrame | None:
+        """The rows of a link contract that carry ``role``, made apart (None: they are not)."""
+        return {("tickets_users", 1): self._ticket_requesters, ("tickets_users", 2): self._ticket_technicians}.get((table, role))
 
     @cached_property
     def groups_tickets(self) -> DataFrame:
