@@ -478,6 +478,62 @@ def test_maxscore_keeps_rows_that_repeat_an_id(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(con.execute(maxscore.ORACLE_SQL).fetchall()) and got.where("query_id = 0").count() == 5
 
 
+def best_by_force(vectors, queries, k):
+    """{query id: [(score, id)]} in Python's whole numbers; of queries that repeat an id the least counts."""
+    least = {}
+    for i, q in queries:
+        least[i] = min(q, least.get(i, q))
+    score = lambda q, x: sum(a * b for a, b in zip(q, x))  # noqa: B905, E731  (a shorter vector counts as filled with zeros)
+    return {i: sorted(((score(q, x), v) for v, x in vectors if v != i), key=lambda r: (-r[0], r[1]))[:k] for i, q in least.items()}
+
+
+@pytest.mark.parametrize("most", [1, 40, 1 << 13, 1 << 24, 1 << 29])
+@pytest.mark.parametrize("skew", [0, 2])
+def test_maxscore_threshold_goes_from_shard_to_shard(most, skew):
+    """One block of queries over many shards of odd sizes, with ties, repeated ids and terms of unlike gains."""
+    rng = np.random.default_rng(most + skew)
+    x = (rng.integers(-most, most, (900, 24), endpoint=True) / np.arange(1, 25) ** skew).astype(np.int64)
+    ids = rng.integers(0, 700, 900)
+    x[300:320], x[500] = x[7], 0
+    at = rng.choice(900, 60, replace=False)
+    queries = maxscore.Asked(ids[at], x[at], 5)
+    cuts = [0, 3, 4, 200, 450, 451, 900]
+    for i, j in zip(cuts, cuts[1:], strict=False):
+        queries.search(maxscore.Shard(ids[i:j], x[i:j, :20] if i == 4 else x[i:j]))
+    got = collections.defaultdict(list)
+    for r in queries.winners().to_pylist():
+        got[r["query_id"]].append((r["score"], r["vec_id"]))
+    rows = [(i, v[:20] if 4 <= n < 200 else v) for n, (i, v) in enumerate(zip(ids.tolist(), x.tolist(), strict=True))]
+    for n, i in enumerate(ids[at].tolist()):
+        want = best_by_force(rows, [(i, x[at[n]].tolist())], 5)[i]
+        assert sorted(zip(queries.score[n].tolist(), queries.who[n].tolist(), strict=True), key=lambda r: (-r[0], r[1])) == want
+    assert sum(map(len, got.values())) == 300                                        # 5 for each query, not for each shard
+
+
+def test_maxscore_makes_no_list_of_pairs(spark, monkeypatch):
+    """Many shards, groups and parts: queries and shards are not joined to pairs, and each part meets each vector once."""
+    rng = np.random.default_rng(3)
+    vectors = [(int(i), [int(v) for v in rng.integers(-300, 300, d)]) for i, d in zip(rng.integers(0, 900, 1000), rng.integers(0, 9, 1000), strict=True)]
+    queries = [r for r in vectors if r[0] % 7 == 0]
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", 16)
+    monkeypatch.setattr(maxscore, "HELD_BYTES", 2048, raising=False)
+    kind = "id bigint, vector array<bigint>"
+    got = maxscore.top_k(spark.createDataFrame(vectors, kind).repartition(5), spark.createDataFrame(queries, kind), 4)
+    found = collections.defaultdict(list)
+    for r in sorted(got.collect(), key=lambda r: r["rank"]):
+        found[r["query_id"]].append((r["score"], r["vec_id"]))
+    assert found == best_by_force(vectors, queries, 4)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_maxscore_copies_go_by_the_data():
+    """Vectors are dealt once unless the queries fill a task; the queries' copies stay within the vectors, or give each core some work."""
+    for n in (0, 1, 2000, 720_000, 24_000_000):
+        groups, parts = maxscore.dealing(n, n // 50, 64, 12)
+        assert groups >= 1 and parts == max(1, -(-(n // 50) * 512 // maxscore.HELD_BYTES))
+        assert groups <= max(48, n // max(1, n // 50)) and groups <= max(1, -(-n // maxscore.SHARD_ROWS))
+
+
 @pytest.mark.parametrize("n", [200, 2000])
 def test_html_tables_grow_with_the_page(n):
     """One very wide cell does not fill every row of its column."""
