@@ -26,7 +26,8 @@ from tessera.llm.common import columns, table
 SHARD_ROWS, QUERY_ROWS, PROBE = 4096, 512, 4
 FAR = 32                                                                            # non-essential gains stay below this part of a threshold
 HELD_BYTES = 128 << 20                                                              # queries that a task holds, at 8 bytes a value
-GROUP_SHARDS = 16
+MANY = 64                                                                           # more pairs than one in so many are not probed one by one
+GROUP_SHARDS, AT_ONCE = 16, 1 << 18                                                 # shards of a group, pairs that are probed together
 LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
@@ -67,8 +68,8 @@ class Asked:
         self.count = np.zeros(len(ids), np.int64)
         self.score, self.who = np.full((len(ids), k), LEAST), np.full((len(ids), k), MOST)
 
-    def search(self, shard: Shard) -> None:
-        """Offers the vectors of a shard."""
+    def search(self, shard: Shard, every: bool = False) -> None:
+        """Offers the vectors of a shard; ``every`` term is essential where too many vectors would be probed."""
         dims = min(self.q.shape[1], shard.x.shape[1])
         q = self.q[:, :dims].astype(np.int64)
         full, least = self.count == self.k, self.score[:, -1]                       # k of them are as good: no worse can win
@@ -78,7 +79,7 @@ class Asked:
         order = np.argsort(-gain, axis=1)
         left = np.zeros((len(q), dims + 1), np.int64)                               # gains from each place of the order on
         left[:, :-1] = np.cumsum(np.take_along_axis(gain, order, 1)[:, ::-1], axis=1)[:, ::-1]
-        pruned = full & (least > 0) & (kind is not np.int64)                        # gains beyond 64 bits are not used
+        pruned = full & (least > 0) & (kind is not np.int64 and not every)          # gains beyond 64 bits are not used
         live = np.flatnonzero(~pruned | (left[:, 0] >= least))
         if not len(live) or not len(shard.ids):
             return
@@ -97,8 +98,8 @@ class Asked:
         self._offer(shard, live, q, full, least, order, left, essential, partial, np.where(full, least - np.where(full, rest, 0), LEAST))
 
     def _offer(self, shard: Shard, live, q, full, least, order, left, essential, partial, cut) -> None:
-        """Probes what reaches ``cut`` by its partial score, and keeps the winners."""
-        dims, ids = q.shape[1], self.ids[live]
+        """Finds what reaches ``cut`` by its partial score; of queries with fewer than ``k`` so far, the shard's ``k`` best."""
+        ids = self.ids[live]
         none = LEAST if partial.dtype == np.int64 else -np.inf
         first, last = (np.searchsorted(shard.sorted_ids, ids, s) for s in ("left", "right"))
         for r in np.flatnonzero(first < last).tolist():
@@ -110,13 +111,21 @@ class Asked:
             reach[some] = np.partition(partial[some], partial.shape[1] - self.k, axis=1)[:, -self.k]
         hit = np.flatnonzero(partial.max(1) >= reach)                               # with a high threshold most queries find nothing in a shard
         if 2 * len(hit) < len(partial):
-            row, at = np.divmod(np.flatnonzero((partial[hit] >= reach[hit, None]).ravel()), partial.shape[1])
-            row = hit[row]
+            flat = np.flatnonzero((partial[hit] >= reach[hit, None]).ravel())
         else:
-            row, at = np.divmod(np.flatnonzero((partial >= reach[:, None]).ravel()), partial.shape[1])
-        fine = shard.ids[at] != ids[row]
-        row, at = row[fine], at[fine]
-        score = partial[row, at].astype(np.int64)
+            hit, flat = np.arange(len(partial)), np.flatnonzero((partial >= reach[:, None]).ravel())
+        if len(flat) * MANY > partial.size and (essential < q.shape[1]).any():
+            return self.search(shard, every=True)
+        for j in range(0, len(flat), AT_ONCE):                                      # with many ties nearly all reach the threshold
+            row, at = np.divmod(flat[j:j + AT_ONCE], partial.shape[1])
+            row = hit[row]
+            fine = shard.ids[at] != ids[row]
+            row, at = row[fine], at[fine]
+            self._probe(shard, live, q, full, least, order, left, essential, row, at, partial[row, at].astype(np.int64))
+
+    def _probe(self, shard: Shard, live, q, full, least, order, left, essential, row, at, score) -> None:
+        """Adds the non-essential terms to partial scores, as long as they may win."""
+        dims = q.shape[1]
         for j in range(0, dims - int(essential.min()), PROBE):
             place = np.minimum(essential[row] + j, dims)
             still = ~full[row] | (score + left[row, place] >= least[row])

@@ -488,9 +488,11 @@ def best_by_force(vectors, queries, k):
 
 
 @pytest.mark.parametrize("most", [1, 40, 1 << 13, 1 << 24, 1 << 29])
-@pytest.mark.parametrize("skew", [0, 2])
-def test_maxscore_threshold_goes_from_shard_to_shard(most, skew):
+@pytest.mark.parametrize(("skew", "many"), [(0, 64), (0, 0), (2, 64), (2, 0)])
+def test_maxscore_threshold_goes_from_shard_to_shard(monkeypatch, most, skew, many):
     """One block of queries over many shards of odd sizes, with ties, repeated ids and terms of unlike gains."""
+    monkeypatch.setattr(maxscore, "AT_ONCE", 50)
+    monkeypatch.setattr(maxscore, "MANY", many)                                      # 0: all are probed one by one
     rng = np.random.default_rng(most + skew)
     x = (rng.integers(-most, most, (900, 24), endpoint=True) / np.arange(1, 25) ** skew).astype(np.int64)
     ids = rng.integers(0, 700, 900)
